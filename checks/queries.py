@@ -12,7 +12,7 @@ from checks.fixtures import BASE, Fixtures
 from triplewright.functions import text
 from triplewright.operators import resolve
 from triplewright.operators.facts import as_facts, facts, links, literals, with_object
-from triplewright.operators.skew import lookup_join, skew_join
+from triplewright.operators.skew import existence_join, lookup_join, skew_join
 from triplewright.plans import company, etl, extract, person, stats
 from triplewright.session import materialize, scratch_path
 from triplewright.sources import mappings, sinks, triples
@@ -330,8 +330,8 @@ def join_back_count(fx):
 @query
 def join_anti(fx):
     organization = fx.organization()
-    domiciled = facts(organization, company.DOMICILE).select("sub").dropDuplicates()
-    return facts(organization, company.ADDRESS).join(domiciled, "sub", "left_anti").select("sub", "obj")
+    address = facts(organization, company.ADDRESS).select("sub", "obj")
+    return existence_join(address, facts(organization, company.DOMICILE), "sub", "left_anti")
 
 
 # Aggregation and distinct

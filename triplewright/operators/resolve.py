@@ -1,4 +1,4 @@
-"""Choosing among several values of one key."""
+"""Choosing among several values of one key. Keys and values are non-null, as in stored triples."""
 
 from __future__ import annotations
 
@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from triplewright.operators.skew import existence_join, hot_keys, lookup_join, split_hot
 
 
-def _known(df: DataFrame, *columns: str) -> DataFrame:
-    return df.dropna(subset=list(columns))
-
-
 def count_by_key(df: DataFrame, key: str) -> DataFrame:
     """Rows per key."""
     return df.groupBy(key).agg(F.count("*").alias("n"))
@@ -28,7 +24,6 @@ def with_key_count(df: DataFrame, key: str) -> DataFrame:
     One shuffle with a window. Rows of hot keys are counted with partial aggregation
     instead and get their count from a broadcast of at most a thousand rows.
     """
-    df = _known(df, key)
     (hot,) = hot_keys([df], key)
     counted = F.count("*").over(Window.partitionBy(key))
     if not hot:
@@ -43,7 +38,7 @@ def rank_longest(df: DataFrame, key: str, value: str) -> DataFrame:
 
     For hot keys the rank is computed on row counts per (key, length) and joined back.
     """
-    df = _known(df, key, value).withColumn("len", F.length(value).cast("long"))
+    df = df.withColumn("len", F.length(value).cast("long"))
     by_length = Window.partitionBy(key).orderBy(F.desc("len"))
     ranked = F.rank().over(by_length).cast("long")
     (hot,) = hot_keys([df], key)
@@ -67,7 +62,6 @@ def longest_per_key(df: DataFrame, key: str, value: str) -> DataFrame:
     window's own partitioning: one shuffle. Hot keys get their maximum by partial
     aggregation and a broadcast of at most a thousand rows.
     """
-    df = _known(df, key, value)
     columns = df.columns
     (hot,) = hot_keys([df], key)
     rank = F.rank().over(Window.partitionBy(key).orderBy(F.desc("len")))
@@ -97,8 +91,7 @@ def longest_per_key(df: DataFrame, key: str, value: str) -> DataFrame:
 def single_value(df: DataFrame, key: str, value: str) -> DataFrame:
     """(key, value) of the keys that have exactly one distinct value. One shuffle, partially aggregated."""
     return (
-        _known(df, key, value)
-        .groupBy(key)
+        df.groupBy(key)
         .agg(F.min(value).alias(value), F.max(value).alias("other"))
         .filter(F.col(value) == F.col("other"))
         .select(key, value)
@@ -108,11 +101,18 @@ def single_value(df: DataFrame, key: str, value: str) -> DataFrame:
 def conflicting_values(df: DataFrame, key: str, value: str) -> DataFrame:
     """Distinct (key, value) of the keys that have several values.
 
-    The complement of :func:`single_value`, taken on whole rows: the join key is the
-    (key, value) pair, which is unique, so no key can be hot.
+    The complement of :func:`single_value`, taken by grouping whole (key, value) pairs:
+    copies collapse before the shuffle and no key is gathered in one place.
     """
-    pairs = _known(df, key, value).select(key, value).dropDuplicates()
-    return pairs.join(single_value(df, key, value), [key, value], "left_anti")
+    pairs = df.select(key, value, F.lit(0).alias("single"))
+    single = single_value(df, key, value).withColumn("single", F.lit(1))
+    return (
+        pairs.unionByName(single)
+        .groupBy(key, value)
+        .agg(F.max("single").alias("single"))
+        .filter(F.col("single") == 0)
+        .select(key, value)
+    )
 
 
 def prefer_on_conflict(df: DataFrame, key: str, value: str, preferred: str) -> DataFrame:

@@ -20,6 +20,8 @@ HOT_SHARE = 1 / 1000
 HOT_MIN_ROWS = 1_000_000
 # Counters kept by the sketch; its error is far below HOT_SHARE.
 SKETCH_ITEMS = 10_000
+# Tasks that merge the sketches of all input tasks before the final merge.
+SKETCH_MERGERS = 64
 # Largest lookup side that may be broadcast, in bytes of its values.
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
@@ -38,11 +40,11 @@ def hot_keys(frames: list[DataFrame], on: str | list[str]) -> list[dict[int, int
     tagged = [df.select(F.lit(i).alias("frame"), _key_hash(on).alias("h")) for i, df in enumerate(frames)]
     sketches = (
         reduce(DataFrame.union, tagged)
+        .groupBy("frame", F.pmod(F.spark_partition_id(), F.lit(SKETCH_MERGERS)).alias("merger"))
+        .agg(F.expr(f"approx_top_k_accumulate(h, {SKETCH_ITEMS})").alias("sketch"), F.count("*").alias("n"))
         .groupBy("frame")
-        .agg(
-            F.expr(f"approx_top_k(h, {math.ceil(1 / HOT_SHARE)}, {SKETCH_ITEMS})").alias("top"),
-            F.count("*").alias("n"),
-        )
+        .agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"), F.sum("n").alias("n"))
+        .select("frame", "n", F.expr(f"approx_top_k_estimate(sketch, {math.ceil(1 / HOT_SHARE)})").alias("top"))
         .collect()
     )
     found: list[dict[int, int]] = [{} for _ in frames]
@@ -110,6 +112,21 @@ def skew_join(
     return sliced(left, "left", "right").join(sliced(right, "right", "left"), salted).drop("slice_left", "slice_right")
 
 
+def present(left: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
+    """Rows of ``left`` with a match in ``keys``, which must be distinct.
+
+    Catalyst moves semi and anti joins below a preceding ``distinct``, back onto the raw
+    copies; inner and outer joins stay where they are written.
+    """
+    return left.join(keys, on)
+
+
+def absent(left: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
+    """Rows of ``left`` without a match in ``keys``, which must be distinct; see :func:`present`."""
+    flagged = left.join(keys.withColumn("known", F.lit(True)), on, "left")
+    return flagged.filter(F.col("known").isNull()).drop("known")
+
+
 def existence_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str) -> DataFrame:
     """``left_semi`` or ``left_anti`` join against the keys of ``right``.
 
@@ -121,12 +138,13 @@ def existence_join(left: DataFrame, right: DataFrame, on: str | list[str], how:
     if fits_broadcast(keys):
         return left.join(F.broadcast(keys), on, how)
     keys = keys.distinct()
+    shuffled = {"left_semi": present, "left_anti": absent}[how]
     (hot,) = hot_keys([left], on)
     if not hot:
-        return left.join(keys, on, how)
+        return shuffled(left, keys, on).select(*left.columns)
     hot_rows, rest = split_hot(left, on, hot)
     hot_side, _ = split_hot(keys, on, hot)
-    return hot_rows.join(F.broadcast(hot_side), on, how).unionByName(rest.join(keys, on, how))
+    return hot_rows.join(F.broadcast(hot_side), on, how).unionByName(shuffled(rest, keys, on))
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, on: str | list[str]) -> DataFrame:

@@ -24,7 +24,7 @@ from triplewright.operators.resolve import (
     prefer_on_conflict,
     single_value,
 )
-from triplewright.operators.skew import existence_join, lookup_join, skew_join
+from triplewright.operators.skew import absent, existence_join, lookup_join, skew_join
 from triplewright.session import materialize
 
 # Predicate names of the dumps.
@@ -113,7 +113,7 @@ def company_country_from_address(organization: DataFrame, country_map: DataFrame
         .dropDuplicates()
     )
     domiciled = facts(organization, DOMICILE).select("sub").dropDuplicates()
-    return as_facts(country.join(domiciled, "sub", "left_anti"), "isDomiciledInFromAddress", "origin")
+    return as_facts(absent(country, domiciled, "sub"), "isDomiciledInFromAddress", "origin")
 
 
 def company_country_all(organization: DataFrame, country_map: DataFrame) -> DataFrame:
