@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as driver
 from tests.compare import database, differences
+from triplewright.operators import skew
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -31,6 +32,19 @@ def test_query_matches_oracle(spark, connection, name, capsys):
     assert df.count() > 0
 
 
+COMPOSITES = sorted(n for n in driver.queries() if n.startswith(("company_", "person_", "listed_", "join_", "top1_")))
+
+
+@pytest.mark.parametrize("name", COMPOSITES)
+def test_ways_for_hot_keys_and_large_lookups(spark, connection, monkeypatch, name):
+    """The same results when nothing may be broadcast and many keys count as hot."""
+    monkeypatch.setattr(skew, "BROADCAST_MAX_BYTES", 0)
+    monkeypatch.setattr(skew, "HOT_SHARE", 1 / 150)
+    monkeypatch.setattr(skew, "HOT_MIN_ROWS", 2)
+    df = driver.queries()[name](spark, SF_DIR)
+    assert differences(df, connection, driver.oracle_sql()[name]) == []
+
+
 def test_entry(spark):
     df = driver.entry(spark)
     assert df.columns == ["sub", "pred", "obj"]

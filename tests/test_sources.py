@@ -5,7 +5,9 @@ from collections import Counter
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
+from triplewright import session
 from triplewright.plans.etl import run_employee_report
 from triplewright.plans.stats import predicate_stats, predicate_stats_by_dump
 from triplewright.sources import mappings, sinks, triples
@@ -73,6 +75,37 @@ def test_ingest_without_rejects_writes_none(spark, tmp_path):
     assert rows(triples.read_triples(spark, str(tmp_path / "t/quote")), "pred") == Counter([("1",)])
 
 
+def test_large_predicate_is_cut_into_several_files(spark, tmp_path):
+    source, target = str(tmp_path / "dump"), tmp_path / "triples"
+    row = F.col("id")
+    pred = F.when(row % 3 == 0, F.concat(F.lit("p"), row % 5)).otherwise("large")
+    text = F.concat(F.lit("<s/"), row, F.lit("> <"), pred, F.lit('> "'), F.sha2(row.cast("string"), 256), F.lit('" .'))
+    spark.range(0, 60_000, 1, 8).select(text).write.text(source)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB")
+    try:
+        triples.ingest_triples(spark, {"quote": source}, str(target))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (target / "quote").glob("pred=*")}
+    assert len(files) == 6
+    assert files["pred=large"] >= 4
+    assert triples.read_triples(spark, f"{target}/quote").count() == 60_000
+
+
+def test_scratch_path_needs_a_shared_folder_on_a_cluster():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "spark://cluster"
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_path(Session, "x")
+    Session.sparkContext.master = "local[2]"
+    assert session.scratch_path(Session, "x") != session.scratch_path(Session, "x")
+
+
 def test_predicate_filter_prunes_partitions(spark, dump, tmp_path, capsys):
     triples.ingest_triples(spark, {"organization": dump}, str(tmp_path))
     stored = triples.read_triples(spark, f"{tmp_path}/organization").filter("pred = 'name'").select("sub")

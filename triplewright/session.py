@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="triplewright-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``, the folder all executors share.
 
@@ -17,8 +23,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="triplewright-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _local_scratch()
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
