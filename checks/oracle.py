@@ -187,8 +187,8 @@ _SELECTS = {
     "filter_pred_eq": "SELECT sub, pred, obj FROM kg_organization WHERE pred='HeadquartersAddress'",
     "filter_pred_any": f"SELECT sub, pred, obj FROM kg_organization WHERE pred IN {_SECTORS}",
     "filter_not_empty": "SELECT g, origin, new FROM geo_map WHERE new<>''",
-    "filter_count": "SELECT o.sub, o.pred, o.obj, c.n FROM kg_organization o JOIN "
-    "(SELECT sub, count(*) AS n FROM kg_organization GROUP BY sub HAVING count(*)>7) c ON o.sub=c.sub",
+    "filter_count": "SELECT o.sub, o.obj, c.n FROM names o JOIN "
+    "(SELECT sub, count(*) AS n FROM names GROUP BY sub HAVING count(*)=1) c ON o.sub=c.sub",
     "filter_and": "SELECT m.*, c.n FROM mapped_industry m JOIN "
     "(SELECT sub, count(*) AS n FROM mapped_industry GROUP BY sub) c ON m.sub=c.sub WHERE n>1 AND obj='Real Estate'",
     "filter_rank1": "SELECT sub, obj, length(obj) AS len, CAST(1 AS BIGINT) AS rank FROM addresses a "

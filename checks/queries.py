@@ -268,8 +268,7 @@ def filter_not_empty(fx):
 
 @query
 def filter_count(fx):
-    counted = resolve.with_key_count(fx.organization(), "sub")
-    return counted.filter(F.col("n") > 7)
+    return resolve.with_key_count(plain_names(fx), "sub").filter(F.col("n") == 1)
 
 
 @query
@@ -463,28 +462,24 @@ def employee_steps(fx):
     return etl.employee_steps(fx.employees(), STEPS_PER_FLOOR)
 
 
-def _listed_graph(fx: Fixtures, countries: list[str] | None, with_country: bool) -> DataFrame:
-    organization, geo_map = fx.organization(), fx.geo_map()
-    exchange = company.company_exchange(organization, fx.quote(), fx.exchange_map())
-    country = company.company_country_all(organization, geo_map)
-    listed = materialize(extract.listed_companies(exchange, country, countries), "listed")
-    own = extract.restrict(organization, listed)
-    attributes = [
-        company.company_name(own),
-        company.company_address(own),
-        company.company_url(own),
-        company.company_employee(fx.person(), family_name(fx), given_name(fx), listed),
-    ]
-    if with_country:
-        attributes.append(company.company_country_all(own, geo_map))
-    return extract.graph(*attributes)
+def _listed_graph(fx: Fixtures, **options) -> DataFrame:
+    return extract.listed_company_graph(
+        fx.organization(),
+        fx.quote(),
+        fx.person(),
+        family_name(fx),
+        given_name(fx),
+        fx.exchange_map(),
+        fx.geo_map(),
+        **options,
+    )
 
 
 @query
 def listed_company_graph(fx):
-    return _listed_graph(fx, None, with_country=True)
+    return _listed_graph(fx)
 
 
 @query
 def listed_company_graph_by_country(fx):
-    return _listed_graph(fx, LISTED_COUNTRIES, with_country=False)
+    return _listed_graph(fx, countries=LISTED_COUNTRIES, with_country=False)

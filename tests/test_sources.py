@@ -67,6 +67,13 @@ def test_ingest_stores_triples_and_rejects(spark, dump, tmp_path):
         assert rows(spark.read.text(f"{rejects}/organization"), "value") == Counter((x,) for x in REJECTED)
 
 
+def test_ingest_into_catalog_tables(spark, dump, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS kg")
+    triples.ingest_triples(spark, {"organization": dump}, str(tmp_path / "t"), database="kg")
+    named = spark.sql("SELECT sub, obj FROM kg.organization WHERE pred = 'name'")
+    assert rows(named, "sub", "obj") == Counter([("1-2", '"two words  and gaps"@en')])
+
+
 def test_ingest_without_rejects_writes_none(spark, tmp_path):
     path = tmp_path / "clean.nt"
     path.write_text("<a/b> <c#1> x .\n")

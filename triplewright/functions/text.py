@@ -1,7 +1,12 @@
-"""Column -> Column string functions. All native expressions: null in, null out."""
+"""Column -> Column string functions. All native expressions: null in, null out.
+
+Regular expressions run only on strings that a plain search marks as in need of them.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -55,12 +60,13 @@ def clean_name(x: Column) -> Column:
 
 def collapse_ws(x: Column) -> Column:
     """Each run of (ASCII) white space becomes one space."""
-    return F.regexp_replace(x, r"\s+", " ")
+    irregular = reduce(Column.__or__, [F.contains(x, F.lit(s)) for s in ("  ", "\t", "\n", "\x0b", "\f", "\r")])
+    return F.when(irregular, F.regexp_replace(x, r"\s+", " ")).otherwise(x)
 
 
 def strip_apostrophe(x: Column) -> Column:
     """Remove one leading and one trailing apostrophe; inner ones stay."""
-    return F.regexp_replace(x, "^'|'$", "")
+    return F.when(F.contains(x, F.lit("'")), F.regexp_replace(x, "^'|'$", "")).otherwise(x)
 
 
 def clean_address(x: Column) -> Column:
@@ -87,18 +93,23 @@ def url_host(x: Column, strict: bool = False) -> Column:
     return F.substring_index(F.substring_index(url, "//", -1), "/", 1)
 
 
+def _is_ascii(x: Column) -> Column:
+    return F.octet_length(x) == F.length(x)
+
+
 def ascii_fold(x: Column) -> Column:
     """Transliterate Latin letters and common signs to ASCII.
 
-    Strings that are ASCII already (as many bytes as characters) skip the folding.
-    Characters of other scripts pass through unchanged.
+    Characters of other scripts pass through unchanged. A string stops at the first step
+    that leaves it ASCII: as it is, with single characters exchanged, and last with the
+    rarer characters that become several.
     """
-    folded = x
+    exchanged = F.translate(x, "".join(ASCII_SINGLE) + DROPPED, "".join(ASCII_SINGLE.values()))
+    spelled_out = exchanged
     for char, text in ASCII_LONG.items():
-        folded = F.replace(folded, F.lit(char), F.lit(text))
-    source = "".join(ASCII_SINGLE) + DROPPED
-    folded = F.translate(folded, source, "".join(ASCII_SINGLE.values()))
-    return F.when(F.octet_length(x) == F.length(x), x).otherwise(folded)
+        spelled_out = F.replace(spelled_out, F.lit(char), F.lit(text))
+    folded = F.when(_is_ascii(exchanged), exchanged).otherwise(spelled_out)
+    return F.when(_is_ascii(x), x).otherwise(folded)
 
 
 def company_name_text(origin: Column) -> Column:

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triplewright.operators.skew import existence_join
+from triplewright.plans import company
+from triplewright.session import materialize
 
 
 def listed_companies(
@@ -34,3 +36,34 @@ def restrict(df: DataFrame, companies: DataFrame) -> DataFrame:
 def graph(*attributes: DataFrame) -> DataFrame:
     """Attribute tables as one (sub, pred, obj) frame."""
     return reduce(DataFrame.union, [a.select("sub", "pred", "obj") for a in attributes])
+
+
+def listed_company_graph(
+    organization: DataFrame,
+    quote: DataFrame,
+    person: DataFrame,
+    family_name: DataFrame,
+    given_name: DataFrame,
+    exchange_map: DataFrame,
+    country_map: DataFrame,
+    countries: Iterable[str] | None = None,
+    with_country: bool = True,
+) -> DataFrame:
+    """Name, address, web host, people and (optionally) countries of the exchange-listed companies.
+
+    ``countries`` keeps only companies of these mapped countries. The ids of the listed
+    companies are written out once, as every attribute is restricted to them.
+    """
+    exchange = company.company_exchange(organization, quote, exchange_map)
+    country = None if countries is None else company.company_country_all(organization, country_map)
+    listed = materialize(listed_companies(exchange, country, countries), "listed")
+    own = restrict(organization, listed)
+    attributes = [
+        company.company_name(own),
+        company.company_address(own),
+        company.company_url(own),
+        company.company_employee(person, family_name, given_name, listed),
+    ]
+    if with_country:
+        attributes.append(company.company_country_all(own, country_map))
+    return graph(*attributes)

@@ -45,12 +45,21 @@ def rejected_lines(lines: DataFrame) -> DataFrame:
     return lines.filter(~_has_predicate())
 
 
-def ingest_triples(spark: SparkSession, dumps: dict[str, str], target: str, rejects: str | None = None) -> dict[str, dict]:
+def ingest_triples(
+    spark: SparkSession,
+    dumps: dict[str, str],
+    target: str,
+    rejects: str | None = None,
+    database: str | None = None,
+) -> dict[str, dict]:
     """Store each dump (name -> path) as Parquet under ``target/name``, partitioned by predicate.
 
+    With ``database`` each dump also becomes the catalog table ``database.name`` over these files.
+
     The rebalance hint groups a predicate's rows into few files and cuts a large predicate
     into many tasks. Lines are counted while writing; only a dump that has unparsable lines
-    is read again to put these under ``rejects/name``. Returns the counts per dump.
+    is read again to put these under ``rejects/name``. Returns the counts per dump; work
+    repeated after a lost executor may be counted twice.
     """
     counts = {}
     for name, path in dumps.items():
@@ -60,9 +69,11 @@ def ingest_triples(spark: SparkSession, dumps: dict[str, str], target: str, reje
             F.count(F.lit(1)).alias("lines"),
             F.count_if(~_has_predicate()).alias("rejected"),
         )
-        parse_triples(lines).hint("rebalance", "pred").write.partitionBy("pred").mode("overwrite").parquet(
-            f"{target}/{name}"
-        )
+        writer = parse_triples(lines).hint("rebalance", "pred").write.partitionBy("pred").mode("overwrite")
+        if database:
+            writer.option("path", f"{target}/{name}").saveAsTable(f"{database}.{name}")
+        else:
+            writer.parquet(f"{target}/{name}")
         counts[name] = seen.get
         if rejects and counts[name]["rejected"]:
             rejected_lines(read_lines(spark, path)).write.mode("overwrite").text(f"{rejects}/{name}")
