@@ -30,7 +30,7 @@ def differences(df, connection, sql: str) -> list[str]:
     columns = sorted(ours)
     got = Counter(map(tuple, df.select(*columns).collect()))
     wanted = Counter(expected.select(*[f'"{c}"' for c in columns]).fetchall())
-    found = []
+    found = [] if wanted else ["no rows to compare"]
     if got.total() != wanted.total():
         found.append(f"{got.total()} rows != {wanted.total()}")
     if got != wanted:

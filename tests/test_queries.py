@@ -29,7 +29,6 @@ def test_query_matches_oracle(spark, connection, name, capsys):
     plan = capsys.readouterr().out
     assert [word for word in UNWANTED if word in plan] == []
     assert differences(df, connection, driver.oracle_sql()[name]) == []
-    assert df.count() > 0
 
 
 COMPOSITES = sorted(n for n in driver.queries() if n.startswith(("company_", "person_", "listed_", "join_", "top1_")))

@@ -98,16 +98,17 @@ def single_value(df: DataFrame, key: str, value: str) -> DataFrame:
     )
 
 
-def conflicting_values(df: DataFrame, key: str, value: str) -> DataFrame:
+def conflicting_values(df: DataFrame, key: str, value: str, single: DataFrame | None = None) -> DataFrame:
     """Distinct (key, value) of the keys that have several values.
 
-    The complement of :func:`single_value`, taken by grouping whole (key, value) pairs:
-    copies collapse before the shuffle and no key is gathered in one place.
+    The complement of :func:`single_value`, whose result may be given as ``single``. Grouping
+    whole (key, value) pairs collapses copies before the shuffle and gathers no key in one place.
     """
-    pairs = df.select(key, value, F.lit(0).alias("single"))
-    single = single_value(df, key, value).withColumn("single", F.lit(1))
+    if single is None:
+        single = single_value(df, key, value)
     return (
-        pairs.unionByName(single)
+        df.select(key, value, F.lit(0).alias("single"))
+        .unionByName(single.select(key, value, F.lit(1).alias("single")))
         .groupBy(key, value)
         .agg(F.max("single").alias("single"))
         .filter(F.col("single") == 0)

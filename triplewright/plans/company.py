@@ -76,9 +76,13 @@ def company_name(organization: DataFrame) -> DataFrame:
     return _with_clean_name(single_value(literals(organization, NAME, value="origin"), "sub", "origin"))
 
 
-def company_name_conflict(organization: DataFrame) -> DataFrame:
-    """All names of companies with several raw names, even if their cleaned forms agree."""
-    return _with_clean_name(conflicting_values(literals(organization, NAME, value="origin"), "sub", "origin"))
+def company_name_conflict(organization: DataFrame, unique: DataFrame | None = None) -> DataFrame:
+    """All names of companies with several raw names, even if their cleaned forms agree.
+
+    ``unique`` is the table of :func:`company_name`, if it has been saved already.
+    """
+    names = literals(organization, NAME, value="origin")
+    return _with_clean_name(conflicting_values(names, "sub", "origin", unique))
 
 
 def company_address(organization: DataFrame) -> DataFrame:

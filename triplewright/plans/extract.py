@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from triplewright.operators.skew import existence_join
+from triplewright.operators.skew import existence_join, present
 from triplewright.plans import company
 from triplewright.session import materialize
 
@@ -21,7 +21,7 @@ def listed_companies(
     if countries is None:
         return listed
     inside = country.filter(F.col("obj").isin(*countries)).select("sub").dropDuplicates()
-    return listed.join(inside, "sub", "left_semi")
+    return present(listed, inside, "sub")
 
 
 def restrict(df: DataFrame, companies: DataFrame) -> DataFrame:

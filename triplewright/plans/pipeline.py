@@ -43,8 +43,8 @@ def ingest(spark: SparkSession, paths: JobPaths, dumps: list[str] = DUMPS) -> di
 def derive(spark: SparkSession, paths: JobPaths, location: str | None = None) -> list[str]:
     """Derive all attribute tables from stored triples and save them; returns their names.
 
-    ``location`` puts the table files below a folder instead of the warehouse. The
-    employee table reads the saved name tables rather than computing them again.
+    ``location`` puts the table files below a folder instead of the warehouse. Name conflicts
+    and employees build on saved tables rather than computing them again.
     """
     organization, quote, industry, people = (
         read_triples(spark, f"{paths.triples}/{name}") for name in ("organization", "quote", "industry", "person")
@@ -54,20 +54,23 @@ def derive(spark: SparkSession, paths: JobPaths, location: str | None = None) ->
     country_map = read_country_mapping(spark, f"{paths.mappings}/country_map")
     saved = []
 
+    def at(table: str) -> str | None:
+        return f"{location}/{table}" if location else None
+
     def save(table: str, df: DataFrame) -> str:
-        save_table(df, table, _at(table))
+        save_table(df, table, at(table))
         saved.append(table)
         return table
 
-    def _at(table: str) -> str | None:
-        return f"{location}/{table}" if location else None
-
     save(f"{paths.company}exchange", company.company_exchange(organization, quote, exchange_map))
-    save(f"{paths.company}conflict_name", company.company_name_conflict(organization))
-    save(f"{paths.company}name", company.company_name(organization))
+    name = save(f"{paths.company}name", company.company_name(organization))
+    save(
+        f"{paths.company}conflict_name",
+        company.company_name_conflict(organization, spark.read.table(name)),
+    )
     save(f"{paths.company}address", company.company_address(organization))
     country = save(f"{paths.company}country", company.company_country(organization, country_map))
-    append_table(company.company_country_from_address(organization, country_map), country, _at(country))
+    append_table(company.company_country_from_address(organization, country_map), country, at(country))
     save(f"{paths.company}industry", company.company_industry(organization, industry, industry_map))
     save(f"{paths.company}url", company.company_url(organization))
     family = save(f"{paths.person}familyname", person.person_family_name(people))
