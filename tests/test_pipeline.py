@@ -1,5 +1,7 @@
 """The whole job over stored dumps, and properties of its tables."""
 
+from dataclasses import replace
+
 import pytest
 
 from checks.fixtures import Fixtures
@@ -63,6 +65,21 @@ def test_job_can_be_repeated(spark, job):
     assert {t: spark.read.table(t).count() for t in tables} == before
 
 
+def test_copies_of_lines_change_nothing(spark, job, tmp_path):
+    paths, tables, _ = job
+    for name in pipeline.DUMPS:
+        lines = spark.read.text(f"{paths.dumps}/{name}")
+        lines.union(lines).union(lines).write.text(f"{tmp_path}/dumps/{name}")
+    copies = replace(
+        paths, dumps=f"{tmp_path}/dumps", triples=f"{tmp_path}/triples", company="c3_company_", person="c3_person_"
+    )
+    pipeline.ingest(spark, copies)
+    pipeline.derive(spark, copies, f"{tmp_path}/tables")
+    for table in tables:
+        once, thrice = spark.read.table(table), spark.read.table(f"c3_{table}")
+        assert once.exceptAll(thrice).isEmpty() and thrice.exceptAll(once).isEmpty(), table
+
+
 def subjects(df):
     return {r["sub"] for r in df.select("sub").distinct().collect()}
 

@@ -29,13 +29,12 @@ def parse_triples(lines: DataFrame) -> DataFrame:
     Subject and predicate keep their local names only. The object is all text between the
     second and the last space, in its raw form.
     """
-    line = F.col("value")
-    head = F.substring_index(line, " ", 2)
-    rest = F.substring(line, F.length(head) + 2, F.length(line))
+    tokens = F.split("value", " ", 3)
+    rest = F.coalesce(F.get(tokens, 2), F.lit(""))
     last = F.substring_index(rest, " ", -1)
     return lines.filter(_has_predicate()).select(
-        path_end(F.substring_index(line, " ", 1)).alias("sub"),
-        local_name(F.substring_index(head, " ", -1)).alias("pred"),
+        path_end(F.get(tokens, 0)).alias("sub"),
+        local_name(F.get(tokens, 1)).alias("pred"),
         F.left(rest, F.greatest(F.length(rest) - F.length(last) - 1, F.lit(0))).alias("obj"),
     )
 
