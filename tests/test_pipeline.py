@@ -4,8 +4,8 @@ from dataclasses import replace
 
 import pytest
 
-from checks.fixtures import Fixtures
-from checks.oracle import ORACLE
+from triplewright_checks.fixtures import Fixtures
+from triplewright_checks.oracle import ORACLE
 from tests.compare import database, differences
 from triplewright.operators.facts import facts
 from triplewright.plans import company, extract, person, pipeline

@@ -1,6 +1,8 @@
 """Column -> Column string functions. All native expressions: null in, null out.
 
-Regular expressions run only on strings that a plain search marks as in need of them.
+Replacements by regular expression run only on strings that a plain search marks as in
+need of them. Such functions use their argument several times: apply them in projections of their
+own (see :func:`triplewright.operators.facts.in_steps`), not nested in one another.
 """
 
 from __future__ import annotations
@@ -55,7 +57,7 @@ def iri_id(x: Column) -> Column:
 
 def clean_name(x: Column) -> Column:
     """Commas become spaces, full stops vanish."""
-    return F.translate(x, ",.", " ")
+    return F.replace(F.replace(x, F.lit(","), F.lit(" ")), F.lit("."), F.lit(""))
 
 
 def collapse_ws(x: Column) -> Column:
@@ -97,24 +99,27 @@ def _is_ascii(x: Column) -> Column:
     return F.octet_length(x) == F.length(x)
 
 
-def ascii_fold(x: Column) -> Column:
-    """Transliterate Latin letters and common signs to ASCII.
-
-    Characters of other scripts pass through unchanged. A string stops at the first step
-    that leaves it ASCII: as it is, with single characters exchanged, and last with the
-    rarer characters that become several.
-    """
+def exchange_letters(x: Column) -> Column:
+    """Each character with a one-character ASCII form becomes that; ASCII strings skip the work."""
     exchanged = F.translate(x, "".join(ASCII_SINGLE) + DROPPED, "".join(ASCII_SINGLE.values()))
-    spelled_out = exchanged
+    return F.when(_is_ascii(x), x).otherwise(exchanged)
+
+
+def spell_out_letters(x: Column) -> Column:
+    """The rarer characters whose ASCII form is longer become that; ASCII strings skip the work."""
+    spelled_out = x
     for char, text in ASCII_LONG.items():
         spelled_out = F.replace(spelled_out, F.lit(char), F.lit(text))
-    folded = F.when(_is_ascii(exchanged), exchanged).otherwise(spelled_out)
-    return F.when(_is_ascii(x), x).otherwise(folded)
+    return F.when(_is_ascii(x), x).otherwise(spelled_out)
+
+
+def ascii_fold(x: Column) -> Column:
+    """Transliterate Latin letters and common signs to ASCII. Other scripts pass through unchanged."""
+    return spell_out_letters(exchange_letters(x))
 
 
-def company_name_text(origin: Column) -> Column:
-    """The whole cleaning chain of a company name."""
-    return ascii_fold(strip_apostrophe(collapse_ws(clean_name(F.trim(origin)))))
+# The cleaning of a company name, step by step.
+NAME_STEPS = (F.trim, clean_name, collapse_ws, strip_apostrophe, exchange_letters, spell_out_letters)
 
 
 def triple_pattern(base: str) -> str:

@@ -27,9 +27,20 @@ def links(triples: DataFrame, preds: Iterable[str], key: str = "sub", target: st
     return facts(triples, *preds).select(F.col("sub").alias(key), iri_id(F.col("obj")).alias(target))
 
 
-def with_object(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+def in_steps(df: DataFrame, column: str, *steps: Callable[[Column], Column]) -> DataFrame:
+    """Change a column step by step, each in a projection of its own.
+
+    Catalyst keeps a projection apart whose result the next one uses several times, so
+    every step is computed once per row.
+    """
+    for step in steps:
+        df = df.withColumn(column, step(F.col(column)))
+    return df
+
+
+def with_object(df: DataFrame, *steps: Callable[[Column], Column]) -> DataFrame:
     """(sub, changed obj)."""
-    return df.select("sub", change(F.col("obj")).alias("obj"))
+    return in_steps(df.select("sub", "obj"), "obj", *steps)
 
 
 def as_facts(df: DataFrame, pred: str, *extra: str) -> DataFrame:

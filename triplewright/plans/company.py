@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triplewright.functions.text import (
+    NAME_STEPS,
     address_country,
     clean_address,
     collapse_ws,
-    company_name_text,
     literal_value,
     url_host,
 )
-from triplewright.operators.facts import as_facts, facts, links, literals, with_object
+from triplewright.operators.facts import as_facts, facts, in_steps, links, literals, with_object
 from triplewright.operators.resolve import (
     conflicting_values,
     longest_per_key,
@@ -68,7 +68,7 @@ def company_exchange(organization: DataFrame, quote: DataFrame, exchange_map: Da
 
 
 def _with_clean_name(names: DataFrame) -> DataFrame:
-    return as_facts(names.withColumn("obj", company_name_text(F.col("origin"))), NAME, "origin")
+    return as_facts(in_steps(names.withColumn("obj", F.col("origin")), "obj", *NAME_STEPS), NAME, "origin")
 
 
 def company_name(organization: DataFrame) -> DataFrame:
@@ -87,7 +87,7 @@ def company_name_conflict(organization: DataFrame, unique: DataFrame | None = No
 
 def company_address(organization: DataFrame) -> DataFrame:
     """Longest cleaned headquarters address per company, ties kept."""
-    address = with_object(literals(organization, ADDRESS), lambda x: collapse_ws(clean_address(x)))
+    address = with_object(literals(organization, ADDRESS), clean_address, collapse_ws)
     return as_facts(longest_per_key(address, "sub", "obj"), ADDRESS)
 
 
@@ -160,6 +160,7 @@ def company_employee(
     pairs = materialize(pairs.dropDuplicates(), "positions")
     family = family_name.select(F.col("sub").alias("p"), F.col("obj").alias("family"))
     given = given_name.select(F.col("sub").alias("p"), F.col("obj").alias("given"))
-    names = skew_join(family, given, "p").select("p", collapse_ws(F.concat_ws(" ", "family", "given")).alias("obj"))
+    names = skew_join(family, given, "p").select("p", F.concat_ws(" ", "family", "given").alias("obj"))
+    names = in_steps(names, "obj", collapse_ws)
     employee = skew_join(pairs, names, "p", right_probe=family.select("p").union(given.select("p")))
     return as_facts(employee.select(F.col("company").alias("sub"), "obj").dropDuplicates(), "hasEmployee")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.fixtures import BASE, Fixtures
+from triplewright_checks.fixtures import BASE, Fixtures
 from triplewright.functions import text
 from triplewright.operators import resolve
 from triplewright.operators.facts import as_facts, facts, links, literals, with_object
