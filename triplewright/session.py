@@ -2,37 +2,42 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="triplewright-")
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share for intermediate files.
 
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below ``spark.checkpoint.dir``, the folder all executors share.
-
-    Without that setting only a local session gets a path, in a temporary folder.
+    ``spark.checkpoint.dir`` names it. Only a local session may leave that unset: it then
+    uses a folder below its warehouse.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = _local_scratch()
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return shared.rstrip("/")
+
 
+def scratch_path(spark: SparkSession, name: str, below: str | None = None) -> str:
+    """A fresh path in the shared folder, or in ``below``."""
+    return f"{below or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+
+def materialize(df: DataFrame, name: str, below: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     Cuts the lineage, survives lost executors, and gives Catalyst real sizes.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_path(spark, name, below)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the Hadoop file system it lies in."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
