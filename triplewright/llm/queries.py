@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triplewright.llm import bpe, quality, sharding, token_counts
+from triplewright.llm import bpe, near_dups, quality, sharding, token_counts
 from triplewright.session import materialize, scratch_path
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -20,6 +20,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dups.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_shingles",
+        "component_id",
+        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"),
+    )
+
+
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.round_trip(documents, BPE_RANKS, BPE_PATTERN)
@@ -65,6 +75,7 @@ def op10_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_setsketch_dedup": op2_setsketch_dedup,
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op5_token_counts": op5_token_counts,
     "op9_virtual_slots": op9_virtual_slots,
