@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triplewright.llm import bpe, near_dups, quality, sharding, token_counts
+from triplewright.llm import bpe, licenses, mixing, near_dups, quality, sharding, token_counts
 from triplewright.session import materialize, scratch_path
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -35,12 +35,21 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents, BPE_RANKS, BPE_PATTERN)
 
 
+def op4_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(documents, TOKENIZER, scratch_path(spark, "token_cache"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op6_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.pareto_mix(_table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
 def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sharding.shard_table(_table(spark, sf_dir, "documents"), N_SHARDS)
     numbered = sharding.number_in_shard(materialize(shards, "sharded"), ["doc_id", "text_crc32"])
@@ -77,7 +86,9 @@ def op10_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_setsketch_dedup": op2_setsketch_dedup,
     "op3_bpe_round_trip": op3_bpe_round_trip,
+    "op4_license_rules": op4_license_rules,
     "op5_token_counts": op5_token_counts,
+    "op6_pareto_mix": op6_pareto_mix,
     "op9_virtual_slots": op9_virtual_slots,
     "op10_quality_ledger": op10_quality_ledger,
 }
