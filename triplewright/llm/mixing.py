@@ -8,18 +8,19 @@
    The whole part of that number is taken for certain.
 3. Pareto order sampling. The fraction left is a document's inclusion probability p. With a
    uniform number u from a hash of the document, its rank is the odds of u over the odds of
-   p; a source takes its documents in rank order until the words left of its target are
-   met, and the last one only if that comes nearer. Size is thus fixed to within half a
-   document, while probabilities differ between classes.
+   p; a source takes its documents in rank order as long as they fit into what is left of
+   its target. What the first document beyond leaves open is filled in the same way from the
+   documents that are short enough, a few times over, and at last by one document more if that
+   comes nearer. Size is thus fixed up to a short document, probabilities differ by class.
 
-The cut in rank order is found without sorting a source: words are summed over a histogram
+A cut in rank order is found without sorting a source: words are summed over a histogram
 of ranks, then over a histogram of the one cell that holds the cut, and only what
 shares a cell of the second with the cut is ordered. Sources may be of any size.
 
 Defined results: a null text has size 0; documents of size 0 take part and are taken 0
-words. Null sources form a source of their own, last in order. Equal rows get equal
-ranks and are ordered among themselves arbitrarily, so the result as a set of rows is
-the same in each run. An empty table gives an empty result.
+words. Null sources form a source of their own, last in order. Equal rows are numbered
+and drawn one by one, so the result as a set of rows is the same in each run. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,7 +38,8 @@ SEED = 20260
 N_CLASSES = 32
 # Cells of each of the two histograms of ranks.
 CELLS = 4096
-SPACES = r"[^\x20\x09-\x0D]+"
+# How often what is left of a target is filled with shorter documents.
+FILLS = 3
 
 
 def word_count(text: Column) -> Column:
@@ -120,24 +122,81 @@ def _class_rates(classes: DataFrame, max_copies: int) -> DataFrame:
     return chosen.select("source", "class", rate.alias("rate"))
 
 
-def _join_sources(df: DataFrame, other: DataFrame, *more: str) -> DataFrame:
-    """Join on source, nulls included, and on other columns. ``other`` is small: it has a row
-    for each source and class or cell, and adaptive execution picks the join by its size."""
+def _join_sources(df: DataFrame, other: DataFrame, *more: str, how: str = "inner") -> DataFrame:
+    """Join on source, nulls included, and on other columns. ``other`` has a row for each source
+    (and class), and adaptive execution picks the join by its size."""
     renamed = other.withColumnRenamed("source", "__source")
     for name in more:
         renamed = renamed.withColumnRenamed(name, f"__{name}")
     conditions = [df["source"].eqNullSafe(renamed["__source"]), *(df[name] == renamed[f"__{name}"] for name in more)]
-    return df.join(renamed, reduce(Column.__and__, conditions)).drop("__source", *(f"__{name}" for name in more))
+    return df.join(renamed, reduce(Column.__and__, conditions), how).drop("__source", *(f"__{name}" for name in more))
 
 
-def _cut_cells(ranked: DataFrame, cell: str, need: str) -> DataFrame:
-    """Per source: the cell in which the running words reach ``need``, and what is still needed in it."""
-    sums = ranked.groupBy("source", cell, need).agg(F.sum("size").alias("words"))
+def _left_sources(df: DataFrame, other: DataFrame) -> DataFrame:
+    return _join_sources(df, other, how="left")
+
+
+def _told_apart(docs: DataFrame) -> DataFrame:
+    """Add ``lot``: the record hash, for repeated records hashed again with their number 0, 1, ….
+
+    Repeated records are numbered within (record, part) and shifted by the parts before, so
+    no group holds all copies.
+    """
+    repeated = docs.groupBy("record").agg(F.count("*").alias("n")).filter("n > 1").select("record")
+    repeated = materialize(repeated, "repeated")
+    if repeated.isEmpty():
+        return docs.withColumn("lot", F.col("record")).drop("part")
+    copies = materialize(docs.join(repeated, "record"), "copies")
+    before = Window.partitionBy("record").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = copies.groupBy("record", "part").agg(F.count("*").alias("n"))
+    shifts = shifts.withColumn("shift", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    place = F.row_number().over(Window.partitionBy("record", "part").orderBy("size"))
+    numbered = copies.withColumn("place", place).join(shifts, ["record", "part"])
+    lots = numbered.withColumn("lot", F.xxhash64("record", F.col("place") + F.col("shift"))).drop("place", "shift", "part")
+    single = docs.join(repeated, "record", "left_anti").withColumn("lot", F.col("record")).drop("part")
+    return materialize(single.unionByName(lots), "lots")
+
+
+def _cut_cells(candidates: DataFrame, cell: str, need: str) -> DataFrame:
+    """Per source: the cell in which the running words pass ``need``, and what is needed within it."""
+    sums = candidates.groupBy("source", cell, need).agg(F.sum("size").alias("words"))
     before = Window.partitionBy("source").orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
     running = sums.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0)))
-    inside = running.filter((F.col("before") <= F.col(need)) & (F.col("before") + F.col("words") > F.col(need)))
-    first = inside.groupBy("source").agg(F.min(F.struct(cell, F.col(need) - F.col("before"))).alias("cut"))
-    return first.select("source", F.col("cut")[cell].alias(f"cut_{cell}"), F.col("cut")["col2"].alias(f"need_{cell}"))
+    beyond = running.filter(F.col("before") + F.col("words") > F.col(need))
+    rest = (F.col(need) - F.col("before")).alias("rest")
+    return beyond.groupBy("source").agg(F.min(F.struct(cell, rest)).alias("cut")).select(
+        "source", F.col(f"cut.{cell}").alias(f"cut_{cell}"), F.col("cut.rest").alias(f"{cell}_need")
+    )
+
+
+def _draw(ranked: DataFrame, last: bool) -> DataFrame:
+    """Set ``more`` to 1 for further documents, in rank order, until ``left`` is met.
+
+    The document that passes ``left`` is taken in the ``last`` draw only, if that comes nearer.
+    """
+    short = F.col("size") <= F.col("left") * (2 if last else 1)
+    candidate = F.expr("rank IS NOT NULL AND size > 0 AND more = 0") & short
+    open_ = ranked.withColumn("candidate", candidate)
+    candidates = open_.filter("candidate")
+    coarse = materialize(_cut_cells(candidates, "cell", "left"), "cuts")
+    in_cell = _join_sources(candidates, coarse).filter("cell = cut_cell")
+    cuts = materialize(_join_sources(coarse, _cut_cells(in_cell, "fine", "cell_need")), "cuts")
+    at_cut = _join_sources(candidates, cuts).filter("cell = cut_cell AND fine = cut_fine")
+    order = Window.partitionBy("source").orderBy("rank", "lot")
+    through = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    fits = F.col("through") - (F.col("size") / 2 if last else 0) <= F.col("fine_need")
+    reached = (
+        at_cut.withColumn("through", through).filter(fits).groupBy("source").agg(F.max(F.struct("rank", "lot")).alias("upto"))
+    )
+    cuts = _left_sources(cuts, reached)
+    drawn = _left_sources(open_, materialize(cuts.drop("cell_need", "fine_need"), "cuts"))
+    before_cut = F.expr("cut_cell IS NULL OR cell < cut_cell OR (cell = cut_cell AND fine < cut_fine)")
+    at_most = F.expr("cell = cut_cell AND fine = cut_fine AND struct(rank, lot) <= upto")
+    taken = F.col("candidate") & F.coalesce(before_cut | at_most, F.lit(False))
+    more = F.when(taken, 1).otherwise(F.col("more"))
+    drawn = materialize(drawn.withColumn("more", more).drop("candidate", "left", "cut_cell", "cut_fine", "upto"), "drawn")
+    words = drawn.groupBy("source").agg(F.sum(F.col("size") * F.col("more")).alias("words"))
+    return _join_sources(drawn, words).withColumn("left", F.col("need") - F.col("words")).drop("words")
 
 
 def pareto_mix(
@@ -156,9 +215,12 @@ def pareto_mix(
             F.xxhash64(F.lit(seed), F.col(key), F.col(text)).alias("record"),
             F.col(source).alias("source"),
             word_count(F.col(text)).alias("size"),
-        ).withColumn("class", length_class(F.col("size"))),
+        )
+        .withColumn("class", length_class(F.col("size")))
+        .withColumn("part", F.pmod(F.spark_partition_id(), F.lit(16))),
         "mix_documents",
     )
+    docs = _told_apart(docs)
     class_sizes = materialize(docs.groupBy("source", "class").agg(F.sum("size").alias("class_size")), "class_sizes")
     sources = class_sizes.groupBy("source").agg(F.sum("class_size").alias("source_size"))
     goals = materialize(targets(sources, weights, max_copies), "targets")
@@ -176,7 +238,7 @@ def pareto_mix(
         .agg(F.sum(F.col("class_size") * F.col("certain")).alias("certain_words"))
     )
     planned = _join_sources(planned, certain_words).withColumn("need", F.greatest(F.lit(0.0), F.col("target") - F.col("certain_words")))
-    uniform = (F.pmod("record", F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    uniform = (F.pmod("lot", F.lit(1 << 52)) + 0.5) / float(1 << 52)
     odds = F.col("uniform") / (1 - F.col("uniform"))
     rank = F.when(F.col("p") >= 1, 0.0).when(F.col("p") > 1e-9, odds / (F.col("p") / (1 - F.col("p"))))
     # Ranks in [0, infinity) to [0, 1), in order; where nothing is left to draw there is no rank.
@@ -185,30 +247,17 @@ def pareto_mix(
     ranked = materialize(
         ranked.withColumn("cell", F.least(F.lit(CELLS - 1), F.floor(scaled).cast("int")))
         .withColumn("fine", F.least(F.lit(CELLS - 1), F.floor((scaled - F.col("cell")) * CELLS).cast("int")))
-        .select("key", "record", "source", "source_size", "size", "target", "certain", "need", "rank", "cell", "fine"),
+        .withColumns({"more": F.lit(0), "left": F.col("need")})
+        .select(
+            *("key", "record", "lot", "source", "source_size", "size", "target", "certain", "need", "rank", "cell", "fine"),
+            *("more", "left"),
+        ),
         "ranked",
     )
-    drawn = ranked.filter("rank IS NOT NULL AND size > 0")
-    coarse = materialize(_cut_cells(drawn, "cell", "need"), "cuts")
-    in_cell = _join_sources(drawn, coarse).filter("cell = cut_cell")
-    cuts = materialize(_cut_cells(in_cell, "fine", "need_cell"), "cuts")
-    cuts = materialize(_join_sources(coarse, cuts), "cuts")
-    at_cut = _join_sources(drawn, cuts).filter("cell = cut_cell AND fine = cut_fine")
-    order = Window.partitionBy("source").orderBy("rank", "record", "key")
-    before = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    # The document that crosses the cut is taken if half of it or more is needed.
-    last = at_cut.withColumn("before", before).withColumn("more", (F.col("before") + F.col("size") / 2 <= F.col("need_fine")).cast("int"))
-    others = (
-        ranked.join(cuts.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source")), "left")
-        .drop("__source")
-        .withColumn("drawn", F.expr("rank IS NOT NULL AND size > 0"))
-        .filter("NOT (drawn AND cell <=> cut_cell AND fine <=> cut_fine)")
-        .withColumn("more", F.expr("CAST(drawn AND (cut_cell IS NULL OR cell < cut_cell OR (cell = cut_cell AND fine < cut_fine)) AS INT)"))
-    )
-    columns = ["key", "record", "size", "source", "source_size", "target", "certain", "more"]
-    both = others.select(*columns).unionByName(last.select(*columns))
+    for draw in range(FILLS + 1):
+        ranked = _draw(ranked, last=draw == FILLS)
     copies = F.least(F.lit(max_copies), F.col("certain") + F.col("more"))
-    return both.select(F.col("key").alias(key), "record", "size", "source", "source_size", "target", copies.alias("copies"))
+    return ranked.select(F.col("key").alias(key), "record", "size", "source", "source_size", "target", copies.alias("copies"))
 
 
 def mixed_rows(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
