@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from triplewright.llm import bpe, quality
+from triplewright.llm import bpe, mixing, near_dups, quality
 from triplewright.llm.queries import BPE_PATTERN, BPE_RANKS
 from triplewright.session import materialize
 
@@ -19,6 +19,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.filter("kept").select(*COLUMNS)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: that with the smallest id."""
+    return near_dups.keep_one(docs.select(*COLUMNS))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
+    return mixing.mixed_rows(docs.select(*COLUMNS))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, with digests of ids and decoded bytes."""
     return bpe.round_trip(docs.select("doc_id", "source", "text"), BPE_RANKS, BPE_PATTERN)
@@ -26,6 +36,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("source_mix", source_mix),
     ("bpe", encode),
 ]
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triplewright.llm import bpe, licenses, mixing, near_dups, quality, sharding, token_counts
+from triplewright.llm import bpe, licenses, mixing, near_dups, quality, sharding, token_counts, warc
 from triplewright.session import materialize, scratch_path
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -20,6 +20,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    _, manifest = warc.archive_pages(pages)
+    read = warc.read_back(pages, manifest, payloads=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dups.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -84,6 +91,7 @@ def op10_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_index": op1_warc_index,
     "op2_setsketch_dedup": op2_setsketch_dedup,
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op4_license_rules": op4_license_rules,
