@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 # Values of new columns by name, for the values of the columns read.
 Columns = dict[str, Iterable]
@@ -20,7 +21,7 @@ def add_columns(
 ) -> DataFrame:
     """Add the columns ``fields`` (``name type, …``), which ``compute`` makes from the lists of
     values of ``inputs``. ``drop`` leaves the inputs out. Columns of the new names are replaced."""
-    added = [field.strip().split()[0] for field in fields.split(",")]
+    added = StructType.fromDDL(fields).names
     left_out = set(inputs) if drop else set()
     kept = [f for f in df.schema if f.name not in left_out and f.name not in added]
     names = [f.name for f in kept]
@@ -31,7 +32,7 @@ def add_columns(
             if batch.num_rows:
                 values = compute(*(batch.column(name).to_pylist() for name in inputs))
                 arrays = [batch.column(name) for name in names]
-                arrays += [pa.array(values[name], from_pandas=True) for name in added]
+                arrays += [v if isinstance(v := values[name], pa.Array) else pa.array(v, from_pandas=True) for name in added]
                 yield pa.RecordBatch.from_arrays(arrays, names=names + added)
 
     # Only what is read or passed on crosses into Python.

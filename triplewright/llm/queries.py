@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triplewright.llm import bpe, licenses, mixing, near_dups, quality, sharding, token_counts, warc
+from triplewright.llm import bpe, licenses, lm_scoring, mixing, near_dups, quality, sharding, token_counts, warc
 from triplewright.session import materialize, scratch_path
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -57,6 +57,10 @@ def op6_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+def op8_gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(_table(spark, sf_dir, "documents"))
+
+
 def op9_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sharding.shard_table(_table(spark, sf_dir, "documents"), N_SHARDS)
     numbered = sharding.number_in_shard(materialize(shards, "sharded"), ["doc_id", "text_crc32"])
@@ -97,6 +101,7 @@ QUERIES = {
     "op4_license_rules": op4_license_rules,
     "op5_token_counts": op5_token_counts,
     "op6_pareto_mix": op6_pareto_mix,
+    "op8_gru_scores": op8_gru_scores,
     "op9_virtual_slots": op9_virtual_slots,
     "op10_quality_ledger": op10_quality_ledger,
 }
