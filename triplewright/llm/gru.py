@@ -19,8 +19,9 @@ N_CLASSES = 32
 CLASS_WORDS = 64
 N_WORDS = N_CLASSES * CLASS_WORDS
 WINDOW = 32
-BATCH = 256
-RATE = 0.05
+SCORE_BATCH = 256
+TRAIN_BATCH = 64
+RATE = 0.2
 _SHAPES = {
     "inputs": (N_WORDS, 3 * N_HIDDEN),
     "gates": (N_HIDDEN, 2 * N_HIDDEN),
@@ -102,8 +103,8 @@ def score(w: Parameters, texts: list[np.ndarray]) -> np.ndarray:
     """
     totals = np.zeros(len(texts))
     order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-    for at in range(0, len(order), BATCH):
-        members = order[at : at + BATCH]
+    for at in range(0, len(order), SCORE_BATCH):
+        members = order[at : at + SCORE_BATCH]
         lengths = np.array([len(texts[i]) for i in members])
         state = np.zeros((len(members), N_HIDDEN), dtype=np.float32)
         before = np.full(len(members), END)
@@ -131,14 +132,14 @@ class Trainer:
 
     def __init__(self, weights: Parameters):
         self.w = {name: value.copy() for name, value in weights.items()}
-        self.squares = {name: np.full(value.shape, 1e-3, dtype=np.float32) for name, value in weights.items()}
+        self.squares = {name: np.full(value.shape, 1e-6, dtype=np.float32) for name, value in weights.items()}
         self.n_targets = 0
 
     def train(self, segments: list[tuple[int, np.ndarray]]) -> None:
         """One pass over segments: the word before, and the words."""
         segments = sorted(segments, key=lambda segment: -len(segment[1]))
-        for at in range(0, len(segments), BATCH):
-            batch = segments[at : at + BATCH]
+        for at in range(0, len(segments), TRAIN_BATCH):
+            batch = segments[at : at + TRAIN_BATCH]
             lengths = np.array([len(words) for _, words in batch])
             padded = np.full((len(batch), int(lengths[0])), -1, dtype=np.int64)
             for row, (_, words) in enumerate(batch):
