@@ -11,9 +11,11 @@ registers, and two sets agree in a register about as often as they agree in shin
 3. A pair's similarity is estimated by likelihood from the registers in which one set, the
    other, or neither is ahead, jointly with both set sizes. Pairs far below the threshold go.
 4. The others are confirmed on the full shingle sets; confirmed links form components.
-5. Buckets that still hold several components are searched again, members outside the largest
-   component against all members of other components, so no pair of a bucket that could
-   join two components is left out. There is no cap on buckets, members or partners.
+5. Members of buckets that still hold several components are searched again. Of these, only
+   pairs that share a rare shingle can be similar enough (see ``rare_shingles``), which
+   keeps documents with a common passage apart without comparing them. Those outside the
+   largest component with a shingle meet all others with it, so no pair that could join two
+   components is left out. There is no cap on buckets, members or partners.
 
 Two sets of similarity 0.8 share no band with probability 3e-6; the estimate wrongly drops
 such a pair with about the same probability.
@@ -26,6 +28,7 @@ empty result. Only the id and text columns are read; other columns may have any
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,6 +51,9 @@ THRESHOLD = 80
 ESTIMATE_CUT = 0.62
 # Scale of the registers: value k stands for minima around BASE ** -k.
 BASE, RATE, TOP = 1.001, 20.0, 2**16 - 1
+# Bits of a shingle hash by which frequencies are counted, and tasks that add them up.
+FREQUENCY_BITS = 20
+MERGERS = 8
 # Parts of the members of one bucket centre.
 N_PARTS = 64
 
@@ -231,31 +237,104 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return sorted_rows.mapInArrow(_confirm, "a binary, b binary")
 
 
-def remaining_pairs(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of one bucket and different components, of which at least one is outside the
-    bucket's largest component."""
-    labelled = (
-        members.join(labels.withColumnRenamed("node", "class"), "class", "left")
-        .withColumn("component", F.coalesce("component", "class"))
-        .select("band", "class", "n_shingles", "component")
-    )
+def _text_shingles(texts: list[str]) -> Iterator[tuple[int, np.ndarray]]:
+    """Each text's number and its distinct shingle hashes."""
+    for rows, hashes, bounds in word_hashes([utf8(text) for text in texts], lower=True):
+        keys, begins = shingles(hashes, bounds)
+        for at, i in enumerate(rows):
+            yield i, np.unique(keys[begins[at] : begins[at + 1]])
+
+
+def _cell(keys: np.ndarray) -> np.ndarray:
+    return (keys >> _U(64 - FREQUENCY_BITS)).astype(np.int64)
+
+
+def shingle_frequencies(texts: DataFrame) -> np.ndarray:
+    """About how many texts have a shingle, by the top bits of its hash: a fixed number of sums.
+
+    Every task adds up its texts; a few tasks add up the tasks.
+    """
+
+    def packed(counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary())], names=["counts"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << FREQUENCY_BITS, dtype=np.int64)
+        for batch in batches:
+            for _, keys in _text_shingles(batch.column("text").to_pylist()):
+                counts[_cell(keys)] += 1
+        if counts.any():
+            yield packed(counts)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << FREQUENCY_BITS, dtype=np.int64)
+        for batch in batches:
+            for own in batch.column("counts").to_pylist():
+                counts += np.frombuffer(zlib.decompress(own), dtype=np.int64)
+        if counts.any():
+            yield packed(counts)
+
+    counted = texts.select("text").mapInArrow(count, "counts binary")
+    rows = counted.repartition(MERGERS).mapInArrow(add, "counts binary").collect()
+    total = np.zeros(1 << FREQUENCY_BITS, dtype=np.int64)
+    for row in rows:
+        total += np.frombuffer(zlib.decompress(row["counts"]), dtype=np.int64)
+    return total.astype(np.int32)
+
+
+def rare_shingles(texts: DataFrame, frequencies: np.ndarray) -> DataFrame:
+    """Add ``band``, one row per rare shingle of a text, and drop the text.
+
+    In one order of all shingles, rarest first, two sets of similarity t or more share one of
+    the first n - ceil(t n) + 1 shingles of each: a set of n that lacks them all has fewer
+    than t n left to share. A text with a passage of others but much of its own thus has
+    rare shingles of its own only.
+    """
+
+    def first(values: list[str]) -> Columns:
+        found: list[np.ndarray | None] = [None] * len(values)
+        for i, keys in _text_shingles(values):
+            order = np.lexsort((keys, frequencies[_cell(keys)]))
+            n = len(keys) - -(-THRESHOLD * len(keys) // 100) + 1
+            found[i] = keys[order[:n]].view(np.int64)
+        return {"rare": found}
+
+    return add_columns(texts, ["text"], "rare array<long>", first, drop=True).withColumn("band", F.explode("rare")).drop("rare")
+
+
+def _several_components(rows: DataFrame) -> DataFrame:
+    """Bands whose rows have more than one component."""
+    ends = rows.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return ends.filter("low <> high").select("band")
+
+
+def remaining_pairs(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of different components that share a rare shingle, among the members of buckets
+    that hold several components; at least one is outside the largest component with that
+    shingle."""
+    named = labels.withColumnRenamed("node", "class")
+    labelled = members.join(named, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    mixed = labelled.join(_several_components(labelled), "band").select("class", "n_shingles", "component").distinct()
+    rows = materialize(mixed.join(texts, "class"), "mixed_texts")
+    if rows.isEmpty():
+        return rows.select(F.col("class").alias("a"), F.col("class").alias("b"))
+    shared = materialize(rare_shingles(rows, shingle_frequencies(rows)), "rare_shingles")
+    shared = materialize(shared.join(_several_components(shared), "band"), "shared_shingles")
     largest = (
-        labelled.groupBy("band", "component")
+        shared.groupBy("band", "component")
         .agg(F.count("*").alias("n"))
         .groupBy("band")
-        .agg(F.max(F.struct("n", "component"))["component"].alias("largest"), F.count("*").alias("n"))
-        .filter("n > 1")
-        .select("band", "largest")
+        .agg(F.max(F.struct("n", "component"))["component"].alias("largest"))
     )
-    mixed = materialize(labelled.join(largest, "band"), "mixed_buckets")
-    outside = mixed.filter("component <> largest").select(
+    shared = shared.join(largest, "band")
+    outside = shared.filter("component <> largest").select(
         "band", F.col("class").alias("x"), F.col("n_shingles").alias("n_x"), F.col("component").alias("component_x")
     )
     similar_size = F.least("n_x", "n_shingles") * 100 >= F.greatest("n_x", "n_shingles") * THRESHOLD
     # A pair of two outside members is found from both; it is kept once.
     once = (F.col("component") == F.col("largest")) | (F.col("x") < F.col("class"))
     return (
-        outside.join(mixed, "band")
+        outside.join(shared, "band")
         .filter((F.col("component") != F.col("component_x")) & similar_size & once)
         .select(F.least("x", "class").alias("a"), F.greatest("x", "class").alias("b"))
         .distinct()
@@ -289,7 +368,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     )
     links = materialize(confirmed(likely_pairs(to_centres, classes), texts), "links")
     labels = materialize(components(links), "labels")
-    others = remaining_pairs(members, labels).join(to_centres, ["a", "b"], "left_anti")
+    others = remaining_pairs(members, labels, texts).join(to_centres, ["a", "b"], "left_anti")
     more = materialize(confirmed(likely_pairs(others, classes), texts), "links")
     if not more.isEmpty():
         labels = materialize(components(links.union(more)), "labels")
