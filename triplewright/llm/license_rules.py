@@ -146,3 +146,5 @@ GATE = (
     "warranty",
     "in compliance",
 )
+# Each of the above contains one of these, without white space, so they are searched in raw texts.
+RAW_GATE = ("licen", "gnu", "bsd", "cc", "creative", "permission", "public", "right", "redistribution", "names", "warranty", "compliance")

@@ -19,7 +19,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from triplewright.llm.license_rules import GATE, RULES
+from triplewright.llm.license_rules import GATE, RAW_GATE, RULES
+from triplewright.session import materialize
 
 # Phrase and label of the base detections.
 BASE = {
@@ -29,6 +30,7 @@ BASE = {
     "mit license": "mit",
 }
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 RESULTS = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
@@ -59,7 +61,7 @@ def _phrase_places(words: Column, phrase: str) -> Column:
 
 
 def base_places(df: DataFrame, words: str) -> DataFrame:
-    """Add n_words and the base detections of a column of spaced words."""
+    """Add the base detections of a column of spaced words."""
     column = F.col(words)
     for i, phrase in enumerate(BASE):
         df = df.withColumn(f"__base{i}", _phrase_places(column, phrase))
@@ -67,7 +69,6 @@ def base_places(df: DataFrame, words: str) -> DataFrame:
     labels = F.array_compact(F.array(*[F.when(f.isNotNull(), F.lit(label)) for f, label in zip(found, BASE.values())]))
     return df.withColumns(
         {
-            "n_words": (_spaces(column) - 1).cast("long"),
             "n_base": reduce(Column.__add__, [F.coalesce(f["n"], F.lit(0).cast("long")) for f in found]),
             "first_word": F.least(*[f["first"] for f in found]),
             "last_word": F.greatest(*[f["last"] for f in found]),
@@ -97,21 +98,19 @@ def detections(contents: DataFrame, key: str, words: str) -> DataFrame:
 
     ``contents`` has one row per key.
     """
-    gated = contents.filter(reduce(Column.__or__, [F.contains(words, F.lit(word)) for word in GATE]))
-    tried = gated.select(
+    tried = contents.select(
         key, words, F.inline(F.filter(_rule_literals(), lambda rule: F.contains(F.col(words), rule["keyword"])))
     )
-    # Text between matches and the matches themselves, in turn; both as numbers of spaces.
+    # Matches and the text before each, in turn; both as numbers of spaces.
     matches = F.regexp_extract_all(words, F.col("regex"), F.lit(0))
     gaps = F.split(words, F.col("regex"), -1)
-    pieces = F.transform(
+    pieces = F.zip_with(
         matches,
-        lambda match, i: F.struct(_spaces(F.get(F.col("gaps"), i)).alias("gap"), _spaces(match).alias("inside")),
+        F.slice(gaps, 1, F.size(gaps) - 1),
+        lambda match, gap: F.struct(_spaces(gap).alias("gap"), _spaces(match).alias("inside")),
     )
-    turns = (
-        tried.withColumn("gaps", gaps)
-        .withColumn("pieces", pieces)
-        .select(key, "rule", "label", "priority", "confidence", F.posexplode("pieces").alias("turn", "piece"))
+    turns = tried.select(
+        key, "rule", "label", "priority", "confidence", F.posexplode(pieces).alias("turn", "piece")
     )
     in_order = Window.partitionBy(key, "rule").orderBy("turn")
     last = F.sum(F.col("piece.gap") + F.col("piece.inside")).over(in_order) - 1
@@ -129,32 +128,52 @@ def detections(contents: DataFrame, key: str, words: str) -> DataFrame:
     return spans.filter(stays).select(key, "rule", "label", "priority", "confidence", "first_word", "last_word")
 
 
+def _any_of(column: str, words: tuple[str, ...]) -> Column:
+    return reduce(Column.__or__, [F.contains(column, F.lit(word)) for word in words])
+
+
+def _once(expression: Column) -> Column:
+    """The expression as a generated column: filters on it then read its value, where they would
+    otherwise be moved below and evaluate the expression once for each word they look for."""
+    return F.explode(F.array(expression))
+
+
 def scan_licenses(df: DataFrame, text: str = "text") -> DataFrame:
     """Replace the text by n_words, the base detections, and labels and score of all detections."""
     rows = (
         df.drop(*[c for c in RESULTS if c != text])
-        .withColumn("__words", spaced_words(F.col(text)))
-        .withColumn("__content", F.md5(F.coalesce(F.col(text), F.lit(""))))
+        .withColumn("__n_words", F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(_WORD)).cast("long"))
+        .withColumn("__content", F.md5(text))
         .drop(text)
+        .withColumnRenamed("__n_words", "n_words")
     )
-    contents = (
+    marked = (
         df.select(F.col(text).alias("__text"))
-        .withColumn("__words", spaced_words(F.col("__text")))
-        .filter(reduce(Column.__or__, [F.contains("__words", F.lit(word)) for word in GATE]))
-        .select(F.md5("__text").alias("__content"), "__words")
-        .dropDuplicates(["__content"])
+        .select("__text", _once(F.lower("__text")).alias("__lower"))
+        .filter(_any_of("__lower", RAW_GATE))
+        .select("__text", _once(spaced_words(F.col("__text"))).alias("__words"))
+        .filter(_any_of("__words", GATE))
     )
+    contents = marked.select(F.md5("__text").alias("__content"), "__words").dropDuplicates(["__content"])
+    contents = materialize(contents, "license_texts")
     found = (
         detections(contents, "__content", "__words")
         .groupBy("__content")
         .agg(F.collect_set("label").alias("__labels"), F.max("confidence").alias("__score"))
     )
-    judged = base_places(rows, "__words").drop("__words").join(found, "__content", "left")
-    both = F.array_union(F.col("__base_labels"), F.coalesce(F.col("__labels"), F.array().cast("array<string>")))
-    return judged.withColumns(
-        {
-            "base_labels": F.array_join(F.array_sort("__base_labels"), ","),
-            "labels": F.array_join(F.array_sort(F.array_distinct(both)), ","),
-            "score": F.coalesce("__score", F.lit(0.0)),
-        }
-    ).drop("__content", "__base_labels", "__labels", "__score")
+    judged = base_places(contents, "__words").drop("__words").join(found, "__content", "left")
+    nothing = F.array().cast("array<string>")
+    both = F.array_union(F.coalesce("__base_labels", nothing), F.coalesce("__labels", nothing))
+    # One row per marked content: copies of a content are split over tasks by adaptive execution.
+    return (
+        rows.join(judged, "__content", "left")
+        .withColumns(
+            {
+                "n_base": F.coalesce("n_base", F.lit(0).cast("long")),
+                "base_labels": F.array_join(F.array_sort(F.array_distinct(F.coalesce("__base_labels", nothing))), ","),
+                "labels": F.array_join(F.array_sort(F.array_distinct(both)), ","),
+                "score": F.coalesce("__score", F.lit(0.0)),
+            }
+        )
+        .drop("__content", "__base_labels", "__labels", "__score")
+    )
