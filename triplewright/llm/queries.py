@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triplewright.llm import bpe, licenses, lm_scoring, mixing, near_dups, quality, sharding, token_counts, warc
+from triplewright.llm import bpe, licenses, lm_scoring, mixing, near_dups, nn_descent, quality, sharding, token_counts, warc
 from triplewright.session import materialize, scratch_path
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -57,6 +57,11 @@ def op6_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
+def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = nn_descent.nearest(_table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", 5)
+    return found.select(F.col("query_id").cast("long"), F.col("rank").cast("int"), F.col("vec_id").cast("long"), "score")
+
+
 def op8_gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.lm_scores(_table(spark, sf_dir, "documents"))
 
@@ -101,6 +106,7 @@ QUERIES = {
     "op4_license_rules": op4_license_rules,
     "op5_token_counts": op5_token_counts,
     "op6_pareto_mix": op6_pareto_mix,
+    "op7_nn_descent": op7_nn_descent,
     "op8_gru_scores": op8_gru_scores,
     "op9_virtual_slots": op9_virtual_slots,
     "op10_quality_ledger": op10_quality_ledger,
