@@ -12,8 +12,8 @@ registers, and two sets agree in a register about as often as they agree in shin
    other, or neither is ahead, jointly with both set sizes. Pairs far below the threshold go.
 4. The others are confirmed on the full shingle sets; confirmed links form components.
 5. Members of buckets that still hold several components are searched again. Of these, only
-   pairs that share a rare shingle can be similar enough (see ``rare_shingles``), which
-   keeps documents with a common passage apart without comparing them. Those outside the
+   pairs that share a rare shingle, with enough shingles left after it, can be similar enough
+   (see ``rare_shingles``), which keeps documents with a common passage apart. Those outside the
    largest component with a shingle meet all others with it, so no pair that could join two
    components is left out. There is no cap on buckets, members or partners.
 
@@ -283,7 +283,7 @@ def shingle_frequencies(texts: DataFrame) -> np.ndarray:
 
 
 def rare_shingles(texts: DataFrame, frequencies: np.ndarray) -> DataFrame:
-    """Add ``band``, one row per rare shingle of a text, and drop the text.
+    """Add ``band``, one row per rare shingle of a text, and ``place``, its place from 0; drop the text.
 
     In one order of all shingles, rarest first, two sets of similarity t or more share one of
     the first n - ceil(t n) + 1 shingles of each: a set of n that lacks them all has fewer
@@ -299,7 +299,8 @@ def rare_shingles(texts: DataFrame, frequencies: np.ndarray) -> DataFrame:
             found[i] = keys[order[:n]].view(np.int64)
         return {"rare": found}
 
-    return add_columns(texts, ["text"], "rare array<long>", first, drop=True).withColumn("band", F.explode("rare")).drop("rare")
+    found = add_columns(texts, ["text"], "rare array<long>", first, drop=True)
+    return found.select("class", "n_shingles", "component", F.posexplode("rare").alias("place", "band"))
 
 
 def _several_components(rows: DataFrame) -> DataFrame:
@@ -328,14 +329,22 @@ def remaining_pairs(members: DataFrame, labels: DataFrame, texts: DataFrame) ->
     )
     shared = shared.join(largest, "band")
     outside = shared.filter("component <> largest").select(
-        "band", F.col("class").alias("x"), F.col("n_shingles").alias("n_x"), F.col("component").alias("component_x")
+        "band",
+        F.col("class").alias("x"),
+        F.col("n_shingles").alias("n_x"),
+        F.col("component").alias("component_x"),
+        F.col("place").alias("place_x"),
     )
     similar_size = F.least("n_x", "n_shingles") * 100 >= F.greatest("n_x", "n_shingles") * THRESHOLD
+    # If this is the first shingle that two sets share, in the order of both, they share no more
+    # than what is left of either from here on.
+    left = F.least(F.col("n_x") - F.col("place_x"), F.col("n_shingles") - F.col("place"))
+    enough = left * (100 + THRESHOLD) >= (F.col("n_x") + F.col("n_shingles")) * THRESHOLD
     # A pair of two outside members is found from both; it is kept once.
     once = (F.col("component") == F.col("largest")) | (F.col("x") < F.col("class"))
     return (
         outside.join(shared, "band")
-        .filter((F.col("component") != F.col("component_x")) & similar_size & once)
+        .filter((F.col("component") != F.col("component_x")) & similar_size & enough & once)
         .select(F.least("x", "class").alias("a"), F.greatest("x", "class").alias("b"))
         .distinct()
     )
