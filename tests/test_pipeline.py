@@ -4,9 +4,11 @@ from dataclasses import replace
 
 import pytest
 
-from triplewright_checks.fixtures import Fixtures
+from triplewright_checks.fixtures import BASE, Fixtures
 from triplewright_checks.oracle import ORACLE
+from triplewright_checks.queries import LISTED_COUNTRIES
 from tests.compare import database, differences
+from triplewright import session
 from triplewright.operators.facts import facts
 from triplewright.plans import company, extract, person, pipeline
 from triplewright.sources.triples import read_triples
@@ -14,6 +16,10 @@ from triplewright.sources.triples import read_triples
 SF_DIR = "/root/testdata/sf0.001"
 
 
+def choices(spark):
+    return pipeline.Choices(family_exclusions=Fixtures(spark, SF_DIR).blocklist())
+
+
 @pytest.fixture(scope="module")
 def job(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("job")
@@ -34,7 +40,7 @@ def job(spark, tmp_path_factory):
     )
     counts = pipeline.ingest(spark, paths)
     assert {name: c["rejected"] for name, c in counts.items()} == dict.fromkeys(pipeline.DUMPS, 0)
-    tables = pipeline.derive(spark, paths, f"{root}/tables")
+    tables = pipeline.derive(spark, paths, f"{root}/tables", choices(spark))
     return paths, tables, f"{root}/tables"
 
 
@@ -47,21 +53,47 @@ ORACLES = {
     "company_industry": "company_industry",
     "company_url": "company_url",
     "person_givenname": "person_given_name",
+    "person_familyname": "person_family_name",
+    "company_employee": "company_employee",
 }
 
 
 def test_tables_match_the_oracles(spark, job):
     _, tables, _ = job
     connection = database(SF_DIR)
-    assert set(tables) == {*ORACLES, "person_familyname", "company_employee"}
+    assert set(tables) == set(ORACLES)
     for table, oracle in ORACLES.items():
         assert differences(spark.read.table(table), connection, ORACLE[oracle]) == [], table
 
 
+@pytest.mark.parametrize("name, options", [
+    ("listed_company_graph", {}),
+    ("listed_company_graph_by_country", {"countries": LISTED_COUNTRIES, "with_country": False}),
+])
+def test_extracts_match_the_oracles(spark, job, name, options):
+    paths, _, location = job
+    table = pipeline.save_extract(spark, paths, name, location=location, **options)
+    assert differences(spark.read.table(table), database(SF_DIR), ORACLE[name]) == []
+
+
+def test_predicate_reports(spark, job, tmp_path):
+    paths, _, _ = job
+    pipeline.report_predicates(spark, paths, BASE, str(tmp_path / "reports"))
+    report = spark.read.csv(str(tmp_path / "reports/source=quote"), sep="\t", header=True)
+    assert report.count() == 2
+
+
+def test_intermediate_files_are_deleted(spark, job, tmp_path, monkeypatch):
+    paths, _, _ = job
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path / "scratch"))
+    pipeline.derive(spark, replace(paths, company="s_company_", person="s_person_"), f"{tmp_path}/t", choices(spark))
+    assert (tmp_path / "scratch").exists() and list((tmp_path / "scratch").iterdir()) == []
+
+
 def test_job_can_be_repeated(spark, job):
     paths, tables, location = job
     before = {t: spark.read.table(t).count() for t in tables}
-    pipeline.derive(spark, paths, location)
+    pipeline.derive(spark, paths, location, choices(spark))
     assert {t: spark.read.table(t).count() for t in tables} == before
 
 
@@ -74,7 +106,7 @@ def test_copies_of_lines_change_nothing(spark, job, tmp_path):
         paths, dumps=f"{tmp_path}/dumps", triples=f"{tmp_path}/triples", company="c3_company_", person="c3_person_"
     )
     pipeline.ingest(spark, copies)
-    pipeline.derive(spark, copies, f"{tmp_path}/tables")
+    pipeline.derive(spark, copies, f"{tmp_path}/tables", choices(spark))
     for table in tables:
         once, thrice = spark.read.table(table), spark.read.table(f"c3_{table}")
         assert once.exceptAll(thrice).isEmpty() and thrice.exceptAll(once).isEmpty(), table

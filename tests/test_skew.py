@@ -189,3 +189,29 @@ def test_count_distinct_values(spark, plain_shuffles, capsys):
     assert rows(counted, "sub", "n") == Counter((k, len(set(v))) for k, v in by_key(data).items())
     counted.explain()
     assert "Exchange hashpartitioning(sub" in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("limit, hot_rows", [(skew.BROADCAST_MAX_BYTES, 10**6), (0, 10**6), (0, 2)])
+def test_columns_do_not_depend_on_the_way(spark, monkeypatch, limit, hot_rows):
+    """Key-last input, for broadcasts, shuffles, and hot keys."""
+    monkeypatch.setattr(skew, "BROADCAST_MAX_BYTES", limit)
+    monkeypatch.setattr(skew, "HOT_MIN_ROWS", hot_rows)
+    df = spark.createDataFrame([(f"v{i}", "a" if i % 2 else f"k{i}") for i in range(40)], "obj string, sub string")
+    keys = df.select("sub").limit(5)
+    assert skew.existence_join(df, keys, "sub", "left_semi").columns == ["obj", "sub"]
+    assert skew.existence_join(df, keys, "sub", "left_anti").columns == ["obj", "sub"]
+    lookup = spark.createDataFrame([("a", 1)], "sub string, w int")
+    assert skew.lookup_join(df, lookup, "sub").columns == ["sub", "obj", "w"]
+    assert resolve.with_key_count(df, "sub").columns == ["obj", "sub", "n"]
+    assert resolve.rank_longest(df, "sub", "obj").columns == ["obj", "sub", "len", "rank"]
+    assert resolve.longest_per_key(df, "sub", "obj").columns == ["obj", "sub"]
+
+
+def test_copied_facts_are_spread_over_slices(spark, monkeypatch):
+    """A fact copied a thousand times, joined with a lookup beyond the broadcast limit."""
+    monkeypatch.setattr(skew, "BROADCAST_MAX_BYTES", 0)
+    monkeypatch.setattr(skew, "HOT_MIN_ROWS", 50)
+    facts = spark.createDataFrame([("s", "g")] * 1000 + [(f"s{i}", "g") for i in range(200)], "sub string, g string")
+    lookup = spark.createDataFrame([("g", "new")], "g string, new string")
+    joined = skew.lookup_join(facts, lookup, "g", distinct=True)
+    assert rows(joined, "sub") == Counter([("s",), *((f"s{i}",) for i in range(200))])

@@ -67,9 +67,19 @@ def test_ingest_stores_triples_and_rejects(spark, dump, tmp_path):
         assert rows(spark.read.text(f"{rejects}/organization"), "value") == Counter((x,) for x in REJECTED)
 
 
+def test_repaired_dump_has_no_rejects(spark, tmp_path):
+    path, target, rejects = tmp_path / "dump.nt", str(tmp_path / "t"), str(tmp_path / "r")
+    for line, n in (("bad", 1), ("<a/b> <c#1> x .", 0)):
+        path.write_text(f"{line}\n<a/b> <c#2> y .\n")
+        triples.ingest_triples(spark, {"quote": str(path)}, target, rejects)
+        assert spark.read.text(f"{rejects}/quote").count() == n
+        assert triples.read_triples(spark, f"{target}/quote").count() == 2 - n
+
+
 def test_ingest_into_catalog_tables(spark, dump, tmp_path):
     spark.sql("CREATE DATABASE IF NOT EXISTS kg")
     triples.ingest_triples(spark, {"organization": dump}, str(tmp_path / "t"), database="kg")
+    assert spark.read.table("kg.organization").count() == len(LINES)
     named = spark.sql("SELECT sub, obj FROM kg.organization WHERE pred = 'name'")
     assert rows(named, "sub", "obj") == Counter([("1-2", '"two words  and gaps"@en')])
 
@@ -78,7 +88,7 @@ def test_ingest_without_rejects_writes_none(spark, tmp_path):
     path = tmp_path / "clean.nt"
     path.write_text("<a/b> <c#1> x .\n")
     triples.ingest_triples(spark, {"quote": str(path)}, str(tmp_path / "t"), str(tmp_path / "r"))
-    assert not (tmp_path / "r").exists()
+    assert spark.read.text(str(tmp_path / "r/quote")).isEmpty()
     assert rows(triples.read_triples(spark, str(tmp_path / "t/quote")), "pred") == Counter([("1",)])
 
 
@@ -102,7 +112,7 @@ def test_large_predicate_is_cut_into_several_files(spark, tmp_path):
 def test_scratch_path_needs_a_shared_folder_on_a_cluster():
     class Session:
         class conf:
-            get = staticmethod(lambda key, default: default)
+            get = staticmethod(lambda key, default="warehouse": default)
 
         class sparkContext:
             master = "spark://cluster"

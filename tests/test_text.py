@@ -30,6 +30,8 @@ CASES = {
         (None, None),
     ],
     text.url_host: [
+        ("<http:///www.a.com>", ""),
+        ("<http://a.com///x>", ""),
         ("<http://b.com>", "b.com"),
         ("<http://b.com/path>", "b.com"),
         ("<a.com>", "a.com"),

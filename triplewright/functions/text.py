@@ -85,14 +85,14 @@ def address_country(x: Column) -> Column:
 def url_host(x: Column, strict: bool = False) -> Column:
     """Host of a bracketed URL.
 
-    Default: text after the *last* ``//`` up to the next ``/``, so a path with a double
-    slash wins over the host. ``strict`` parses the URL instead and gives null for a URL
+    Default: text after the last ``//`` up to the next ``/``, so a path with a double slash
+    wins over the host. Slashes pair up from the left: ``///x`` is ``//`` before ``/x``. ``strict`` parses the URL instead and gives null for a URL
     without scheme.
     """
     url = without_ends(x)
     if strict:
         return F.try_parse_url(url, F.lit("HOST"))
-    return F.substring_index(F.substring_index(url, "//", -1), "/", 1)
+    return F.substring_index(F.element_at(F.split(url, "//", -1), -1), "/", 1)
 
 
 def _is_ascii(x: Column) -> Column:
@@ -106,11 +106,12 @@ def exchange_letters(x: Column) -> Column:
 
 
 def spell_out_letters(x: Column) -> Column:
-    """The rarer characters whose ASCII form is longer become that; ASCII strings skip the work."""
+    """The rarer characters whose ASCII form is longer become that; strings without any skip the work."""
     spelled_out = x
     for char, text in ASCII_LONG.items():
         spelled_out = F.replace(spelled_out, F.lit(char), F.lit(text))
-    return F.when(_is_ascii(x), x).otherwise(spelled_out)
+    without = F.translate(x, "".join(ASCII_LONG), "")
+    return F.when(_is_ascii(x) | (F.octet_length(without) == F.octet_length(x)), x).otherwise(spelled_out)
 
 
 def ascii_fold(x: Column) -> Column:

@@ -30,7 +30,7 @@ def with_key_count(df: DataFrame, key: str) -> DataFrame:
         return df.withColumn("n", counted)
     hot_rows, rest = split_hot(df, key, hot)
     counts = F.broadcast(count_by_key(hot_rows, key))
-    return hot_rows.join(counts, key).unionByName(rest.withColumn("n", counted))
+    return hot_rows.join(counts, key).unionByName(rest.withColumn("n", counted)).select(*df.columns, "n")
 
 
 def rank_longest(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -52,7 +52,8 @@ def rank_longest(df: DataFrame, key: str, value: str) -> DataFrame:
         .withColumn("rank", F.coalesce(longer, F.lit(0)) + 1)
         .drop("n")
     )
-    return lookup_join(hot_rows, ranks, [key, "len"]).unionByName(rest.withColumn("rank", ranked))
+    both = lookup_join(hot_rows, ranks, [key, "len"]).unionByName(rest.withColumn("rank", ranked))
+    return both.select(*df.columns, "rank")
 
 
 def longest_per_key(df: DataFrame, key: str, value: str) -> DataFrame:

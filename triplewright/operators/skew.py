@@ -128,7 +128,7 @@ def absent(left: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
 
 
 def existence_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str) -> DataFrame:
-    """``left_semi`` or ``left_anti`` join against the keys of ``right``.
+    """``left_semi`` or ``left_anti`` join against the keys of ``right``; the columns of ``left`` in their order.
 
     A key list of checked size is broadcast. Beyond it, rows of hot keys meet the few
     hot keys of ``right`` in a broadcast, so only the rest is shuffled.
@@ -136,7 +136,7 @@ def existence_join(left: DataFrame, right: DataFrame, on: str | list[str], how:
     on = _columns(on)
     keys = right.select(*on)
     if fits_broadcast(keys):
-        return left.join(F.broadcast(keys), on, how)
+        return left.join(F.broadcast(keys), on, how).select(*left.columns)
     keys = keys.distinct()
     shuffled = {"left_semi": present, "left_anti": absent}[how]
     (hot,) = hot_keys([left], on)
@@ -144,11 +144,17 @@ def existence_join(left: DataFrame, right: DataFrame, on: str | list[str], how:
         return shuffled(left, keys, on).select(*left.columns)
     hot_rows, rest = split_hot(left, on, hot)
     hot_side, _ = split_hot(keys, on, hot)
-    return hot_rows.join(F.broadcast(hot_side), on, how).unionByName(shuffled(rest, keys, on))
+    both = hot_rows.join(F.broadcast(hot_side), on, how).unionByName(shuffled(rest, keys, on))
+    return both.select(*left.columns)
 
 
-def lookup_join(facts: DataFrame, lookup: DataFrame, on: str | list[str]) -> DataFrame:
-    """Inner join with a lookup table: broadcast when its checked size allows, else :func:`skew_join`."""
+def lookup_join(facts: DataFrame, lookup: DataFrame, on: str | list[str], distinct: bool = False) -> DataFrame:
+    """Inner join with a lookup table: broadcast when its checked size allows, else :func:`skew_join`.
+
+    Columns in both cases: the key, then the other columns of either side. ``distinct`` says
+    that copies of a fact don't matter; they are then removed before a shuffle, in which
+    they would stay in one slice.
+    """
     if fits_broadcast(lookup):
         return facts.join(F.broadcast(lookup), on)
-    return skew_join(facts, lookup, on)
+    return skew_join(facts.dropDuplicates() if distinct else facts, lookup, on, left_probe=facts)

@@ -48,22 +48,17 @@ def company_exchange(organization: DataFrame, quote: DataFrame, exchange_map: Da
     """``code$ticker`` of each company's primary quotes.
 
     Code and ticker lists are made distinct before they meet, which makes their join
-    distinct, too. Two quotes of one company may still give equal rows.
+    distinct, too. It is written out, so that hot quotes are looked for among the products of
+    codes and tickers. Two quotes of one company may still give equal rows.
     """
     company = links(organization, [PRIMARY_QUOTE], target="q")
     ticker = literals(quote, TICKER, key="q", value="ticker")
     raw_code = literals(quote, EXCHANGE_CODE, key="q", value="origin")
-    code = lookup_join(raw_code, exchange_map, "origin").select("q", F.col("new").alias("ex_code"))
+    code = lookup_join(raw_code, exchange_map, "origin", distinct=True).select("q", F.col("new").alias("ex_code"))
     listing = skew_join(
         code.dropDuplicates(), ticker.dropDuplicates(), "q", left_probe=raw_code, right_probe=ticker
     )
-    listed = skew_join(
-        company.dropDuplicates(),
-        listing,
-        "q",
-        left_probe=company,
-        right_probe=facts(quote, TICKER, EXCHANGE_CODE).select(F.col("sub").alias("q")),
-    )
+    listed = skew_join(company.dropDuplicates(), materialize(listing, "listings"), "q", left_probe=company)
     return as_facts(listed.select("sub", F.concat_ws("$", "ex_code", "ticker").alias("obj")), "hasExchange")
 
 
@@ -100,7 +95,7 @@ def company_url(organization: DataFrame, strict: bool = False) -> DataFrame:
 def company_country(organization: DataFrame, country_map: DataFrame) -> DataFrame:
     """Mapped countries of domicile and incorporation; a company may have several."""
     region = facts(organization, DOMICILE, INCORPORATION).select("sub", F.col("obj").alias("g"))
-    country = lookup_join(region, country_map, "g").select("sub", F.col("new").alias("obj"), "origin")
+    country = lookup_join(region, country_map, "g", distinct=True).select("sub", F.col("new").alias("obj"), "origin")
     return as_facts(country.dropDuplicates(), "hasCountry", "origin")
 
 
@@ -112,7 +107,7 @@ def company_country_from_address(organization: DataFrame, country_map: DataFrame
     """
     named = literals(organization, ADDRESS).select("sub", address_country(F.col("obj")).alias("origin"))
     country = (
-        lookup_join(named, country_map.filter(F.col("new") != ""), "origin")
+        lookup_join(named, country_map.filter(F.col("new") != ""), "origin", distinct=True)
         .select("sub", F.col("new").alias("obj"), "origin")
         .dropDuplicates()
     )
@@ -136,7 +131,8 @@ def company_industry(
 ) -> DataFrame:
     """One mapped industry per company: the only one, or the preferred one among several."""
     labels = lookup_join(literals(industry, "label", key="ind", value="origin"), industry_map, "origin")
-    mapped = lookup_join(links(organization, sectors, target="ind"), labels.select("ind", "new"), "ind")
+    sector = links(organization, sectors, target="ind")
+    mapped = lookup_join(sector, labels.select("ind", "new"), "ind", distinct=True)
     return as_facts(
         prefer_on_conflict(mapped.select("sub", F.col("new").alias("obj")), "sub", "obj", preferred), "hasIndustry"
     )
@@ -147,8 +143,9 @@ def company_employee(
 ) -> DataFrame:
     """``family given`` names of the persons with a position or tenure in a company.
 
-    The (company, person) pairs are written out before the names join them: finding the
-    hot persons and joining both need the pairs. ``companies`` (sub) restricts the result.
+    The (company, person) pairs and each person's combined names are written out before they
+    join: finding hot persons needs both, and counts the products of family and given names.
+    ``companies`` (sub) restricts the result.
     """
     holder = links(person, [HOLDER], key="h", target="p")
     position = links(person, POSITIONS, key="h", target="company")
@@ -160,7 +157,8 @@ def company_employee(
     pairs = materialize(pairs.dropDuplicates(), "positions")
     family = family_name.select(F.col("sub").alias("p"), F.col("obj").alias("family"))
     given = given_name.select(F.col("sub").alias("p"), F.col("obj").alias("given"))
-    names = skew_join(family, given, "p").select("p", F.concat_ws(" ", "family", "given").alias("obj"))
-    names = in_steps(names, "obj", collapse_ws)
-    employee = skew_join(pairs, names, "p", right_probe=family.select("p").union(given.select("p")))
+    raw = [facts(person, pred).select(F.col("sub").alias("p")) for pred in ("family-name", "given-name")]
+    names = skew_join(family, given, "p", *raw).select("p", F.concat_ws(" ", "family", "given").alias("obj"))
+    names = materialize(in_steps(names, "obj", collapse_ws), "names")
+    employee = skew_join(pairs, names, "p")
     return as_facts(employee.select(F.col("company").alias("sub"), "obj").dropDuplicates(), "hasEmployee")

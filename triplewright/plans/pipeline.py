@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from triplewright.plans import company, person
+from triplewright.operators.skew import present
+from triplewright.plans import company, extract, person
+from triplewright.plans.stats import predicate_stats_by_dump
+from triplewright.session import run_folder
 from triplewright.sources.mappings import read_code_mapping, read_country_mapping
-from triplewright.sources.sinks import append_table, save_table
+from triplewright.sources.sinks import append_table, save_table, write_predicate_reports
 from triplewright.sources.triples import ingest_triples, read_triples
 
 # Dump names. The first two are stored but feed no attribute table.
 DUMPS = ["assetClass", "currency", "industry", "organization", "person", "quote"]
 
+# Tables that make up the extract.
+_EXTRACTED = ["exchange", "country", "name", "address", "url", "employee"]
+
 
 @dataclass(frozen=True)
 class JobPaths:
@@ -35,17 +42,64 @@ class JobPaths:
     person: str
 
 
-def ingest(spark: SparkSession, paths: JobPaths, dumps: list[str] = DUMPS) -> dict[str, dict]:
-    """Store the dumps as triples; returns the line counts per dump."""
-    return ingest_triples(spark, {d: f"{paths.dumps}/{d}" for d in dumps}, paths.triples, paths.rejects)
-
-
-def derive(spark: SparkSession, paths: JobPaths, location: str | None = None) -> list[str]:
+@dataclass(frozen=True)
+class Choices:
+    """What the attribute tables leave out or prefer."""
+
+    family_exclusions: DataFrame | list = field(default_factory=lambda: person.FAMILY_NAME_EXCLUSIONS)
+    given_exclusions: DataFrame | list = field(default_factory=lambda: person.GIVEN_NAME_EXCLUSIONS)
+    sectors: list[str] = field(default_factory=lambda: company.SECTORS)
+    preferred_industry: str = company.PREFERRED_INDUSTRY
+
+
+def ingest(
+    spark: SparkSession, paths: JobPaths, dumps: list[str] = DUMPS, database: str | None = None
+) -> dict[str, dict]:
+    """Store the dumps as triples, also as tables of ``database`` if given; returns the line counts per dump."""
+    places = {d: f"{paths.dumps}/{d}" for d in dumps}
+    return ingest_triples(spark, places, paths.triples, paths.rejects, database)
+
+
+def report_predicates(spark: SparkSession, paths: JobPaths, base: str, target: str, dumps: list[str] = DUMPS) -> None:
+    """Write one report of triples per predicate for each dump, over subjects under ``base``."""
+    counts = predicate_stats_by_dump(spark, base, {d: f"{paths.dumps}/{d}" for d in dumps})
+    write_predicate_reports(counts, target)
+
+
+def save_extract(
+    spark: SparkSession,
+    paths: JobPaths,
+    table: str,
+    countries: Iterable[str] | None = None,
+    with_country: bool = True,
+    location: str | None = None,
+) -> str:
+    """Save the graph of exchange-listed companies, from attribute tables that :func:`derive` has saved."""
+    saved = {name: spark.read.table(f"{paths.company}{name}") for name in _EXTRACTED}
+    listed = extract.listed_companies(saved["exchange"], saved["country"], countries)
+    attributes = [saved[name] for name in ("name", "address", "url", "employee")]
+    if with_country:
+        attributes.append(saved["country"])
+    rows = present(extract.graph(*attributes), listed, "sub").select("sub", "pred", "obj")
+    save_table(rows, table, f"{location}/{table}" if location else None)
+    return table
+
+
+def derive(
+    spark: SparkSession, paths: JobPaths, location: str | None = None, choices: Choices | None = None
+) -> list[str]:
     """Derive all attribute tables from stored triples and save them; returns their names.
 
     ``location`` puts the table files below a folder instead of the warehouse. Name conflicts
-    and employees build on saved tables rather than computing them again.
+    and employees build on saved tables rather than computing them again. Intermediate
+    files lie in a folder of the run and are deleted at its end; a cluster without a shared
+    folder fails at once.
     """
+    with run_folder(spark):
+        return _derive(spark, paths, location, choices or Choices())
+
+
+def _derive(spark: SparkSession, paths: JobPaths, location: str | None, choices: Choices) -> list[str]:
     organization, quote, industry, people = (
         read_triples(spark, f"{paths.triples}/{name}") for name in ("organization", "quote", "industry", "person")
     )
@@ -71,10 +125,10 @@ def derive(spark: SparkSession, paths: JobPaths, location: str | None = None) ->
     save(f"{paths.company}address", company.company_address(organization))
     country = save(f"{paths.company}country", company.company_country(organization, country_map))
     append_table(company.company_country_from_address(organization, country_map), country, at(country))
-    save(f"{paths.company}industry", company.company_industry(organization, industry, industry_map))
+    save(f"{paths.company}industry", company.company_industry(organization, industry, industry_map, choices.sectors, choices.preferred_industry))
     save(f"{paths.company}url", company.company_url(organization))
-    family = save(f"{paths.person}familyname", person.person_family_name(people))
-    given = save(f"{paths.person}givenname", person.person_given_name(people))
+    family = save(f"{paths.person}familyname", person.person_family_name(people, choices.family_exclusions))
+    given = save(f"{paths.person}givenname", person.person_given_name(people, choices.given_exclusions))
     save(
         f"{paths.company}employee",
         company.company_employee(people, spark.read.table(family), spark.read.table(given)),

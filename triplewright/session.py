@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,18 +24,33 @@ def shared_folder(spark: SparkSession) -> str:
     return shared.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, name: str, below: str | None = None) -> str:
-    """A fresh path in the shared folder, or in ``below``."""
-    return f"{below or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
 
 
-def materialize(df: DataFrame, name: str, below: str | None = None) -> DataFrame:
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder of the run, if there is one, or in the shared folder."""
+    return f"{_run_folder.get() or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder of its own for the intermediate files of a run, deleted at its end."""
+    path = scratch_path(spark, "run")
+    token = _run_folder.set(path)
+    try:
+        yield path
+    finally:
+        _run_folder.reset(token)
+        remove_folder(spark, path)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     Cuts the lineage, survives lost executors, and gives Catalyst real sizes.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name, below)
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from triplewright.functions.text import local_name, path_end, triple_pattern
+from triplewright.session import remove_folder
 
 
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
@@ -23,20 +24,27 @@ def _has_predicate() -> Column:
     return F.contains(F.col("value"), F.lit(" "))
 
 
+# The partition that keeps unparsable lines while a dump is written.
+_REJECTED = "__rejected__"
+
+
+def _parsed() -> tuple[Column, Column, Column]:
+    """Subject, predicate and object of a line."""
+    tokens = F.split("value", " ", 3)
+    rest = F.coalesce(F.get(tokens, 2), F.lit(""))
+    last = F.substring_index(rest, " ", -1)
+    obj = F.left(rest, F.greatest(F.length(rest) - F.length(last) - 1, F.lit(0)))
+    return path_end(F.get(tokens, 0)), local_name(F.get(tokens, 1)), obj
+
+
 def parse_triples(lines: DataFrame) -> DataFrame:
     """``<subject> <predicate> object .`` -> (sub, pred, obj); see :func:`rejected_lines` for the rest.
 
     Subject and predicate keep their local names only. The object is all text between the
     second and the last space, in its raw form.
     """
-    tokens = F.split("value", " ", 3)
-    rest = F.coalesce(F.get(tokens, 2), F.lit(""))
-    last = F.substring_index(rest, " ", -1)
-    return lines.filter(_has_predicate()).select(
-        path_end(F.get(tokens, 0)).alias("sub"),
-        local_name(F.get(tokens, 1)).alias("pred"),
-        F.left(rest, F.greatest(F.length(rest) - F.length(last) - 1, F.lit(0))).alias("obj"),
-    )
+    sub, pred, obj = _parsed()
+    return lines.filter(_has_predicate()).select(sub.alias("sub"), pred.alias("pred"), obj.alias("obj"))
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
@@ -44,6 +52,17 @@ def rejected_lines(lines: DataFrame) -> DataFrame:
     return lines.filter(~_has_predicate())
 
 
+def _with_rejects(lines: DataFrame) -> DataFrame:
+    """Triples, and each rejected line as the object of a reserved predicate."""
+    sub, pred, obj = _parsed()
+    parsed = _has_predicate()
+    return lines.select(
+        F.when(parsed, sub).alias("sub"),
+        F.when(parsed, pred).otherwise(_REJECTED).alias("pred"),
+        F.when(parsed, obj).otherwise(F.col("value")).alias("obj"),
+    )
+
+
 def ingest_triples(
     spark: SparkSession,
     dumps: dict[str, str],
@@ -55,27 +74,33 @@ def ingest_triples(
 
     With ``database`` each dump also becomes the catalog table ``database.name`` over these files.
 
-    The rebalance hint groups a predicate's rows into few files and cuts a large predicate
-    into many tasks. Lines are counted while writing; only a dump that has unparsable lines
-    is read again to put these under ``rejects/name``. Returns the counts per dump; work
-    repeated after a lost executor may be counted twice.
+    Each dump is read once. The rebalance hint groups a predicate's rows into few files and
+    cuts a large predicate into many tasks. Unparsable lines are written as a partition of
+    their own, copied from there to ``rejects/name``, which is replaced by every run, and
+    removed. Returns the counts per dump; work repeated after a lost executor may be counted twice.
     """
     counts = {}
     for name, path in dumps.items():
-        seen = Observation()
+        seen, folder = Observation(), f"{target}/{name}"
         lines = read_lines(spark, path).observe(
             seen,
             F.count(F.lit(1)).alias("lines"),
             F.count_if(~_has_predicate()).alias("rejected"),
         )
-        writer = parse_triples(lines).hint("rebalance", "pred").write.partitionBy("pred").mode("overwrite")
+        writer = _with_rejects(lines).hint("rebalance", "pred").write.partitionBy("pred").mode("overwrite")
         if database:
-            writer.option("path", f"{target}/{name}").saveAsTable(f"{database}.{name}")
+            writer.option("path", folder).saveAsTable(f"{database}.{name}")
         else:
-            writer.parquet(f"{target}/{name}")
+            writer.parquet(folder)
         counts[name] = seen.get
-        if rejects and counts[name]["rejected"]:
-            rejected_lines(read_lines(spark, path)).write.mode("overwrite").text(f"{rejects}/{name}")
+        if rejects:
+            bad = spark.read.schema("sub string, obj string, pred string").parquet(folder)
+            bad = bad.filter(F.col("pred") == _REJECTED).select(F.col("obj").alias("value"))
+            bad.write.mode("overwrite").text(f"{rejects}/{name}")
+        if counts[name]["rejected"]:
+            if database:
+                spark.sql(f"ALTER TABLE {database}.{name} DROP IF EXISTS PARTITION (pred = '{_REJECTED}')")
+            remove_folder(spark, f"{folder}/pred={_REJECTED}")
     return counts
 
 

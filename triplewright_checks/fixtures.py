@@ -35,8 +35,8 @@ class Fixtures:
         doc = F.col("doc_id")
         sub = F.concat(F.lit("1-"), F.when(doc % 5 == 0, doc + 1).otherwise(doc))
 
-        def head(n: int) -> Column:
-            return F.replace(F.substring("text", 1, n), F.lit("\n"), F.lit("\\n"))
+        def in_one_line(x: Column) -> Column:
+            return F.replace(x, F.lit("\n"), F.lit("\\n"))
 
         def region(number: Column) -> Column:
             return F.concat(F.lit("<http://geo.example/"), number, F.lit("/>"))
@@ -47,26 +47,29 @@ class Fixtures:
         name = F.concat(
             F.lit('"'),
             F.when(doc % 3 == 0, "'").otherwise(" "),
-            head(40),
+            in_one_line(F.col("text")),
             F.when(doc % 2 == 0, "  Ltd.").otherwise(", Inc"),
             F.lit('"'),
         )
-        address = F.concat(F.lit('"'), head(60), F.lit("\\nNATION_"), doc % 25, F.lit('\\n"' + STRING_TYPE))
+        def address(x: Column) -> Column:
+            return F.concat(F.lit('"'), in_one_line(x), F.lit("\\nNATION_"), doc % 25, F.lit('\\n"' + STRING_TYPE))
+
         page = F.col("page_id")
-        quoted = lineitem.filter(F.col("l_linenumber") == 1).select("l_suppkey", "l_partkey").dropDuplicates()
+        site = F.concat(F.lit("1-"), F.when(page % 5 == 0, page + 1).otherwise(page))
+        quoted = lineitem.select("l_suppkey", "l_partkey").dropDuplicates()
         return _union(
             _triples(documents, sub, "organization-name", name),
-            _triples(documents, sub, "HeadquartersAddress", address),
+            _triples(documents, sub, "HeadquartersAddress", address(F.col("text"))),
+            # Ties: as long as the address, in reverse.
+            _triples(documents.filter(doc % 11 == 0), sub, "HeadquartersAddress", address(F.reverse("text"))),
             _triples(documents.filter(doc % 7 != 0), sub, "isDomiciledIn", region(doc % 25)),
             _triples(documents.filter(doc % 4 == 0), sub, "isIncorporatedIn", region((doc + 3) % 25)),
             _triples(documents, sub, "hasPrimaryEconomicSector", sector(doc % 6)),
             _triples(documents.filter(doc % 3 == 0), sub, "hasPrimaryBusinessSector", sector((doc + 1) % 6)),
-            _triples(
-                pages,
-                F.concat(F.lit("1-"), F.when(page % 5 == 0, page + 1).otherwise(page)),
-                "hasURL",
-                F.concat(F.lit("<"), "url", F.lit(">")),
-            ),
+            _triples(pages, site, "hasURL", F.concat(F.lit("<"), "url", F.lit(">"))),
+            # Odd runs of slashes, before the host and in the path.
+            _triples(pages.filter(page % 13 == 0), site, "hasURL", F.concat(F.lit("<http:///"), page, F.lit(".a/b>"))),
+            _triples(pages.filter(page % 17 == 0), site, "hasURL", F.concat(F.lit("<http://a/b///"), page, F.lit(">"))),
             _triples(
                 quoted,
                 F.concat(F.lit("1-"), "l_suppkey"),

@@ -12,10 +12,12 @@ _BREAK = "chr(92)||'n'"
 _INPUTS = f"""
 kg_organization AS (
   SELECT {_DOC} AS sub, 'organization-name' AS pred,
-    '"'||CASE WHEN doc_id%3=0 THEN chr(39) ELSE ' ' END||replace(substr(text,1,40),chr(10),{_BREAK})
+    '"'||CASE WHEN doc_id%3=0 THEN chr(39) ELSE ' ' END||replace(text,chr(10),{_BREAK})
     ||CASE WHEN doc_id%2=0 THEN '  Ltd.' ELSE ', Inc' END||'"' AS obj FROM documents
-  UNION ALL SELECT {_DOC}, 'HeadquartersAddress', '"'||replace(substr(text,1,60),chr(10),{_BREAK})||{_BREAK}
+  UNION ALL SELECT {_DOC}, 'HeadquartersAddress', '"'||replace(text,chr(10),{_BREAK})||{_BREAK}
     ||'NATION_'||CAST(doc_id%25 AS VARCHAR)||{_BREAK}||'"{_TYPE}' FROM documents
+  UNION ALL SELECT {_DOC}, 'HeadquartersAddress', '"'||replace(reverse(text),chr(10),{_BREAK})||{_BREAK}
+    ||'NATION_'||CAST(doc_id%25 AS VARCHAR)||{_BREAK}||'"{_TYPE}' FROM documents WHERE doc_id%11=0
   UNION ALL SELECT {_DOC}, 'isDomiciledIn', '<http://geo.example/'||CAST(doc_id%25 AS VARCHAR)||'/>'
     FROM documents WHERE doc_id%7<>0
   UNION ALL SELECT {_DOC}, 'isIncorporatedIn', '<http://geo.example/'||CAST((doc_id+3)%25 AS VARCHAR)||'/>'
@@ -25,8 +27,10 @@ kg_organization AS (
   UNION ALL SELECT {_DOC}, 'hasPrimaryBusinessSector', '<https://kg.example/4-'||CAST((doc_id+1)%6 AS VARCHAR)||'>'
     FROM documents WHERE doc_id%3=0
   UNION ALL SELECT {_PAGE}, 'hasURL', '<'||url||'>' FROM pages
+  UNION ALL SELECT {_PAGE}, 'hasURL', '<http:///'||CAST(page_id AS VARCHAR)||'.a/b>' FROM pages WHERE page_id%13=0
+  UNION ALL SELECT {_PAGE}, 'hasURL', '<http://a/b///'||CAST(page_id AS VARCHAR)||'>' FROM pages WHERE page_id%17=0
   UNION ALL SELECT DISTINCT '1-'||CAST(l_suppkey AS VARCHAR), 'hasOrganizationPrimaryQuote',
-    '<https://kg.example/1-8'||CAST(l_partkey AS VARCHAR)||'>' FROM lineitem WHERE l_linenumber=1),
+    '<https://kg.example/1-8'||CAST(l_partkey AS VARCHAR)||'>' FROM lineitem),
 kg_quote AS (
   SELECT '1-8'||CAST(p_partkey AS VARCHAR) AS sub, 'hasExchangeTicker' AS pred,
     '"'||upper(replace(p_name,' ','.'))||'"' AS obj FROM part

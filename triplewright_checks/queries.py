@@ -14,7 +14,7 @@ from triplewright.operators import resolve
 from triplewright.operators.facts import as_facts, facts, links, literals, with_object
 from triplewright.operators.skew import existence_join, lookup_join, skew_join
 from triplewright.plans import company, etl, extract, person, stats
-from triplewright.session import materialize, scratch_path
+from triplewright.session import scratch_path
 from triplewright.sources import mappings, sinks, triples
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,7 +146,10 @@ def sink_csv(fx):
 
 @query
 def sink_parquet(fx):
-    return materialize(fx.table("customer"), "parquet")
+    path, customer = scratch_path(fx.spark, "parquet"), fx.table("customer")
+    sinks.write_parquet(customer.filter("c_custkey % 2 = 0"), path)
+    sinks.write_parquet(customer, path)
+    return fx.spark.read.parquet(path)
 
 
 @query
