@@ -59,6 +59,9 @@ CASES = {
         (None, None),
     ],
     text.ascii_fold: [
+        ("Щука Жёлтый", "Shchuka Zheltyi"),
+        ("Ψάρι Θεός", "Psari Theos"),
+        ("‹№ 5†›", "<No 5+>"),
         ("plain", "plain"),
         ("Éco Ñandú çà", "Eco Nandu ca"),
         ("Straße", "Strasse"),

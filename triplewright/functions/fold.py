@@ -23,6 +23,23 @@ SPECIAL = {
     "‘": "'", "’": "'", "‚": ",", "“": '"', "”": '"', "„": ",,",
 }
 
+# Cyrillic and Greek capitals; the small letters follow by case.
+CYRILLIC = {
+    "А": "A", "Б": "B", "В": "V", "Г": "G", "Д": "D", "Е": "E", "Ё": "E", "Ж": "Zh", "З": "Z", "И": "I",
+    "Й": "I", "К": "K", "Л": "L", "М": "M", "Н": "N", "О": "O", "П": "P", "Р": "R", "С": "S", "Т": "T",
+    "У": "U", "Ф": "F", "Х": "Kh", "Ц": "Ts", "Ч": "Ch", "Ш": "Sh", "Щ": "Shch", "Ъ": "'", "Ы": "Y",
+    "Ь": "'", "Э": "E", "Ю": "Iu", "Я": "Ia", "Є": "Ie", "І": "I", "Ї": "Yi", "Ґ": "G", "Ј": "J", "Љ": "Lj",
+    "Њ": "Nj", "Ћ": "Tsh", "Ђ": "Dj", "Џ": "Dzh", "Ў": "U",
+}
+GREEK = {
+    "Α": "A", "Β": "B", "Γ": "G", "Δ": "D", "Ε": "E", "Ζ": "Z", "Η": "E", "Θ": "Th", "Ι": "I", "Κ": "K",
+    "Λ": "L", "Μ": "M", "Ν": "N", "Ξ": "X", "Ο": "O", "Π": "P", "Ρ": "R", "Σ": "S", "Τ": "T", "Υ": "U",
+    "Φ": "Ph", "Χ": "Kh", "Ψ": "Ps", "Ω": "O", "Ά": "A", "Έ": "E", "Ή": "E", "Ί": "I", "Ό": "O", "Ύ": "U",
+    "Ώ": "O", "Ϊ": "I", "Ϋ": "U",
+}
+# The final form of sigma, which has no capital of its own, and signs.
+SMALL_AND_SIGNS = {"ς": "s", "‹": "<", "›": ">", "†": "+", "•": "*", "№": "No", "′": "'", "″": '"'}
+
 # Characters with no ASCII counterpart that are removed (the soft hyphen).
 DROPPED = "\u00ad"
 
@@ -43,7 +60,10 @@ def _table() -> dict[str, str]:
             plain = _decomposed(char)
             if plain.isascii() and plain.strip():
                 table[char] = plain
+    for capital, text in (CYRILLIC | GREEK).items():
+        table[capital], table[capital.lower()] = text, text.lower()
     table.update(SPECIAL)
+    table.update(SMALL_AND_SIGNS)
     return table
 
 

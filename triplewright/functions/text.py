@@ -115,7 +115,7 @@ def spell_out_letters(x: Column) -> Column:
 
 
 def ascii_fold(x: Column) -> Column:
-    """Transliterate Latin letters and common signs to ASCII. Other scripts pass through unchanged."""
+    """Transliterate Latin, Greek and Cyrillic letters and common signs to ASCII. Other scripts pass through unchanged."""
     return spell_out_letters(exchange_letters(x))
 
 
