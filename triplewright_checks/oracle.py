@@ -176,7 +176,7 @@ _SELECTS = {
     "clean_address": f"SELECT sub, rtrim(replace(obj,{_BREAK},' ')) AS obj FROM addresses",
     "address_country": f"SELECT sub, string_split(obj,{_BREAK})[-2] AS obj FROM addresses",
     "url_host": "SELECT sub, obj FROM hosts",
-    "url_host_strict": "SELECT sub, regexp_extract(obj, '^<[a-z]+://([^/>]+)', 1) AS obj FROM kg_organization "
+    "url_host_strict": "SELECT sub, nullif(regexp_extract(obj, '^<[a-z]+://([^/>]+)', 1), '') AS obj FROM kg_organization "
     "WHERE pred='hasURL'",
     "trim_space": "SELECT sub, trim(obj,' ') AS obj FROM names",
     "collapse_ws": f"SELECT sub, regexp_replace(obj,'{_SPACE}',' ','g') AS obj FROM names",
