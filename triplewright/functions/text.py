@@ -86,8 +86,8 @@ def url_host(x: Column, strict: bool = False) -> Column:
     """Host of a bracketed URL.
 
     Default: text after the last ``//`` up to the next ``/``, so a path with a double slash
-    wins over the host. Slashes pair up from the left: ``///x`` is ``//`` before ``/x``. ``strict`` parses the URL instead and gives null for a URL
-    without scheme.
+    wins over the host. Slashes pair up from the left: ``///x`` is ``//`` before ``/x``.
+    ``strict`` parses the URL instead and gives null for a URL without scheme or host.
     """
     url = without_ends(x)
     if strict:
