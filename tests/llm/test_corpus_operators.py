@@ -232,3 +232,13 @@ def test_pipeline_stages(spark, documents):
             taken = {r["doc_id"]: r["copies"] for r in mixing.pareto_mix(before).collect() if r["copies"]}
             assert after == Counter(taken)
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).count() == sum(after.values())
+
+
+def test_equal_registers_are_counted(spark):
+    rng = np.random.default_rng(2)
+    sketches = rng.integers(0, 2**16, size=(2, near_dups.N_REGISTERS))
+    sketches[1, :40] = sketches[0, :40]
+    sketches[1, 40:] = sketches[0, 40:] + 1 + 2 * rng.integers(0, 100, size=near_dups.N_REGISTERS - 40)
+    a, b = near_dups.prints(sketches)
+    df = spark.createDataFrame([(a.tolist(), b.tolist())], "a array<long>, b array<long>")
+    assert df.select(near_dups.equal_registers("a", "b")).first()[0] == 40

@@ -13,7 +13,8 @@ registers, and two sets agree in a register about as often as they agree in shin
 4. The others are confirmed on the full shingle sets; confirmed links form components.
 5. Members of buckets that still hold several components are searched again. Of these, only
    pairs that share a rare shingle, with enough shingles left after it, can be similar enough
-   (see ``rare_shingles``), which keeps documents with a common passage apart. Those outside the
+   (see ``rare_shingles``), which keeps documents with a common passage apart, and most of
+   their registers agree. Those outside the
    largest component with a shingle meet all others with it, so no pair that could join two
    components is left out. There is no cap on buckets, members or partners.
 
@@ -30,6 +31,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +51,11 @@ N_REGISTERS = N_BANDS * BAND_REGISTERS
 THRESHOLD = 80
 # Pairs estimated below are not confirmed: 4.5 standard errors under the threshold.
 ESTIMATE_CUT = 0.62
+# Fewest equal registers of a pair that is worth a closer look: 4.9 standard errors under 0.8.
+EQUAL_CUT = 58
+# Registers' low bytes per 64-bit number; one byte stays free for carries.
+PRINT_BYTES = 7
+N_PRINTS = -(-N_REGISTERS // PRINT_BYTES)
 # Scale of the registers: value k stands for minima around BASE ** -k.
 BASE, RATE, TOP = 1.001, 20.0, 2**16 - 1
 # Bits of a shingle hash by which frequencies are counted, and tasks that add them up.
@@ -109,6 +116,27 @@ def registers(keys: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return np.clip(steps, 0, TOP).T.astype(">u2")
 
 
+def prints(sketches: np.ndarray) -> np.ndarray:
+    """The low bytes of a set's registers, seven to a number."""
+    low = np.zeros((len(sketches), N_PRINTS * PRINT_BYTES), dtype=np.uint8)
+    low[:, :N_REGISTERS] = sketches.astype(np.uint16) & 0xFF
+    wide = np.zeros((len(sketches), N_PRINTS, 8), dtype=np.uint8)
+    wide[:, :, :PRINT_BYTES] = low.reshape(len(sketches), N_PRINTS, PRINT_BYTES)
+    return wide.reshape(len(sketches), -1).view("<i8")
+
+
+def equal_registers(a: str, b: str) -> Column:
+    """About how many registers two sets have in common: equal bytes of two columns of prints."""
+    sevens, tops = 0x007F7F7F7F7F7F7F, 0x0080808080808080
+
+    def zero_bytes(x: Column) -> Column:
+        filled = (x.bitwiseAND(F.lit(sevens)) + F.lit(sevens)).bitwiseOR(x)
+        return F.bit_count(F.bitwise_not(filled).bitwiseAND(F.lit(tops)))
+
+    equal = [zero_bytes(F.get(a, i).bitwiseXOR(F.get(b, i))) for i in range(N_PRINTS)]
+    return reduce(Column.__add__, equal) - (N_PRINTS * PRINT_BYTES - N_REGISTERS)
+
+
 def _distinct(keys: np.ndarray, begins: np.ndarray) -> np.ndarray:
     """Number of distinct keys of each text."""
     counts = np.diff(begins)
@@ -122,14 +150,16 @@ def _distinct(keys: np.ndarray, begins: np.ndarray) -> np.ndarray:
 def _sketch(texts: list[str | None]) -> Columns:
     ids: list[bytes | None] = [None] * len(texts)
     sketches: list[bytes | None] = [None] * len(texts)
+    low_bytes: list[np.ndarray | None] = [None] * len(texts)
     sizes = np.zeros(len(texts), dtype=np.int64)
     for rows, hashes, bounds in word_hashes([utf8(text) for text in texts], lower=True):
         keys, begins = shingles(hashes, bounds)
         sizes[rows.start : rows.stop] = _distinct(keys, begins)
         full = np.flatnonzero(np.diff(bounds)) + rows.start
-        for i, own, sketch in zip(full.tolist(), sequence_ids(hashes, bounds), registers(keys, begins)):
-            ids[i], sketches[i] = own.tobytes(), sketch.tobytes()
-    return {"class": ids, "n_shingles": sizes, "registers": sketches}
+        found = registers(keys, begins)
+        for i, own, sketch, low in zip(full.tolist(), sequence_ids(hashes, bounds), found, prints(found)):
+            ids[i], sketches[i], low_bytes[i] = own.tobytes(), sketch.tobytes(), low
+    return {"class": ids, "n_shingles": sizes, "registers": sketches, "prints": low_bytes}
 
 
 def _class_ids(texts: list[str | None]) -> list[bytes | None]:
@@ -147,8 +177,9 @@ def with_class(df: DataFrame, text: str = "text", name: str = "class") -> DataFr
 
 
 def sketch(df: DataFrame, text: str = "text") -> DataFrame:
-    """Replace the text by ``class``, ``n_shingles`` and ``registers`` (two bytes each)."""
-    return add_columns(df, [text], "class binary, n_shingles long, registers binary", _sketch, drop=True)
+    """Replace the text by ``class``, ``n_shingles``, ``registers`` (two bytes each) and ``prints``."""
+    fields = "class binary, n_shingles long, registers binary, prints array<long>"
+    return add_columns(df, [text], fields, _sketch, drop=True)
 
 
 def _bands() -> Column:
@@ -300,7 +331,7 @@ def rare_shingles(texts: DataFrame, frequencies: np.ndarray) -> DataFrame:
         return {"rare": found}
 
     found = add_columns(texts, ["text"], "rare array<long>", first, drop=True)
-    return found.select("class", "n_shingles", "component", F.posexplode("rare").alias("place", "band"))
+    return found.select("class", "n_shingles", "component", "prints", F.posexplode("rare").alias("place", "band"))
 
 
 def _several_components(rows: DataFrame) -> DataFrame:
@@ -309,14 +340,14 @@ def _several_components(rows: DataFrame) -> DataFrame:
     return ends.filter("low <> high").select("band")
 
 
-def remaining_pairs(members: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs of different components that share a rare shingle, among the members of buckets
-    that hold several components; at least one is outside the largest component with that
-    shingle."""
+def remaining_pairs(members: DataFrame, labels: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of different components that share a rare shingle and enough registers, among the
+    members of buckets that hold several components; at least one is outside the largest
+    component with that shingle."""
     named = labels.withColumnRenamed("node", "class")
     labelled = members.join(named, "class", "left").withColumn("component", F.coalesce("component", "class"))
     mixed = labelled.join(_several_components(labelled), "band").select("class", "n_shingles", "component").distinct()
-    rows = materialize(mixed.join(texts, "class"), "mixed_texts")
+    rows = materialize(mixed.join(texts, "class").join(classes.select("class", "prints"), "class"), "mixed_texts")
     if rows.isEmpty():
         return rows.select(F.col("class").alias("a"), F.col("class").alias("b"))
     shared = materialize(rare_shingles(rows, shingle_frequencies(rows)), "rare_shingles")
@@ -334,6 +365,7 @@ def remaining_pairs(members: DataFrame, labels: DataFrame, texts: DataFrame) ->
         F.col("n_shingles").alias("n_x"),
         F.col("component").alias("component_x"),
         F.col("place").alias("place_x"),
+        F.col("prints").alias("prints_x"),
     )
     similar_size = F.least("n_x", "n_shingles") * 100 >= F.greatest("n_x", "n_shingles") * THRESHOLD
     # If this is the first shingle that two sets share, in the order of both, they share no more
@@ -345,6 +377,7 @@ def remaining_pairs(members: DataFrame, labels: DataFrame, texts: DataFrame) ->
     return (
         outside.join(shared, "band")
         .filter((F.col("component") != F.col("component_x")) & similar_size & enough & once)
+        .filter(equal_registers("prints", "prints_x") >= EQUAL_CUT)
         .select(F.least("x", "class").alias("a"), F.greatest("x", "class").alias("b"))
         .distinct()
     )
@@ -358,7 +391,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     classes = materialize(
         rows.filter("n_shingles > 0")
         .groupBy("class")
-        .agg(F.min("key").alias("key"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")),
+        .agg(F.min("key").alias("key"), *[F.first(name).alias(name) for name in ("n_shingles", "registers", "prints")]),
         "classes",
     )
     bands = classes.select("class", "n_shingles", F.explode(_bands()).alias("band"))
@@ -377,10 +410,11 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     )
     links = materialize(confirmed(likely_pairs(to_centres, classes), texts), "links")
     labels = materialize(components(links), "labels")
-    others = remaining_pairs(members, labels, texts).join(to_centres, ["a", "b"], "left_anti")
+    others = remaining_pairs(members, labels, texts, classes).join(to_centres, ["a", "b"], "left_anti")
     more = materialize(confirmed(likely_pairs(others, classes), texts), "links")
     if not more.isEmpty():
-        labels = materialize(components(links.union(more)), "labels")
+        found = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        labels = materialize(components(found.union(more)), "labels")
     named = (
         classes.select("class", "key")
         .join(labels.withColumnRenamed("node", "class"), "class", "left")
