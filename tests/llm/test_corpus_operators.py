@@ -126,7 +126,9 @@ def test_mix_meets_targets(spark, odd, documents):
         assert (row["size"], row["source_size"]) == (size[row["doc_id"]], sizes[source])
         assert row["target"] == pytest.approx(goal[source]) and row["taken"] <= 3 * row["size"]
         taken[source] += row["taken"]
-    assert all(abs(taken[s] - goal[s]) <= 0.05 * goal[s] + 5 for s in goal)
+    # With ten documents a source, half a long document is as near as whole copies come.
+    longest = {s: max(size[key] for key, row in documents.items() if row["source"] == s) for s in goal}
+    assert all(abs(taken[s] - goal[s]) <= longest[s] / 2 + 5 for s in goal)
     again = queries.op6_pareto_mix(spark, SF_DIR).collect()
     assert Counter(map(tuple, again)) == Counter(map(tuple, rows))
     mix = mixing.pareto_mix(odd)
