@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -149,6 +150,71 @@ def test_license_gates_cover_all_rules():
     assert all(any(raw in gate for raw in license_rules.RAW_GATE) for gate in license_rules.GATE)
 
 
+def spellings(regex):
+    """All strings that a rule's regex matches, of open classes and long repeats only examples."""
+
+    def of(parsed):
+        found = [""]
+        for op, value in parsed:
+            name = str(op)
+            if name == "LITERAL":
+                more = [chr(value)]
+            elif name == "NOT_LITERAL":
+                more = ["x"]
+            elif name == "IN":
+                more = [chr(v) if str(o) == "LITERAL" else chr(v[0]) for o, v in value]
+            elif name == "SUBPATTERN":
+                more = of(value[-1])
+            elif name == "BRANCH":
+                more = [text for branch in value[1] for text in of(branch)]
+            else:
+                assert name == "MAX_REPEAT", name
+                least, most, inner = value
+                more = [text * n for n in sorted({least, min(most, least + 1)}) for text in of(inner)]
+            found = [text + end for text in found for end in dict.fromkeys(more)]
+        return found
+
+    return of(re._parser.parse(regex))
+
+
+def license_labels_brute(text):
+    """Labels of all rules' matches that stay, without any keyword."""
+    words, matches = f" {text} ", []
+    for i, rule in enumerate(license_rules.RULES):
+        for match in re.finditer(f"(?<= )(?:{rule.regex})(?= )", words):
+            matches.append((match.start(), match.end(), rule.priority, -i, rule.label))
+    stay = {
+        label
+        for begin, end, priority, order, label in matches
+        if not any(
+            b <= begin and end <= e and p >= priority and (b, e, p, o) != (begin, end, priority, order)
+            and ((b, e) != (begin, end) or p > priority or o > order)
+            for b, e, p, o, _ in matches
+        )
+    }
+    return ",".join(sorted(stay | {label for phrase, label in licenses.BASE.items() if f" {phrase} " in words}))
+
+
+def test_license_keywords_are_in_every_spelling(spark):
+    texts = set()
+    for rule in license_rules.RULES:
+        own = spellings(rule.regex)
+        assert [text for text in own if rule.keyword not in text] == [], rule
+        texts |= set(own)
+    texts = sorted(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(df).collect()}
+    wrong = [(text, got[i]) for i, text in enumerate(texts) if got[i] != license_labels_brute(text)]
+    assert wrong == []
+
+
+def test_license_hyphenated_creative_commons(spark):
+    texts = {1: "Creative Commons Attribution-Share Alike 3.0", 2: "under the Creative Commons Attribution-Non-Commercial 4.0 terms"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(df).collect()}
+    assert got == {1: "cc-by-sa-3.0", 2: "cc-by-nc-4.0"}
+
+
 def test_shards_are_near_equal_and_gapless(spark, odd, documents):
     rows = queries.op9_virtual_slots(spark, SF_DIR).collect()
     slots, loads = defaultdict(list), Counter()

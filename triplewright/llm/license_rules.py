@@ -63,8 +63,8 @@ FAMILIES = [
     ("cc-by-nd", "cc by nd", r"cc by nd", ("3 0", "4 0")),
     ("cc-by-sa", "cc by sa", r"cc by sa", ("3 0", "4 0")),
     ("cc-by", "cc by", r"cc by", ("2 0", "2 5", "3 0", "4 0")),
-    ("cc-by-sa", "creative commons attribution sharealike", r"creative commons attribution share ?alike", ("3 0", "4 0")),
-    ("cc-by-nc", "creative commons attribution noncommercial", r"creative commons attribution non ?commercial", ("3 0", "4 0")),
+    ("cc-by-sa", "creative commons attribution", r"creative commons attribution share ?alike", ("3 0", "4 0")),
+    ("cc-by-nc", "creative commons attribution", r"creative commons attribution non ?commercial", ("3 0", "4 0")),
     ("cc-by", "creative commons attribution", r"creative commons attribution", ("3 0", "4 0")),
 ]
 
