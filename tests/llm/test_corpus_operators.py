@@ -169,6 +169,16 @@ def test_language_model_base_scores(spark, odd, documents, monkeypatch, head):
     assert lm_scoring.lm_scores(odd.limit(0)).count() == 0
 
 
+def test_recurrent_model_trains_on_every_segment_once():
+    rng = np.random.default_rng(3)
+    for n in [0, 1, 5, 127, 128, 129, 1000, 20_000] + list(range(2, 60)):
+        hashes = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        words = np.arange(n + 1)
+        pieces = [piece for turn in range(lm_scoring.ROUNDS) for _, piece in lm_scoring._segments(words, hashes, turn)]
+        assert all(len(piece) <= lm_scoring.SEGMENT for piece in pieces)
+        assert np.array_equal(np.sort(np.concatenate(pieces)), words)
+
+
 def test_recurrent_model_gradients_and_sums():
     from triplewright.llm import gru
 

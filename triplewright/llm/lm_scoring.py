@@ -2,10 +2,10 @@
 
 1. Counts of all words of all training texts, keyed by 64-bit word hashes (two of n words
    share a hash with probability n*n / 2**65).
-2. The model's vocabulary are the most frequent words. Gradient steps use one in
-   ``STEP_SHARE`` segments of ``SEGMENT`` words, drawn by hash from all over all training texts, so
-   training grows with the corpus. Each task trains on its texts; the weights of all tasks
-   are averaged, by the words they saw, and a second round starts from the average.
+2. The model's vocabulary are the most frequent words. Gradient steps use every segment of
+   ``SEGMENT`` words of all training texts once, dealt by hash over ``ROUNDS`` rounds. Each task
+   trains on its texts; the weights of all tasks are averaged, by the words they saw, and the
+   next round starts from the average.
 3. Scoring reads every text whole, the state carried across windows. A word outside the
    vocabulary has the model's probability of such a word times its share among all of
    them, smoothed as in the base score, with a place for words never seen.
@@ -38,7 +38,6 @@ from triplewright.session import materialize
 HEAD_WORDS = 1 << 18
 ROUNDS = 2
 SEGMENT = 4 * gru.WINDOW
-STEP_SHARE = 4
 # Tasks that add up weights.
 MERGERS = 8
 # Steps per doubling of the count histogram.
@@ -131,11 +130,11 @@ def _find(known: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _segments(words: np.ndarray, hashes: np.ndarray, turn: int) -> Iterator[tuple[int, np.ndarray]]:
-    """The segments of one text that a round trains on: the word before, and the words."""
+    """The segments of one text that a round trains on, each in one round: the word before, and the words."""
     own = np.uint64(hashes[:8].sum(dtype=np.uint64)) + np.uint64(len(hashes))
     n = -(-len(words) // SEGMENT)
     drawn = mix(np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + own)
-    for i in np.flatnonzero(drawn % np.uint64(STEP_SHARE * ROUNDS) == np.uint64(turn)):
+    for i in np.flatnonzero(drawn % np.uint64(ROUNDS) == np.uint64(turn)):
         at = int(i) * SEGMENT
         yield int(words[at - 1]) if at else gru.END, words[at : at + SEGMENT]
 
