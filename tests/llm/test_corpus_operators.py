@@ -217,6 +217,25 @@ def test_nearest_neighbours_recall_and_scores(spark):
     assert found[True] >= 0.9 * sum(found.values()) and sum(found.values()) == 5 * sum(ids % 50 == 0)
 
 
+def test_neighbours_in_clusters_and_groups_of_copies(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "ENTRIES", 8)
+    monkeypatch.setattr(nn_descent, "ENTRIES_PER_ROOT", 0, raising=False)
+    rng = np.random.default_rng(11)
+    centres = rng.standard_normal((30, 48))
+    x = np.concatenate(
+        [np.repeat(centres[:10], 40, axis=0)]
+        + [centre + 0.02 * rng.standard_normal((40, 48)) for centre in centres[10:]]
+    )
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "vec_id long, embedding array<double>")
+    found = nn_descent.nearest(df.repartition(4), "vec_id % 20 = 0", 5).collect()
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    hits = 0
+    for row in found:
+        others = np.delete(x @ x[row["query_id"]], row["query_id"])
+        hits += row["score"] >= np.sort(others)[-5] - 1e-6
+    assert len(found) == 5 * 60 and hits >= 0.98 * len(found), hits / len(found)
+
+
 def test_odd_vectors_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [3.0, 0.0]), (50, [0.0, 1.0]), (3, None), (4, [0.0, 0.0])]

@@ -7,9 +7,12 @@ Building the graph:
 2. NN-descent: every node gathers its neighbours and the nearest of those it is a neighbour
    of, with their vectors, and compares them with each other: neighbours of neighbours. Pairs
    that beat a node's worst neighbour go to that node, which keeps the ``K`` best. This is
-   repeated ``ROUNDS`` times, each round a chain of joins whose result is stored.
+   repeated until a round changes at most ``SETTLED`` of all list entries, each round a chain
+   of joins whose result is stored. Lists only get better, so it ends.
 
-Searching: each query keeps a beam of the nearest nodes found. Every round expands the nearest
+Searching: each query keeps a beam of the nearest nodes found. It starts from the query's own
+node, whose neighbours in the graph are expanded first, and from entry points, whose number
+grows with the square root of the table's. Every round expands the nearest
 nodes of each beam not expanded yet: a join with the graph gives their neighbours, grouped
 by blocks of vectors; each block compares its vectors and sends back what beats the beam's
 worst. It ends when no beam has a node left to expand. The best of each beam are compared
@@ -39,11 +42,14 @@ K = 24
 MOST_EDGES = 40
 N_TABLES = 12
 CELL_ROWS = 1024
-ROUNDS = 2
+# Share of list entries that may be new in the last round of NN-descent.
+SETTLED = 0.001
 # Candidates that a node sends to another one in a local join.
 SENT = 12
-# Search: entry points (a bounded sample), nodes of a beam, nodes expanded in a round.
+# Search: fewest entry points and those per square root of the nodes, nodes of a beam, nodes
+# expanded in a round.
 ENTRIES = 512
+ENTRIES_PER_ROOT = 4
 BEAM = 320
 EXPANDED = 64
 MOST_ROUNDS = 30
@@ -227,12 +233,24 @@ def descend(graph: DataFrame, vectors: DataFrame) -> DataFrame:
     return materialize(best_lists(graph.union(found), K), "graph")
 
 
-def build_graph(vectors: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def _new_share(old: DataFrame, new: DataFrame) -> float:
+    """Share of the list entries of ``new`` that ``old`` lacks."""
+    before = old.select("node", F.col("ids").alias("before"))
+    joined = new.join(before, "node", "left")
+    fresh = F.size(F.array_except("ids", F.coalesce("before", F.array().cast("array<long>"))))
+    row = joined.agg(F.sum(fresh).alias("fresh"), F.sum(F.size("ids")).alias("n")).first()
+    return (row["fresh"] or 0) / (row["n"] or 1)
+
+
+def build_graph(vectors: DataFrame, settled: float = SETTLED) -> DataFrame:
     """(node, ids, scores): the approximate K nearest neighbours of each node."""
     graph = first_neighbours(vectors)
-    for _ in range(rounds):
-        graph = descend(graph, vectors)
-    return graph
+    while True:
+        better = descend(graph, vectors)
+        share = _new_share(graph, better)
+        graph = better
+        if share <= settled:
+            return graph
 
 
 _BEAMS = "node long, unit binary, ids array<long>, scores array<float>, done array<boolean>"
@@ -245,20 +263,24 @@ def _beams(table: dict[str, list]) -> pa.RecordBatch:
 
 
 def _first_beams(queries: DataFrame, entries: list) -> DataFrame:
-    """Beams of the best entry points."""
+    """Beams of each query's own node and the best entry points."""
     ids, x = np.array([row["node"] for row in entries], dtype=np.int64), _matrix([bytes(row["unit"]) for row in entries])
 
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            own = batch.column("node").to_numpy()[:, None]
             scores = _matrix(batch.column("unit")) @ x.T
-            best = np.argsort(-scores, axis=1)[:, :EXPANDED]
+            scores[ids == own] = -2
+            best = np.argsort(-scores, axis=1)[:, : EXPANDED - 1]
+            chosen = np.hstack([own, ids[best]])
+            values = np.hstack([np.ones(own.shape, dtype=np.float32), np.take_along_axis(scores, best, axis=1)])
             yield _beams(
                 {
                     "node": batch.column("node"),
                     "unit": batch.column("unit"),
-                    "ids": list(ids[best]),
-                    "scores": list(np.take_along_axis(scores, best, axis=1)),
-                    "done": [np.zeros(best.shape[1], dtype=bool)] * len(best),
+                    "ids": list(chosen),
+                    "scores": list(values),
+                    "done": [np.zeros(chosen.shape[1], dtype=bool)] * len(chosen),
                 }
             )
 
@@ -325,11 +347,12 @@ def _frontier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def search(queries: DataFrame, vectors: DataFrame, graph: DataFrame) -> DataFrame:
     """(node, ids, scores): the beam of each query node, nearest first, itself left out."""
-    n_blocks = max(1, math.ceil(vectors.count() / BLOCK_ROWS))
+    n = vectors.count()
+    n_blocks = max(1, math.ceil(n / BLOCK_ROWS))
     block_of = lambda column: F.pmod(F.xxhash64(column), F.lit(n_blocks))
     adjacency = materialize(edges(graph).groupBy("node").agg(F.collect_list("other").alias("others")), "adjacency")
     blocks = materialize(vectors.select(block_of("node").alias("block"), F.col("node").alias("id"), F.col("unit").alias("other")), "blocks")
-    entries = vectors.select("node", "unit").orderBy(F.xxhash64("node")).limit(ENTRIES).collect()
+    entries = vectors.select("node", "unit").orderBy(F.xxhash64("node")).limit(max(ENTRIES, math.ceil(ENTRIES_PER_ROOT * math.sqrt(n)))).collect()
     if not entries:
         return graph.limit(0)
     beams = materialize(_first_beams(queries, entries), "beams")
