@@ -64,4 +64,22 @@ ORACLE: dict[str, str] = {
                failed_bits & 255 = 0 AS kept, CAST(failed_bits AS BIGINT) AS failed_bits
         FROM judged
     """,
+    "op11_line_dedup": r"""
+        WITH lines AS (
+            SELECT doc_id, row_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place
+            FROM (SELECT doc_id, row_number() OVER () AS row_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)
+        ), keyed AS (
+            SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM lines
+        ), repeated AS (
+            SELECT key, max(doc_id) AS holder FROM keyed WHERE length(key) >= 20
+            GROUP BY key HAVING count(DISTINCT row_id) >= 3
+        ), judged AS (
+            SELECT k.*, r.key IS NOT NULL AND k.doc_id <> r.holder AS dropped FROM keyed k LEFT JOIN repeated r USING (key)
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
+        FROM judged GROUP BY row_id, doc_id
+    """,
 }

@@ -6,12 +6,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triplewright.llm import bpe, licenses, lm_scoring, mixing, near_dups, nn_descent, quality, sharding, token_counts, warc
+from triplewright.llm import (
+    alignment,
+    bpe,
+    licenses,
+    line_dedup,
+    lm_scoring,
+    mixing,
+    near_dups,
+    nn_descent,
+    quality,
+    sharding,
+    spelling,
+    token_counts,
+    warc,
+)
 from triplewright.session import materialize, scratch_path
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BPE_PATTERN = public_tokenizers.PATTERN
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOKEN_LIMIT = 1024
 N_SHARDS = 24
 
@@ -99,6 +114,21 @@ def op10_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.drop_repeated_lines(documents)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.align(documents, TOKENIZER, BPE_PATTERN, PIECES)
+
+
 QUERIES = {
     "op1_warc_index": op1_warc_index,
     "op2_setsketch_dedup": op2_setsketch_dedup,
@@ -110,4 +140,7 @@ QUERIES = {
     "op8_gru_scores": op8_gru_scores,
     "op9_virtual_slots": op9_virtual_slots,
     "op10_quality_ledger": op10_quality_ledger,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_token_alignment": op13_token_alignment,
 }
