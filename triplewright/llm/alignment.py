@@ -25,6 +25,7 @@ import hashlib
 import json
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -33,14 +34,16 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from triplewright.llm.batches import Columns, add_columns
+from triplewright.llm.batches import Columns, add_columns, cut
 from triplewright.llm.files import open_fs
 from triplewright.operators.skew import skew_join
 from triplewright.session import materialize, scratch_path
 
 # Text that is aligned in one go, in characters, and links that are counted in one go.
-BLOCK_CHARS = 1 << 20
-BLOCK_LINKS = 1 << 21
+BLOCK_CHARS = 1 << 18
+BLOCK_LINKS = 1 << 18
+# Rows that are read and passed on at once.
+BLOCK_ROWS = 256
 # Distinct pairs that a task keeps before it passes their counts on.
 TASK_PAIRS = 1 << 22
 # Stored counts that one worker may hold, at 16 bytes a pair.
@@ -160,7 +163,7 @@ def _align_block(texts: list[str], side_a: Side, side_b: Side, kinds: tuple[str,
     if not good:
         return rows
     counts = [np.array([len(ids[i]) for i in good]) for ids in (ids_a, ids_b)]
-    a, b = (np.fromiter((x for i in good for x in ids[i]), dtype=np.int64) for ids in (ids_a, ids_b))
+    a, b = (np.fromiter(chain.from_iterable(ids[i] for i in good), dtype=np.int64) for ids in (ids_a, ids_b))
     (a_start, a_end), (b_start, b_end) = _starts(side_a.widths[a]), _starts(side_b.widths[b])
     a_doc, b_doc = (np.repeat(np.arange(len(good)), n) for n in counts)
     a_of, b_of = overlaps(a_start, a_doc, b_start, b_doc)
@@ -256,7 +259,7 @@ def _count_pairs(kinds: tuple[str, str], n_a: int, n_b: int) -> Callable[[Iterat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
-        for batch in batches:
+        for batch in cut(batches, BLOCK_ROWS):
             for block in _blocks(*(column.to_pylist() for column in batch.columns)):
                 pair, links = _linked_pairs(*block, kinds, n_b)
                 _, own, _ = _distinct(np.repeat(np.arange(len(links)), links), pair, n_a * n_b)
@@ -312,7 +315,7 @@ def _join_counts(stored: DataFrame, counts: DataFrame, kinds: tuple[str, str], n
     """The same for any number of pairs: distinct pairs of each text, joined with their counts."""
 
     def pairs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in cut(batches, BLOCK_ROWS):
             rows, *columns = batch.columns
             at = 0
             for block in _blocks(*(column.to_pylist() for column in columns)):
@@ -343,7 +346,7 @@ def align(
     n_a, n_b = len(byte_level_side(path_a, pattern).pieces), len(piece_side(path_b).pieces)
     kinds = _id_kind(n_a), _id_kind(n_b)
     spark, path = df.sparkSession, scratch_path(df.sparkSession, "aligned")
-    aligned = add_columns(df, [text], f"{_ALIGNED}, {_STORED}", _align(path_a, pattern, path_b), drop=True)
+    aligned = add_columns(df, [text], f"{_ALIGNED}, {_STORED}", _align(path_a, pattern, path_b), True, BLOCK_ROWS)
     # Numbered as they are written, so that rows can be told apart from then on.
     aligned.withColumn("__row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
     stored = spark.read.parquet(path)
@@ -361,4 +364,5 @@ def align(
     if counts.count() * 16 > resident_bytes:
         return _join_counts(stored, counts, kinds, n_a, n_b)
     files = tuple(sorted(row[0] for row in counts.select(F.input_file_name()).distinct().collect()))
-    return add_columns(stored.drop("__row"), ["__a", "__b", "__steps"], "n_best long, count_sum long", _look_up(files, kinds, n_b), drop=True)
+    look_up = _look_up(files, kinds, n_b)
+    return add_columns(stored.drop("__row"), ["__a", "__b", "__steps"], "n_best long, count_sum long", look_up, True, BLOCK_ROWS)

@@ -12,15 +12,26 @@ from pyspark.sql.types import StructType
 Columns = dict[str, Iterable]
 
 
+def cut(batches: Iterator[pa.RecordBatch], rows: int | None) -> Iterator[pa.RecordBatch]:
+    """Batches of at most so many rows."""
+    for batch in batches:
+        if rows is None:
+            yield batch
+        else:
+            yield from (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))
+
+
 def add_columns(
     df: DataFrame,
     inputs: list[str],
     fields: str,
     compute: Callable[..., Columns],
     drop: bool = False,
+    rows_at_once: int | None = None,
 ) -> DataFrame:
     """Add the columns ``fields`` (``name type, …``), which ``compute`` makes from the lists of
-    values of ``inputs``. ``drop`` leaves the inputs out. Columns of the new names are replaced."""
+    values of ``inputs``. ``drop`` leaves the inputs out. Columns of the new names are replaced.
+    ``rows_at_once`` bounds the rows of a call, for values that are large beside their texts."""
     added = StructType.fromDDL(fields).names
     left_out = set(inputs) if drop else set()
     kept = [f for f in df.schema if f.name not in left_out and f.name not in added]
@@ -28,7 +39,7 @@ def add_columns(
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in cut(batches, rows_at_once):
             if batch.num_rows:
                 values = compute(*(batch.column(name).to_pylist() for name in inputs))
                 arrays = [batch.column(name) for name in names]
