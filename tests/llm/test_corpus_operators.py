@@ -236,6 +236,51 @@ def test_neighbours_in_clusters_and_groups_of_copies(spark, monkeypatch):
     assert len(found) == 5 * 60 and hits >= 0.98 * len(found), hits / len(found)
 
 
+def test_copies_settle_and_ties_go_to_the_smallest_ids(spark):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((1500, 16))
+    x[500:] = x[500]
+    order = rng.permutation(1500)
+    df = spark.createDataFrame([(int(i), x[i].tolist()) for i in order], "vec_id long, embedding array<double>")
+    found = nn_descent.nearest(df.repartition(4), "vec_id % 50 = 0", 5).collect()
+    answers = {}
+    for row in sorted(found, key=lambda r: r["rank"]):
+        answers.setdefault(row["query_id"], []).append(row["vec_id"])
+    assert set(answers) == set(range(0, 1500, 50)) and all(len(own) == 5 for own in answers.values())
+    for query, own in answers.items():
+        if query >= 500:
+            assert own == [i for i in range(500, 507) if i != query][:5]
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hits = 0
+    for query in range(0, 500, 50):
+        scores = unit @ unit[query]
+        best = sorted((i for i in range(1500) if i != query), key=lambda i: (-round(scores[i], 12), i))[:5]
+        hits += len(set(best) & set(answers[query]))
+    assert hits >= 48
+
+
+def test_extreme_and_repeated_vectors(spark):
+    rows = [(0, [1e-170, 0.0]), (1, [1e200, 1e200]), (2, [3e200, 0.0]), (3, [5e-324, 1e-300]), (50, [1e-300, 1e-300])]
+    rows += [(50, [1e-300, 1e-300]), (4, [1.5, 1.5]), (4, [1.5, 1.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in nn_descent.nearest(df, "vec_id % 50 = 0", 5).collect():
+        assert np.isfinite(r["score"])
+        got.setdefault((r["query_id"], r["rank"]), []).append((r["vec_id"], round(r["score"], 9)))
+    half = round(0.5**0.5, 9)
+    assert [got[0, i] for i in range(1, 6)] == [[(2, 1.0)], [(1, half)], [(4, half)], [(4, half)], [(50, half)]]
+    # Both rows of id 50 are asked, each finds the other one.
+    # Parallel vectors of other lengths tie but for rounding in the last bit.
+    four = [got[50, i] for i in range(1, 5)]
+    assert sorted(four) == [[(1, 1.0)] * 2, [(4, 1.0)] * 2, [(4, 1.0)] * 2, [(50, 1.0)] * 2]
+
+
+def test_a_table_of_copies_only(spark):
+    df = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(60)], "vec_id long, embedding array<double>")
+    found = sorted(map(tuple, nn_descent.nearest(df, "vec_id % 50 = 0", 5).select("query_id", "rank", "vec_id").collect()))
+    assert found == [(0, i, i) for i in range(1, 6)] + [(50, i, i - 1) for i in range(1, 6)]
+
+
 def test_odd_vectors_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [3.0, 0.0]), (50, [0.0, 1.0]), (3, None), (4, [0.0, 0.0])]

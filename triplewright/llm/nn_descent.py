@@ -1,31 +1,37 @@
 """Approximate nearest neighbours by cosine: NN-descent and greedy graph search.
 
+Nodes of the graph are the distinct vectors, each with the smallest ids of its rows, so copies
+need no edges and ties among them are settled by id. All comparisons but the last use the same
+32-bit unit vectors.
+
 Building the graph:
 
 1. First neighbours come from ``N_TABLES`` partitions of the vectors by random hyperplanes;
    cells that are too large are cut by hash. Each cell finds the nearest within itself.
 2. NN-descent: every node gathers its neighbours and the nearest of those it is a neighbour
-   of, with their vectors, and compares them with each other: neighbours of neighbours. Pairs
-   that beat a node's worst neighbour go to that node, which keeps the ``K`` best. This is
-   repeated until a round changes at most ``SETTLED`` of all list entries, each round a chain
-   of joins whose result is stored. Lists only get better, so it ends.
-
-Searching: each query keeps a beam of the nearest nodes found. It starts from the query's own
-node, whose neighbours in the graph are expanded first, and from entry points, whose number
-grows with the square root of the table's. Every round expands the nearest
-nodes of each beam not expanded yet: a join with the graph gives their neighbours, grouped
-by blocks of vectors; each block compares its vectors and sends back what beats the beam's
-worst. It ends when no beam has a node left to expand. The best of each beam are compared
-exactly in double precision on the original vectors.
+   of, with their vectors, and compares them with each other: neighbours of neighbours. Only pairs
+   of which at least one came into a list in the last round are new. Pairs that beat a node's worst
+   neighbour go to that node, which keeps the ``K`` best; tasks keep the best for each node before
+   they pass them on, so a node that is near to very many costs each task one list. This is repeated
+   until a round changes at most ``SETTLED`` of all list entries, each round a chain of joins whose
+   result is stored. An entry is replaced by a better one only, by more than rounding, so it ends.
+
+Searching: each query node keeps a beam of the nearest nodes found. It starts from its own
+node, whose neighbours in the graph are expanded first, and from a fixed number of entry
+points. Every round expands the nearest nodes of each beam not expanded yet: joins with the graph
+and with the vectors give the neighbours that the beam lacks, a bounded number for each query.
+It ends when no beam has a node left to expand. The best of each beam are compared exactly in double
+precision on the original vectors, scaled by powers of two, so that no square over- or underflows.
 
 Defined results: rows with a null id, and vectors that are null, zero, or hold null or
 non-finite components, take no part, nor do those whose length isn't the most common one.
-Repeated rows are nodes of their own. Ties go to the smaller id. An empty table gives an
-empty result.
+Repeated rows are candidates of their own. Equal scores go to the smaller id. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -38,30 +44,35 @@ from triplewright.session import materialize
 
 # Neighbours of a node in the graph, and those it has in the search and in local joins, in
 # which the nodes it is a neighbour of take part.
-K = 24
-MOST_EDGES = 40
-N_TABLES = 12
+K = 20
+MOST_EDGES = 32
+N_TABLES = 10
 CELL_ROWS = 1024
-# Share of list entries that may be new in the last round of NN-descent.
+# Share of list entries that may be new in the last round of NN-descent, and by how much a new
+# entry must be better: more than rounding.
 SETTLED = 0.001
+MARGIN = 1e-6
 # Candidates that a node sends to another one in a local join.
 SENT = 12
-# Search: fewest entry points and those per square root of the nodes, nodes of a beam, nodes
-# expanded in a round.
+# Candidates that a task gathers before it keeps the best for each node.
+TASK_CANDIDATES = 1 << 20
+# Search: entry points, nodes of a beam, nodes expanded in a round.
 ENTRIES = 512
-ENTRIES_PER_ROOT = 4
-BEAM = 320
-EXPANDED = 64
-MOST_ROUNDS = 30
-BLOCK_ROWS = 512
-QUERY_BATCH = 4096
+BEAM = 64
+EXPANDED = 12
+# Queries that are compared with all entry points at once.
+ENTRY_ROWS = 512
 # Best of a beam that are compared exactly.
-EXACT = 32
+EXACT = 40
 _LISTS = "node long, ids array<long>, scores array<float>"
+_GRAPH = f"{_LISTS}, fresh array<boolean>"
+
 
+def usable_vectors(df: DataFrame, key: str, vector: str) -> tuple[DataFrame, DataFrame]:
+    """(key, class) of the rows that take part, and (node, class, vector, unit) of their distinct vectors.
 
-def usable_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """(node, key, vector as doubles, unit as packed 32-bit floats) of rows that take part."""
+    ``vector`` is scaled by a power of two, ``unit`` has packed 32-bit floats.
+    """
     doubles = F.transform(vector, lambda x: x.cast("double"))
     rows = df.select(F.col(key).alias("key"), doubles.alias("vector")).filter("key IS NOT NULL AND vector IS NOT NULL")
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -72,14 +83,19 @@ def usable_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-            x = x / np.abs(x).max(axis=1, keepdims=True)
+            _, exponents = np.frexp(np.abs(x).max(axis=1, keepdims=True))
+            x = np.ldexp(x, -exponents) + 0.0  # one zero
             units = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
-            yield batch.append_column("unit", pa.array([row.tobytes() for row in units], pa.binary()))
+            columns = [batch.column("key"), pa.array([hashlib.blake2b(row.tobytes(), digest_size=16).digest() for row in x])]
+            columns += [pa.array(list(x), pa.list_(pa.float64())), pa.array([row.tobytes() for row in units])]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "class", "vector", "unit"])
 
     kept = rows.filter(F.col("length") == length).select("key", "vector")
-    packed = kept.mapInArrow(pack, f"key {kept.schema['key'].dataType.simpleString()}, vector array<double>, unit binary")
-    # Stored with its numbers, so that they stay the same.
-    return materialize(packed.withColumn("node", F.monotonically_increasing_id()), "vectors")
+    kind = kept.schema["key"].dataType.simpleString()
+    packed = materialize(kept.mapInArrow(pack, f"key {kind}, class binary, vector array<double>, unit binary"), "vectors")
+    distinct = packed.groupBy("class").agg(F.first(F.struct("vector", "unit")).alias("own")).select("class", "own.vector", "own.unit")
+    # Stored with their numbers, so that they stay the same.
+    return packed.select("key", "class"), materialize(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
 
 def _matrix(units) -> np.ndarray:
@@ -118,30 +134,77 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield rest
 
 
-def best_lists(lists: DataFrame, k: int) -> DataFrame:
-    """One row per node: its ``k`` best distinct ids over all rows of the node."""
-    gathered = lists.groupBy("node").agg(
-        F.flatten(F.collect_list("ids")).alias("ids"), F.flatten(F.collect_list("scores")).alias("scores")
+def _best(owners: np.ndarray, ids: np.ndarray, scores: np.ndarray, fresh: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """The ``k`` best distinct ids of each owner, nearest first; an id that was there before isn't fresh."""
+    order = np.lexsort((fresh, ids, owners))
+    owners, ids, scores, fresh = (x[order] for x in (owners, ids, scores, fresh))
+    first = np.ones(len(ids), dtype=bool)
+    first[1:] = (ids[1:] != ids[:-1]) | (owners[1:] != owners[:-1])
+    owners, ids, scores, fresh = (x[first] for x in (owners, ids, scores, fresh))
+    order = np.lexsort((ids, -scores, owners))
+    owners, ids, scores, fresh = (x[order] for x in (owners, ids, scores, fresh))
+    starts = np.flatnonzero(np.diff(owners, prepend=-1))
+    sizes = np.diff(np.append(starts, len(owners)))
+    kept = np.arange(len(owners)) - np.repeat(starts, sizes) < k
+    return owners[kept], ids[kept], scores[kept], fresh[kept]
+
+
+def _task_best(lists: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """One list for each node in place of the many that a task finds."""
+    gathered: list[tuple[np.ndarray, ...]] = []
+    size = 0
+
+    def reduced() -> tuple[np.ndarray, ...]:
+        owners, ids, scores = (np.concatenate(x) for x in zip(*gathered))
+        return _best(owners, ids, scores, np.zeros(len(ids), dtype=bool), k)[:3]
+
+    def out() -> pa.RecordBatch:
+        owners, ids, scores = reduced()
+        nodes, counts = np.unique(owners, return_counts=True)
+        return _lists(nodes, ids, scores, counts)
+
+    for batch in lists:
+        counts = batch.column("ids").value_lengths().to_numpy(zero_copy_only=False)
+        gathered.append(
+            (
+                np.repeat(batch.column("node").to_numpy(), counts),
+                batch.column("ids").flatten().to_numpy(),
+                batch.column("scores").flatten().to_numpy(),
+            )
+        )
+        size += len(gathered[-1][0])
+        if size > TASK_CANDIDATES:
+            gathered = [reduced()]
+            size = len(gathered[0][0])
+            if size > TASK_CANDIDATES // 2:
+                yield out()
+                gathered, size = [], 0
+    if gathered:
+        yield out()
+
+
+def best_lists(found: DataFrame, k: int, graph: DataFrame | None = None) -> DataFrame:
+    """One row per node: its ``k`` best distinct ids over all rows of the node, and of the graph so far; which of them are fresh."""
+    rows = found.select("node", "ids", "scores", F.lit(True).alias("fresh"))
+    if graph is not None:
+        rows = rows.union(graph.select("node", "ids", "scores", F.lit(False)))
+    gathered = rows.groupBy("node").agg(
+        F.flatten(F.collect_list("ids")).alias("ids"),
+        F.flatten(F.collect_list("scores")).alias("scores"),
+        F.flatten(F.collect_list(F.array_repeat("fresh", F.size("ids")))).alias("fresh"),
     )
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes = batch.column("node").to_numpy()
             counts = batch.column("ids").value_lengths().to_numpy(zero_copy_only=False)
-            owner = np.repeat(np.arange(len(nodes)), counts)
-            ids, scores = batch.column("ids").flatten().to_numpy(), batch.column("scores").flatten().to_numpy()
-            order = np.lexsort((-scores, ids, owner))
-            owner, ids, scores = owner[order], ids[order], scores[order]
-            fresh = np.ones(len(ids), dtype=bool)
-            fresh[1:] = (ids[1:] != ids[:-1]) | (owner[1:] != owner[:-1])
-            owner, ids, scores = owner[fresh], ids[fresh], scores[fresh]
-            order = np.lexsort((ids, -scores, owner))
-            owner, ids, scores = owner[order], ids[order], scores[order]
-            starts = np.searchsorted(owner, np.arange(len(nodes)))
-            kept = np.arange(len(owner)) - starts[owner] < k
-            yield _lists(nodes, ids[kept], scores[kept], np.bincount(owner[kept], minlength=len(nodes)))
-
-    return gathered.mapInArrow(choose, _LISTS)
+            values = [batch.column(name).flatten().to_numpy(zero_copy_only=False) for name in ("ids", "scores", "fresh")]
+            owners, ids, scores, fresh = _best(np.repeat(np.arange(len(nodes)), counts), *values, k)
+            lists = _lists(nodes, ids, scores, np.bincount(owners, minlength=len(nodes)))
+            flags = pa.ListArray.from_arrays(lists.column("ids").offsets, pa.array(fresh.astype(bool)))
+            yield lists.append_column("fresh", flags)
+
+    return gathered.mapInArrow(choose, _GRAPH)
 
 
 def _within(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
@@ -159,9 +222,8 @@ def _within(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.R
             yield _lists(nodes, nodes[best].ravel(), np.take_along_axis(scores, best, axis=1).ravel(), np.full(len(nodes), k))
 
 
-def first_neighbours(vectors: DataFrame, seed: int = 1) -> DataFrame:
+def first_neighbours(vectors: DataFrame, n: int, seed: int = 1) -> DataFrame:
     """The nearest within the cells of random hyperplanes."""
-    n = vectors.count()
     bits = max(0, round(math.log2(max(1, n / CELL_ROWS))))
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,31 +242,35 @@ def first_neighbours(vectors: DataFrame, seed: int = 1) -> DataFrame:
     placed = placed.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("node", "cell"), F.col("parts")))
     rows = placed.select("node", "cell", "part").join(vectors.select("node", "unit"), "node")
     rows = rows.repartition("cell", "part").sortWithinPartitions("cell", "part", "node")
-    found = rows.select("cell", "part", "node", "unit").mapInArrow(lambda b: _within(b, ["cell", "part"]), _LISTS)
+    found = rows.select("cell", "part", "node", "unit").mapInArrow(
+        lambda b: _task_best(_within(b, ["cell", "part"]), K), _LISTS
+    )
     return materialize(best_lists(found, K), "graph")
 
 
 def edges(graph: DataFrame) -> DataFrame:
-    """(node, other): each node's neighbours and the nearest nodes it is a neighbour of, up to MOST_EDGES."""
-    forward = graph.select("node", F.explode(F.arrays_zip("ids", "scores")).alias("to"))
-    forward = forward.select("node", F.col("to.ids").alias("other"), F.col("to.scores").alias("score"))
-    both = forward.select("node", "other", "score", F.lit(0).alias("back")).union(
-        forward.select(F.col("other").alias("node"), F.col("node").alias("other"), "score", F.lit(1))
+    """(node, other, fresh): each node's neighbours and the nearest nodes it is a neighbour of, up to MOST_EDGES."""
+    forward = graph.select("node", F.explode(F.arrays_zip("ids", "scores", "fresh")).alias("to"))
+    forward = forward.select("node", F.col("to.ids").alias("other"), F.col("to.scores").alias("score"), F.col("to.fresh").alias("fresh"))
+    both = forward.withColumn("back", F.lit(0)).union(
+        forward.select(F.col("other").alias("node"), F.col("node").alias("other"), "score", "fresh", F.lit(1))
+    )
+    distinct = both.groupBy("node", "other").agg(
+        F.max("score").alias("score"), F.min("back").alias("back"), F.bool_or("fresh").alias("fresh")
     )
-    distinct = both.groupBy("node", "other").agg(F.max("score").alias("score"), F.min("back").alias("back"))
     nearest = Window.partitionBy("node").orderBy("back", F.col("score").desc(), "other")
-    return distinct.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= MOST_EDGES).select("node", "other")
+    return distinct.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= MOST_EDGES).select("node", "other", "fresh")
 
 
 def _local_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Neighbours of one node against each other; what beats the worst neighbour of either."""
+    """Neighbours of one node against each other, but for pairs that met before; what beats the worst neighbour of either."""
     for group in _groups(batches, ["node"]):
         members, worst = group.column("other").to_numpy(), group.column("worst").to_numpy()
-        half = np.frombuffer(b"".join(group.column("half").to_pylist()), dtype=np.float16).reshape(len(members), -1)
-        x = half.astype(np.float32)
+        fresh = group.column("fresh").to_numpy()
+        x = _matrix(group.column("unit"))
         scores = x @ x.T
         np.fill_diagonal(scores, -2)
-        scores[scores <= worst[:, None]] = -2
+        scores[(scores <= worst[:, None] + MARGIN) | ~(fresh[:, None] | fresh)] = -2
         k = min(SENT, len(members))
         best = np.argpartition(-scores, k - 1, axis=1)[:, :k]
         values = np.take_along_axis(scores, best, axis=1)
@@ -216,50 +282,39 @@ def _local_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def descend(graph: DataFrame, vectors: DataFrame) -> DataFrame:
     """One round of NN-descent."""
+    full = F.size("ids") >= K
+    worst = graph.select(F.col("node").alias("other"), F.when(full, F.array_min("scores")).otherwise(-2.0).cast("float").alias("worst"))
+    sent = vectors.select(F.col("node").alias("other"), "unit").join(worst, "other", "left").fillna(-2.0, ["worst"])
+    any_fresh = F.bool_or("fresh").over(Window.partitionBy("node"))
+    active = edges(graph).withColumn("active", any_fresh).filter("active").drop("active")
+    gathered = active.join(sent, "other").repartition("node").sortWithinPartitions("node", "other")
+    found = gathered.select("node", "other", "fresh", "worst", "unit").mapInArrow(
+        lambda b: _task_best(_local_join(b), K), _LISTS
+    )
+    return materialize(best_lists(found, K, graph), "graph")
 
-    def halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = _matrix(batch.column("unit")).astype(np.float16)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array([row.tobytes() for row in x], pa.binary())], names=["other", "half"]
-            )
 
-    worst = graph.select(
-        F.col("node").alias("other"), F.when(F.size("ids") < K, -2.0).otherwise(F.array_min("scores")).cast("float").alias("worst")
-    )
-    sent = vectors.select("node", "unit").mapInArrow(halves, "other long, half binary").join(worst, "other")
-    gathered = edges(graph).join(sent, "other").repartition("node").sortWithinPartitions("node", "other")
-    found = gathered.select("node", "other", "worst", "half").mapInArrow(_local_join, _LISTS)
-    return materialize(best_lists(graph.union(found), K), "graph")
-
-
-def _new_share(old: DataFrame, new: DataFrame) -> float:
-    """Share of the list entries of ``new`` that ``old`` lacks."""
-    before = old.select("node", F.col("ids").alias("before"))
-    joined = new.join(before, "node", "left")
-    fresh = F.size(F.array_except("ids", F.coalesce("before", F.array().cast("array<long>"))))
-    row = joined.agg(F.sum(fresh).alias("fresh"), F.sum(F.size("ids")).alias("n")).first()
+def _fresh_share(graph: DataFrame) -> float:
+    """Share of the list entries that the last round has brought."""
+    fresh = F.size(F.filter("fresh", lambda flag: flag))
+    row = graph.agg(F.sum(fresh).alias("fresh"), F.sum(F.size("ids")).alias("n")).first()
     return (row["fresh"] or 0) / (row["n"] or 1)
 
 
 def build_graph(vectors: DataFrame, settled: float = SETTLED) -> DataFrame:
-    """(node, ids, scores): the approximate K nearest neighbours of each node."""
-    graph = first_neighbours(vectors)
-    while True:
-        better = descend(graph, vectors)
-        share = _new_share(graph, better)
-        graph = better
-        if share <= settled:
-            return graph
+    """(node, ids, scores, fresh): the approximate K nearest neighbours of each node that has any."""
+    graph = first_neighbours(vectors, vectors.count())
+    while _fresh_share(graph) > settled:
+        graph = descend(graph, vectors)
+    return graph
 
 
-_BEAMS = "node long, unit binary, ids array<long>, scores array<float>, done array<boolean>"
+# Searching
 
 
-def _beams(table: dict[str, list]) -> pa.RecordBatch:
-    types = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.float32()), pa.list_(pa.bool_())]
-    names = ["node", "unit", "ids", "scores", "done"]
-    return pa.RecordBatch.from_arrays([pa.array(table[n], t) for n, t in zip(names, types)], names=names)
+_BEAMS = "node long, unit binary, ids array<long>, scores array<float>, done array<boolean>"
+_BEAM_TYPES = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.float32()), pa.list_(pa.bool_())]
+_BEAM_NAMES = ["node", "unit", "ids", "scores", "done"]
 
 
 def _first_beams(queries: DataFrame, entries: list) -> DataFrame:
@@ -267,144 +322,109 @@ def _first_beams(queries: DataFrame, entries: list) -> DataFrame:
     ids, x = np.array([row["node"] for row in entries], dtype=np.int64), _matrix([bytes(row["unit"]) for row in entries])
 
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = batch.column("node").to_numpy()[:, None]
-            scores = _matrix(batch.column("unit")) @ x.T
-            scores[ids == own] = -2
-            best = np.argsort(-scores, axis=1)[:, : EXPANDED - 1]
-            chosen = np.hstack([own, ids[best]])
-            values = np.hstack([np.ones(own.shape, dtype=np.float32), np.take_along_axis(scores, best, axis=1)])
-            yield _beams(
-                {
-                    "node": batch.column("node"),
-                    "unit": batch.column("unit"),
-                    "ids": list(chosen),
-                    "scores": list(values),
-                    "done": [np.zeros(chosen.shape[1], dtype=bool)] * len(chosen),
-                }
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, ENTRY_ROWS):
+                batch = whole.slice(at, ENTRY_ROWS)
+                own = batch.column("node").to_numpy()[:, None]
+                scores = _matrix(batch.column("unit")) @ x.T
+                scores[ids == own] = -2
+                best = np.argsort(-scores, axis=1)[:, : EXPANDED - 1]
+                values = np.take_along_axis(scores, best, axis=1)
+                chosen = [np.append(node, ids[row[score > -2]]) for node, row, score in zip(own[:, 0], best, values)]
+                found = [np.append(np.float32(1), score[score > -2]) for score in values]
+                columns = [batch.column("node"), batch.column("unit"), chosen, found, [np.zeros(len(c), dtype=bool) for c in chosen]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _BEAM_TYPES)], names=_BEAM_NAMES)
 
     return queries.select("node", "unit").mapInArrow(start, _BEAMS)
 
 
-def _compare(key: tuple, requests: pa.Table, block: pa.Table) -> pa.Table:
-    """The asked-for vectors of one block against each query; what beats the query's worst."""
-    ids = block.column("id").to_numpy()
-    order = np.argsort(ids)
-    ids, x = ids[order], _matrix(block.column("other"))[order]
-    queries, worst = _matrix(requests.column("unit")), requests.column("worst").to_pylist()
-    out: dict[str, list] = {"node": [], "ids": [], "scores": []}
-    for row, (node, wanted) in enumerate(zip(requests.column("node").to_pylist(), requests.column("wanted").to_pylist())):
-        places = np.searchsorted(ids, np.array(wanted, dtype=np.int64))
-        scores = x[places] @ queries[row]
-        good = scores > worst[row]
-        if good.any():
-            out["node"].append(node)
-            out["ids"].append(ids[places[good]])
-            out["scores"].append(scores[good])
-    types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float32())]
-    return pa.Table.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types)], names=list(out))
-
-
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The best of each beam and of what was found; expanded nodes stay marked."""
-    for batch in batches:
-        rows = batch.to_pydict()
-        out = {name: [] for name in ("node", "unit", "ids", "scores", "done")}
-        for i, node in enumerate(rows["node"]):
-            old = np.array(rows["ids"][i], dtype=np.int64)
-            ids = np.concatenate([old, np.array(rows["new_ids"][i] or [], dtype=np.int64)])
-            scores = np.concatenate([rows["scores"][i], rows["new_scores"][i] or []]).astype(np.float32)
-            # The nodes expanded in this round are those _frontier took.
-            done = np.zeros(len(ids), dtype=bool)
-            done[: len(old)] = rows["done"][i]
-            done[_next(done[: len(old)])] = True
-            ids, first = np.unique(ids, return_index=True)  # a beam's own entry stands first
-            scores, done = scores[first], done[first]
-            best = np.lexsort((ids, -scores))[:BEAM]
-            for name, value in (("node", node), ("unit", rows["unit"][i]), ("ids", ids[best]), ("scores", scores[best]), ("done", done[best])):
-                out[name].append(value)
-        yield _beams(out)
-
-
 def _next(done) -> np.ndarray:
     """Places of a beam, nearest first, to expand next."""
     return np.flatnonzero(~np.asarray(done, dtype=bool))[:EXPANDED]
 
 
 def _frontier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(query, node) of the nodes to expand."""
     for batch in batches:
         nodes, ids, done = (batch.column(c).to_pylist() for c in ("node", "ids", "done"))
         chosen = [[own[i] for i in _next(flags)] for own, flags in zip(ids, done)]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([node for node, own in zip(nodes, chosen) for _ in own], pa.int64()),
-                pa.array([other for own in chosen for other in own], pa.int64()),
-            ],
-            names=["query", "node"],
-        )
+        queries = [node for node, own in zip(nodes, chosen) for _ in own]
+        others = [other for own in chosen for other in own]
+        yield pa.RecordBatch.from_arrays([pa.array(queries, pa.int64()), pa.array(others, pa.int64())], names=["query", "node"])
+
+
+def _advance(beam: pa.Table, found: pa.Table) -> pa.Table:
+    """The best of a query's beam and of the vectors found for it; nodes expanded in this round are marked."""
+    ids, scores = (np.array(beam[name][0].as_py()) for name in ("ids", "scores"))
+    done = np.array(beam["done"][0].as_py(), dtype=bool)
+    done[_next(done)] = True
+    if found.num_rows:
+        near = _matrix(found["unit"]) @ _matrix(beam["unit"])[0]
+        ids = np.concatenate([ids, found["other"].to_numpy()])
+        scores = np.concatenate([scores, near])
+        done = np.concatenate([done, np.zeros(len(near), dtype=bool)])
+    best = np.lexsort((ids, -scores))[:BEAM]
+    columns = [beam["node"].combine_chunks(), beam["unit"].combine_chunks(), [ids[best]], [scores[best]], [done[best]]]
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, _BEAM_TYPES)], names=_BEAM_NAMES)
 
 
 def search(queries: DataFrame, vectors: DataFrame, graph: DataFrame) -> DataFrame:
-    """(node, ids, scores): the beam of each query node, nearest first, itself left out."""
-    n = vectors.count()
-    n_blocks = max(1, math.ceil(n / BLOCK_ROWS))
-    block_of = lambda column: F.pmod(F.xxhash64(column), F.lit(n_blocks))
+    """(node, ids, scores): the beam of each query node, nearest first, itself included."""
     adjacency = materialize(edges(graph).groupBy("node").agg(F.collect_list("other").alias("others")), "adjacency")
-    blocks = materialize(vectors.select(block_of("node").alias("block"), F.col("node").alias("id"), F.col("unit").alias("other")), "blocks")
-    entries = vectors.select("node", "unit").orderBy(F.xxhash64("node")).limit(max(ENTRIES, math.ceil(ENTRIES_PER_ROOT * math.sqrt(n)))).collect()
+    entries = vectors.select("node", "unit").orderBy(F.xxhash64("node")).limit(ENTRIES).collect()
     if not entries:
-        return graph.limit(0)
+        return queries.select("node", F.array().cast("array<long>").alias("ids"), F.array().cast("array<float>").alias("scores"))
+    units = vectors.select(F.col("node").alias("other"), "unit")
     beams = materialize(_first_beams(queries, entries), "beams")
-    for _ in range(MOST_ROUNDS):
-        if beams.filter(F.exists("done", lambda flag: ~flag)).isEmpty():
-            break
+    while not beams.filter(F.exists("done", lambda flag: ~flag)).isEmpty():
         frontier = beams.select("node", "ids", "done").mapInArrow(_frontier, "query long, node long")
-        wanted = frontier.join(adjacency, "node").select("query", F.explode("others").alias("other"))
-        wanted = wanted.groupBy("query", block_of("other").alias("block")).agg(F.collect_set("other").alias("wanted"))
-        worst = F.when(F.size("ids") < BEAM, -2.0).otherwise(F.array_min("scores")).cast("float")
-        asking = beams.select(F.col("node").alias("query"), "unit", worst.alias("worst"))
-        # A block meets a bounded number of queries at a time.
-        requests = wanted.join(asking, "query").withColumn("batch", F.pmod(F.xxhash64("query"), F.lit(_query_batches(beams))))
-        requests = requests.select("block", "batch", F.col("query").alias("node"), "unit", "worst", "wanted")
-        asked = requests.select(F.col("block").alias("of"), F.col("batch").alias("for")).distinct()
-        copies = asked.join(blocks, asked["of"] == blocks["block"]).select("of", "for", "id", "other")
-        found = (
-            requests.groupBy("block", "batch")
-            .cogroup(copies.groupBy("of", "for"))
-            .applyInArrow(_compare, "node long, ids array<long>, scores array<float>")
+        # At most EXPANDED * MOST_EDGES nodes for each query.
+        wanted = frontier.join(adjacency, "node").groupBy("query").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
+        lacking = wanted.join(beams.select(F.col("node").alias("query"), "ids"), "query").select(
+            "query", F.explode(F.array_except("others", "ids")).alias("other")
         )
-        new = found.groupBy("node").agg(
-            F.flatten(F.collect_list("ids")).alias("new_ids"), F.flatten(F.collect_list("scores")).alias("new_scores")
-        )
-        beams = materialize(beams.join(new, "node", "left").mapInArrow(_merge, _BEAMS), "beams")
+        found = lacking.join(units, "other")
+        beams = materialize(beams.groupBy("node").cogroup(found.groupBy("query")).applyInArrow(_advance, _BEAMS), "beams")
     return beams.select("node", "ids", "scores")
 
 
-def _query_batches(beams: DataFrame) -> int:
-    return max(1, math.ceil(beams.count() / QUERY_BATCH))
-
+def exact_nearest(beams: DataFrame, vectors: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """(node, found): for each query node the ``k + 1`` nearest rows as (score, key, node), its own rows included, by exact cosine.
 
-def exact_nearest(beams: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` nearest of each beam by exact cosine."""
-    pairs = beams.select(F.col("node").alias("query"), F.posexplode(F.slice("ids", 1, EXACT + 1)).alias("place", "node"))
-    own = vectors.select(F.col("node").alias("query"), F.col("key").alias("query_id"), F.col("vector").alias("a"))
-    other = vectors.select("node", F.col("key").alias("vec_id"), F.col("vector").alias("b"))
-    joined = pairs.filter("query <> node").join(own, "query").join(other, "node")
+    ``members`` has the smallest ``k + 1`` keys of each node.
+    """
+    pairs = beams.select(F.col("node").alias("query"), F.explode(F.slice("ids", 1, EXACT)).alias("node"))
+    own = vectors.select(F.col("node").alias("query"), F.col("vector").alias("a"))
+    other = vectors.select("node", F.col("vector").alias("b"))
 
     def dot(x: str, y: str):
         return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda total, v: total + v)
 
-    scored = joined.withColumn("score", dot("a", "b") / (F.sqrt(dot("a", "a")) * F.sqrt(dot("b", "b"))))
-    near = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
-    ranked = scored.withColumn("rank", F.row_number().over(near)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    cosine = dot("a", "b") / (F.sqrt(dot("a", "a")) * F.sqrt(dot("b", "b")))
+    scored = pairs.join(own, "query").join(other, "node").select("query", "node", cosine.alias("score"))
+    rows = scored.join(members, "node").select("query", "node", "score", F.explode("keys").alias("key"))
+    near = Window.partitionBy("query").orderBy(F.col("score").desc(), "key")
+    best = rows.withColumn("place", F.row_number().over(near)).filter(F.col("place") <= k + 1)
+    listed = F.sort_array(F.collect_list(F.struct("place", "key", "score", "node")))
+    return best.groupBy("query").agg(listed.alias("found")).withColumnRenamed("query", "node")
 
 
 def nearest(df: DataFrame, is_query: str, k: int, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """The ``k`` approximate nearest rows of each row for which the SQL condition ``is_query`` on
-    the column ``key`` holds."""
-    vectors = usable_vectors(df, key, vector)
-    graph = build_graph(vectors)
-    queries = vectors.withColumnRenamed("key", key).filter(is_query).select("node", "unit")
-    return exact_nearest(search(queries, vectors, graph), vectors, k)
+    """(query_id, rank, vec_id, score): the ``k`` approximate nearest rows of each row for which the SQL
+    condition ``is_query`` on the column ``key`` holds."""
+    rows, nodes = usable_vectors(df, key, vector)
+    graph = build_graph(nodes)
+    asking = rows.withColumnRenamed("key", key).filter(is_query).withColumnRenamed(key, "key")
+    asking = materialize(asking.join(nodes.select("class", "node"), "class").select("key", "node"), "queries")
+    own = asking.select("node").distinct().join(nodes.select("node", "unit"), "node")
+    # The window is cut within each task first, so a node of very many rows sends few.
+    smallest = F.row_number().over(Window.partitionBy("class").orderBy("key"))
+    members = rows.withColumn("place", smallest).filter(F.col("place") <= k + 1).join(nodes.select("class", "node"), "class")
+    members = materialize(members.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("keys")), "members")
+    found = exact_nearest(search(own, nodes, graph), nodes, members, k)
+    # A row is no neighbour of itself: of its own node's rows one with its id is left out.
+    answers = asking.join(found, "node")
+    itself = F.array_min(F.transform(F.filter("found", lambda x: (x["node"] == F.col("node")) & (x["key"] == F.col("key"))), lambda x: x["place"]))
+    others = F.slice(F.filter("found", lambda x: x["place"] != F.coalesce("itself", F.lit(0))), 1, k)
+    ranked = answers.withColumn("itself", itself).select(F.col("key").alias("query_id"), F.posexplode(others).alias("place", "row"))
+    return ranked.select("query_id", (F.col("place") + 1).alias("rank"), F.col("row.key").alias("vec_id"), F.col("row.score").alias("score"))
