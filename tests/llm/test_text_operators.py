@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import json
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -15,6 +16,7 @@ import tokenizers
 from tests.llm import brute
 from tests.llm.conftest import ODD, SF_DIR
 from triplewright.llm import bpe, license_rules, licenses, quality, queries, sharding, token_counts
+from triplewright.llm.alignment import byte_characters
 from triplewright.llm.bpe import Vocabulary
 from triplewright.session import scratch_path
 
@@ -79,6 +81,30 @@ def test_token_counts_use_and_fill_the_cache(spark, odd, documents):
     assert token_counts.count_tokens(odd.limit(0), queries.TOKENIZER, cache).count() == 0
 
 
+def test_ranks_count_what_the_library_counts():
+    by_rank, by_library = token_counts.rank_counter(queries.TOKENIZER), token_counts.library_counter(queries.TOKENIZER)
+    end = "<|endoftext|>"
+    texts = [text or "" for _, text, _ in ODD] + [end, f"a{end} b", f"{end}{end}\n\n {end}", "<|endoftext", f"  {end}  x", "'S 'll"]
+    texts += [f"a{chr(c)}1{chr(c)} {chr(c)}{chr(c)}  {chr(c)}x" for c in [*range(0x3100), *range(0xF900, 0x10000), *range(0x10000, 0x1F000, 5)]]
+    with open(queries.TOKENIZER, encoding="utf-8") as file:
+        stored = json.load(file)
+    special = {token["content"] for token in stored["added_tokens"]}
+    byte_of = byte_characters()
+    pieces = [bytes(byte_of[c] for c in token) for token in stored["model"]["vocab"] if token not in special]
+    texts += [piece.decode() for piece in pieces if b"\xef\xbf\xbd" not in piece.decode("utf-8", "replace").encode()]
+    assert by_rank(texts) == by_library(texts)
+
+
+def test_other_files_go_to_their_library(tmp_path):
+    assert token_counts.rank_counter(public_tokenizers.path("word_bpe_49k.json")) is None
+    with open(queries.TOKENIZER, encoding="utf-8") as file:
+        stored = json.load(file)
+    stored["model"]["merges"][5:7] = stored["model"]["merges"][6], stored["model"]["merges"][5]
+    (tmp_path / "other.json").write_text(json.dumps(stored))
+    assert token_counts.rank_counter(str(tmp_path / "other.json")) is None
+    assert token_counts.counter(str(tmp_path / "other.json"))(["hello there"]) == [2]
+
+
 def test_sentencepiece_models_are_counted(spark):
     import sentencepiece
 

@@ -6,6 +6,10 @@ Contents are joined to stored counts; only distinct misses are encoded, and thei
 appended. A run that fails before its append leaves the cache as it was; what two runs
 append twice is read as one.
 
+A plain byte-level BPE file, whose merges are numbered in their order, is counted by an encoder
+that works on ranks alone: the same ids as the file's own library, special strings included, in a
+fraction of its time. All other files go to their libraries.
+
 Defined results: a null text counts as an empty one (0 bytes, 0 tokens). Equal texts are
 encoded once, rows are kept as they are, repeated rows included. Result columns replace
 input columns of the same names.
@@ -14,6 +18,7 @@ input columns of the same names.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Callable
 from functools import lru_cache
@@ -21,11 +26,47 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from triplewright.llm.alignment import byte_characters
 from triplewright.llm.batches import Columns, add_columns
 
 CACHE_SCHEMA = "tokenizer string, content string, n_tokens long"
 # Characters encoded in one call of the library.
 CALL_CHARS = 1 << 20
+# Fixed value: how byte-level files cut a text into pieces, unless they bring a pattern of their own.
+BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def rank_counter(path: str) -> Callable[[list[str]], list[int]] | None:
+    """Counts tokens of a plain byte-level BPE file by ranks; None for any other file."""
+    with open(path, encoding="utf-8") as file:
+        stored = json.load(file)
+    model, cut = stored["model"], stored.get("pre_tokenizer") or {}
+    plain = (
+        model.get("type", "BPE") == "BPE"
+        and not any(model.get(name) for name in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix"))
+        and not any(model.get(name) for name in ("fuse_unk", "byte_fallback", "ignore_merges"))
+        and stored.get("normalizer") is None
+        and (cut.get("type"), cut.get("add_prefix_space"), cut.get("use_regex", True)) == ("ByteLevel", False, True)
+        and all(t["special"] and not any(t[x] for x in ("single_word", "lstrip", "rstrip")) for t in stored["added_tokens"])
+    )
+    if not plain:
+        return None
+    vocabulary, byte_of = model["vocab"], byte_characters()
+    special = {token["content"]: token["id"] for token in stored["added_tokens"]}
+    merged = [vocabulary["".join(pair.split(" ") if isinstance(pair, str) else pair)] for pair in model["merges"]]
+    if any(a >= b for a, b in zip(merged, merged[1:])) or len(vocabulary.keys() - special.keys()) != 256 + len(merged):
+        return None
+    import tiktoken
+
+    ranks = {bytes(byte_of[c] for c in token): i for token, i in vocabulary.items() if token not in special}
+    encoder = tiktoken.Encoding("file", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+    def count(text: str) -> int:
+        if any(name in text for name in special):
+            return len(encoder.encode(text, allowed_special="all"))
+        return len(encoder.encode_ordinary(text))
+
+    return lambda texts: [count(text) for text in texts]
 
 
 @lru_cache(maxsize=4)
@@ -36,6 +77,13 @@ def counter(path: str) -> Callable[[list[str]], list[int]]:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         return lambda texts: [len(ids) for ids in model.encode(texts, num_threads=1)]
+    if by_rank := rank_counter(path):
+        return by_rank
+    return library_counter(path)
+
+
+def library_counter(path: str) -> Callable[[list[str]], list[int]]:
+    """Counts tokens with the library of a .json file."""
     import tokenizers
 
     tokenizer = tokenizers.Tokenizer.from_file(path)
