@@ -30,16 +30,16 @@ def quality(text):
     )
 
 
-def shingle_set(text):
+def shingle_set(text, size=4):
     found = words((text or "").translate(LOWER))
-    if len(found) < 4:
+    if len(found) < size:
         return {tuple(found)} if found else set()
-    return {tuple(found[i : i + 4]) for i in range(len(found) - 3)}
+    return {tuple(found[i : i + size]) for i in range(len(found) - size + 1)}
 
 
-def near_duplicates(rows):
+def near_duplicates(rows, size=4):
     """(id, text) pairs -> list of (id, n_shingles, component_id), in order."""
-    sets = [shingle_set(text) for _, text in rows]
+    sets = [shingle_set(text, size) for _, text in rows]
     parent = list(range(len(rows)))
 
     def root(i):

@@ -87,6 +87,26 @@ def test_members_that_only_meet_through_rare_shingles(spark):
     assert got == Counter(brute.near_duplicates(texts))
 
 
+@pytest.mark.parametrize("size", [4, 5])
+def test_a_large_group_of_near_copies_around_the_threshold(spark, size, monkeypatch):
+    rng = np.random.default_rng(7)
+    base, texts = [f"w{i}" for i in range(110)], []
+    for i in range(400):
+        own = list(base)
+        for place in rng.choice(110, size=int(rng.integers(0, 4)), replace=False):
+            own[place] = f"x{i}y{place}"
+        texts.append((i, " ".join(own)))
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    compared = []
+    real = near_dups.likely_pairs
+    monkeypatch.setattr(near_dups, "likely_pairs", lambda pairs, classes: compared.append(pairs.count()) or real(pairs, classes))
+    found = near_dups.near_duplicates(df, size=size)
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found.collect())
+    assert got == Counter(brute.near_duplicates(texts, size))
+    assert len({component for _, _, component in got}) < 200
+    assert sum(compared) < 400 * 399 / 2 / 4, compared
+
+
 def test_keep_one_row_of_each_component(odd):
     kept = near_dups.keep_one(odd)
     assert kept.columns == odd.columns
@@ -302,7 +322,7 @@ def test_pipeline_stages(spark, documents):
         if name == "quality_rules":
             assert all(not brute.quality(documents[key]["text"])[5] for key in after)
         if name == "near_duplicates":
-            expected = brute.near_duplicates([(r["doc_id"], r["text"]) for r in rows])
+            expected = brute.near_duplicates([(r["doc_id"], r["text"]) for r in rows], corpus_pipeline.STAGE_WORDS)
             assert after == Counter(key for key, _, component in expected if key == component)
         if name == "source_mix":
             taken = {r["doc_id"]: r["copies"] for r in mixing.pareto_mix(before).collect() if r["copies"]}

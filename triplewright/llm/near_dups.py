@@ -1,7 +1,7 @@
 """Near-duplicates by SetSketch registers.
 
-A document's set is that of its distinct shingles of four lower-cased words. Each of the
-``N_REGISTERS`` registers keeps the minimum of an exponentially distributed hash over the set,
+A document's set is that of its distinct shingles of a number of lower-cased words, four by
+default. Each of the ``N_REGISTERS`` registers keeps the minimum of an exponentially distributed hash over the set,
 truncated to a step of an exponential scale: registers of a union are the maxima of the
 registers, and two sets agree in a register about as often as they agree in shingles.
 
@@ -11,15 +11,17 @@ registers, and two sets agree in a register about as often as they agree in shin
 3. A pair's similarity is estimated by likelihood from the registers in which one set, the
    other, or neither is ahead, jointly with both set sizes. Pairs far below the threshold go.
 4. The others are confirmed on the full shingle sets; confirmed links form components.
-5. Members of buckets that still hold several components are searched again. Of these, only
-   pairs that share a rare shingle, with enough shingles left after it, can be similar enough
-   (see ``rare_shingles``), which keeps documents with a common passage apart, and most of
-   their registers agree. Those outside the
-   largest component with a shingle meet all others with it, so no pair that could join two
-   components is left out. There is no cap on buckets, members or partners.
-
-Two sets of similarity 0.8 share no band with probability 3e-6; the estimate wrongly drops
-such a pair with about the same probability.
+5. In turns, members of buckets that still hold several components meet other centres, each
+   only those most like it, until a turn brings no new link. A large group of near copies that
+   its first centres did not join comes together here, with as many pairs a turn as members.
+6. What is left apart is searched by rare shingles. Only pairs that share one, with enough
+   shingles left after it, can be similar enough (see ``rare_shingles``), which keeps documents
+   with a common passage apart, and most of their registers agree. Those outside the largest
+   component with a shingle meet all others with it. There is no cap on buckets, members or partners.
+
+Confirmed links are exact. A link can be missed: two sets of similarity 0.8 share no band with
+probability 3e-6, and the estimate, or the count of equal registers in step 6, drops such a
+pair with about 1e-5. Only pairs decided on full sets are left out of later searches.
 
 Defined results: null texts and texts without words have an empty set and are linked with
 nothing. A null id takes no part in the choice of the smallest id; where a component has
@@ -30,12 +32,12 @@ empty result. Only the id and text columns are read; other columns may have any
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from triplewright.llm.batches import Columns, add_columns
@@ -63,24 +65,26 @@ FREQUENCY_BITS = 20
 MERGERS = 8
 # Parts of the members of one bucket centre.
 N_PARTS = 64
+# Centres that a member of a bucket with several components meets in a turn.
+CENTRES = 2
 
 _U = np.uint64
 _SLOPES = mix(np.arange(1, N_REGISTERS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
 _OFFSETS = mix(_SLOPES + _U(12345))
 
 
-def shingles(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all shingles of a block of texts, and where each text's begin."""
+def shingles(hashes: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all shingles of ``size`` words of a block of texts, and where each text's begin."""
     n_words = np.diff(bounds)
-    counts = np.where(n_words >= SHINGLE_WORDS, n_words - SHINGLE_WORDS + 1, np.minimum(n_words, 1))
+    counts = np.where(n_words >= size, n_words - size + 1, np.minimum(n_words, 1))
     begins = np.concatenate([[0], np.cumsum(counts)])
     result = np.empty(begins[-1], dtype=_U)
-    windows = window_hashes(hashes, SHINGLE_WORDS)
-    long = np.repeat(n_words >= SHINGLE_WORDS, counts)
+    windows = window_hashes(hashes, size)
+    long = np.repeat(n_words >= size, counts)
     text_of = np.repeat(np.arange(len(counts)), counts)
     source = np.arange(len(result)) - begins[text_of] + bounds[text_of]
     result[long] = windows[source[long]]
-    for i in np.flatnonzero((n_words > 0) & (n_words < SHINGLE_WORDS)):
+    for i in np.flatnonzero((n_words > 0) & (n_words < size)):
         result[begins[i]] = window_hashes(hashes[bounds[i] : bounds[i + 1]], int(n_words[i]))[0]
     return result, begins
 
@@ -147,13 +151,13 @@ def _distinct(keys: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return counts - np.bincount(text_of[copies].astype(np.int64), minlength=len(counts))
 
 
-def _sketch(texts: list[str | None]) -> Columns:
+def _sketch(texts: list[str | None], size: int) -> Columns:
     ids: list[bytes | None] = [None] * len(texts)
     sketches: list[bytes | None] = [None] * len(texts)
     low_bytes: list[np.ndarray | None] = [None] * len(texts)
     sizes = np.zeros(len(texts), dtype=np.int64)
     for rows, hashes, bounds in word_hashes([utf8(text) for text in texts], lower=True):
-        keys, begins = shingles(hashes, bounds)
+        keys, begins = shingles(hashes, bounds, size)
         sizes[rows.start : rows.stop] = _distinct(keys, begins)
         full = np.flatnonzero(np.diff(bounds)) + rows.start
         found = registers(keys, begins)
@@ -176,10 +180,10 @@ def with_class(df: DataFrame, text: str = "text", name: str = "class") -> DataFr
     return add_columns(df, [text], f"{name} binary", lambda texts: {name: _class_ids(texts)})
 
 
-def sketch(df: DataFrame, text: str = "text") -> DataFrame:
+def sketch(df: DataFrame, text: str = "text", size: int = SHINGLE_WORDS) -> DataFrame:
     """Replace the text by ``class``, ``n_shingles``, ``registers`` (two bytes each) and ``prints``."""
     fields = "class binary, n_shingles long, registers binary, prints array<long>"
-    return add_columns(df, [text], fields, _sketch, drop=True)
+    return add_columns(df, [text], fields, lambda texts: _sketch(texts, size), drop=True)
 
 
 def _bands() -> Column:
@@ -232,30 +236,34 @@ def likely_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return estimated.filter(F.col("similarity") >= ESTIMATE_CUT).select("a", "b")
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _confirm(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows sorted by (a, part), first the text of a, then those of its partners b."""
-    centre, own = None, np.empty(0, dtype=_U)
-    for batch in batches:
-        a, b, part, texts = (batch.column(name).to_pylist() for name in ("a", "b", "part", "text"))
-        linked = []
-        for rows, hashes, bounds in word_hashes([utf8(text) for text in texts], lower=True):
-            keys, begins = shingles(hashes, bounds)
-            for i, at in zip(rows, range(len(rows))):
-                found = np.unique(keys[begins[at] : begins[at + 1]])
-                if b[i] is None:
-                    centre, own = (a[i], part[i]), found
-                    continue
-                if centre != (a[i], part[i]):
-                    raise ValueError("a text without its centre")
-                common = len(np.intersect1d(own, found, assume_unique=True))
-                if 100 * common >= THRESHOLD * (len(own) + len(found) - common):
-                    linked.append(i)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([a[i] for i in linked], pa.binary()), pa.array([b[i] for i in linked], pa.binary())], names=["a", "b"]
-        )
-
-
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre, own = None, np.empty(0, dtype=_U)
+        for batch in batches:
+            a, b, part, texts = (batch.column(name).to_pylist() for name in ("a", "b", "part", "text"))
+            linked = []
+            for rows, hashes, bounds in word_hashes([utf8(text) for text in texts], lower=True):
+                keys, begins = shingles(hashes, bounds, size)
+                for i, at in zip(rows, range(len(rows))):
+                    found = np.unique(keys[begins[at] : begins[at + 1]])
+                    if b[i] is None:
+                        centre, own = (a[i], part[i]), found
+                        continue
+                    if centre != (a[i], part[i]):
+                        raise ValueError("a text without its centre")
+                    common = len(np.intersect1d(own, found, assume_unique=True))
+                    if 100 * common >= THRESHOLD * (len(own) + len(found) - common):
+                        linked.append(i)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([a[i] for i in linked], pa.binary()), pa.array([b[i] for i in linked], pa.binary())], names=["a", "b"]
+            )
+
+    return run
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """The pairs (a, b) that are similar by their full shingle sets.
 
     The partners of a centre are dealt over parts; the centre's text is sent once to each.
@@ -265,13 +273,13 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     rows = dealt.join(texts.withColumnRenamed("class", "b"), "b").select("a", "part", "b", "text")
     rows = rows.union(centres.join(texts.withColumnRenamed("class", "a"), "a").select("a", "part", "b", "text"))
     sorted_rows = rows.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-    return sorted_rows.mapInArrow(_confirm, "a binary, b binary")
+    return sorted_rows.mapInArrow(_confirm(size), "a binary, b binary")
 
 
-def _text_shingles(texts: list[str]) -> Iterator[tuple[int, np.ndarray]]:
+def _text_shingles(texts: list[str], size: int) -> Iterator[tuple[int, np.ndarray]]:
     """Each text's number and its distinct shingle hashes."""
     for rows, hashes, bounds in word_hashes([utf8(text) for text in texts], lower=True):
-        keys, begins = shingles(hashes, bounds)
+        keys, begins = shingles(hashes, bounds, size)
         for at, i in enumerate(rows):
             yield i, np.unique(keys[begins[at] : begins[at + 1]])
 
@@ -280,7 +288,7 @@ def _cell(keys: np.ndarray) -> np.ndarray:
     return (keys >> _U(64 - FREQUENCY_BITS)).astype(np.int64)
 
 
-def shingle_frequencies(texts: DataFrame) -> np.ndarray:
+def shingle_frequencies(texts: DataFrame, size: int) -> np.ndarray:
     """About how many texts have a shingle, by the top bits of its hash: a fixed number of sums.
 
     Every task adds up its texts; a few tasks add up the tasks.
@@ -292,7 +300,7 @@ def shingle_frequencies(texts: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << FREQUENCY_BITS, dtype=np.int64)
         for batch in batches:
-            for _, keys in _text_shingles(batch.column("text").to_pylist()):
+            for _, keys in _text_shingles(batch.column("text").to_pylist(), size):
                 counts[_cell(keys)] += 1
         if counts.any():
             yield packed(counts)
@@ -313,7 +321,7 @@ def shingle_frequencies(texts: DataFrame) -> np.ndarray:
     return total.astype(np.int32)
 
 
-def rare_shingles(texts: DataFrame, frequencies: np.ndarray) -> DataFrame:
+def rare_shingles(texts: DataFrame, frequencies: np.ndarray, size: int) -> DataFrame:
     """Add ``band``, one row per rare shingle of a text, and ``place``, its place from 0; drop the text.
 
     In one order of all shingles, rarest first, two sets of similarity t or more share one of
@@ -324,7 +332,7 @@ def rare_shingles(texts: DataFrame, frequencies: np.ndarray) -> DataFrame:
 
     def first(values: list[str]) -> Columns:
         found: list[np.ndarray | None] = [None] * len(values)
-        for i, keys in _text_shingles(values):
+        for i, keys in _text_shingles(values, size):
             order = np.lexsort((keys, frequencies[_cell(keys)]))
             n = len(keys) - -(-THRESHOLD * len(keys) // 100) + 1
             found[i] = keys[order[:n]].view(np.int64)
@@ -340,17 +348,66 @@ def _several_components(rows: DataFrame) -> DataFrame:
     return ends.filter("low <> high").select("band")
 
 
-def remaining_pairs(members: DataFrame, labels: DataFrame, texts: DataFrame, classes: DataFrame) -> DataFrame:
+def with_component(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members with their present components; a class without links is one of its own."""
+    named = labels.withColumnRenamed("node", "class")
+    return members.drop("component").join(named, "class", "left").withColumn("component", F.coalesce("component", "class"))
+
+
+def mixed_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components, with these."""
+    labelled = with_component(members, labels)
+    return labelled.join(_several_components(labelled), "band")
+
+
+def joined_components(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (node, component) after new links, which are followed between components only."""
+    ends = links
+    for side in ("a", "b"):
+        own = labels.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
+        ends = ends.join(own, side, "left").withColumn(f"of_{side}", F.coalesce(f"of_{side}", side))
+    merged = materialize(components(ends.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))), "merged")
+    to = merged.select(F.col("node").alias("component"), F.col("component").alias("now"))
+    known = labels.join(to, "component", "left").select("node", F.coalesce("now", "component").alias("component"))
+    alone = merged.join(labels.select("node"), "node", "left_anti").select("node", "component")
+    return materialize(known.union(alone).distinct(), "labels")
+
+
+def centre_pairs(mixed: DataFrame, classes: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of each member outside its bucket's largest component with its best centres.
+
+    Each bucket has two centres in a turn, drawn by hash: one of its largest component, one of
+    all others. Of the centres of all its buckets, a member meets the ``CENTRES`` that have most
+    registers in common with it: as many pairs as members, whatever the size of a group.
+    """
+    drawn = F.struct(F.xxhash64("class", F.lit(turn)).alias("order"), F.col("class").alias("centre"))
+    of_component = mixed.groupBy("band", "component").agg(F.count("*").alias("n"), F.min(drawn).alias("drawn"))
+    largest = of_component.groupBy("band").agg(F.max(F.struct("n", "component", "drawn")).alias("top"))
+    largest = largest.select("band", F.col("top.component").alias("largest"), F.col("top.drawn.centre").alias("inside"))
+    outside = of_component.join(largest, "band").filter("component <> largest")
+    centres = outside.groupBy("band").agg(F.min("drawn")["centre"].alias("outside"), F.first("largest").alias("largest"), F.first("inside").alias("inside"))
+    met = (
+        mixed.join(centres, "band")
+        .filter("component <> largest")
+        .select(F.col("class").alias("x"), F.explode(F.array("inside", "outside")).alias("centre"))
+        .filter("x <> centre")
+        .distinct()
+    )
+    for side in ("x", "centre"):
+        met = met.join(classes.select(F.col("class").alias(side), F.col("prints").alias(f"prints_{side}")), side)
+    best = Window.partitionBy("x").orderBy(F.col("equal").desc(), "centre")
+    ranked = met.select("x", "centre", equal_registers("prints_x", "prints_centre").alias("equal")).withColumn("place", F.row_number().over(best))
+    return ranked.filter(F.col("place") <= CENTRES).select(F.least("x", "centre").alias("a"), F.greatest("x", "centre").alias("b")).distinct()
+
+
+def remaining_pairs(mixed: DataFrame, texts: DataFrame, classes: DataFrame, size: int) -> DataFrame:
     """Pairs of different components that share a rare shingle and enough registers, among the
     members of buckets that hold several components; at least one is outside the largest
     component with that shingle."""
-    named = labels.withColumnRenamed("node", "class")
-    labelled = members.join(named, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    mixed = labelled.join(_several_components(labelled), "band").select("class", "n_shingles", "component").distinct()
-    rows = materialize(mixed.join(texts, "class").join(classes.select("class", "prints"), "class"), "mixed_texts")
+    rows = materialize(mixed.select("class", "n_shingles", "component").distinct().join(texts, "class").join(classes.select("class", "prints"), "class"), "mixed_texts")
     if rows.isEmpty():
         return rows.select(F.col("class").alias("a"), F.col("class").alias("b"))
-    shared = materialize(rare_shingles(rows, shingle_frequencies(rows)), "rare_shingles")
+    shared = materialize(rare_shingles(rows, shingle_frequencies(rows, size), size), "rare_shingles")
     shared = materialize(shared.join(_several_components(shared), "band"), "shared_shingles")
     largest = (
         shared.groupBy("band", "component")
@@ -383,11 +440,11 @@ def remaining_pairs(members: DataFrame, labels: DataFrame, texts: DataFrame, cla
     )
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: ``key``, n_shingles, ``class`` (null for an empty set), component_id (smallest
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS) -> DataFrame:
+    """Per row, for shingles of ``size`` words: ``key``, n_shingles, ``class`` (null for an empty set), component_id (smallest
     key of its component) and ``component`` (the component's smallest class)."""
     source = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    rows = materialize(sketch(source), "sketches")
+    rows = materialize(sketch(source, size=size), "sketches")
     classes = materialize(
         rows.filter("n_shingles > 0")
         .groupBy("class")
@@ -408,13 +465,23 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     to_centres = materialize(
         members.filter("class <> centre").select(F.col("centre").alias("a"), F.col("class").alias("b")).distinct(), "pairs"
     )
-    links = materialize(confirmed(likely_pairs(to_centres, classes), texts), "links")
-    labels = materialize(components(links), "labels")
-    others = remaining_pairs(members, labels, texts, classes).join(to_centres, ["a", "b"], "left_anti")
-    more = materialize(confirmed(likely_pairs(others, classes), texts), "links")
-    if not more.isEmpty():
-        found = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        labels = materialize(components(found.union(more)), "labels")
+    tried = materialize(likely_pairs(to_centres, classes), "likely")
+    labels = materialize(components(confirmed(tried, texts, size)), "labels")
+    # Only pairs that were decided on full sets are left out of later searches.
+    decided, mixed, turn = tried, materialize(mixed_members(members, labels), "mixed"), 0
+    while True:
+        pairs = centre_pairs(mixed, classes, turn).join(decided, ["a", "b"], "left_anti")
+        tried = materialize(likely_pairs(pairs, classes), "likely")
+        links = materialize(confirmed(tried, texts, size), "links")
+        decided, turn = decided.union(tried), turn + 1
+        if links.isEmpty():
+            break
+        labels = joined_components(labels, links)
+        mixed = materialize(mixed_members(mixed, labels), "mixed")
+    others = remaining_pairs(mixed, texts, classes, size).join(decided, ["a", "b"], "left_anti")
+    links = materialize(confirmed(likely_pairs(others, classes), texts, size), "links")
+    if not links.isEmpty():
+        labels = joined_components(labels, links)
     named = (
         classes.select("class", "key")
         .join(labels.withColumnRenamed("node", "class"), "class", "left")
@@ -429,11 +496,11 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     return full.unionByName(empty).withColumnRenamed("key", key)
 
 
-def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS) -> DataFrame:
     """One row of each component, that with the smallest key (null only if there is no other);
     all rows without words stay. The columns of ``df`` are returned unchanged.
     """
-    found = near_duplicates(df, key, text).filter("component IS NOT NULL")
+    found = near_duplicates(df, key, text, size).filter("component IS NOT NULL")
     chosen = (
         found.groupBy("component")
         .agg(F.min(F.struct(F.col(key).isNull().alias("unknown"), F.col(key).alias("key"), "class")).alias("row"))
