@@ -1,4 +1,18 @@
-"""A training corpus from ``documents``: quality rules, near-duplicates, source mix, tokens."""
+"""A training corpus from ``documents``: quality rules, near-duplicates, source mix, tokens.
+
+Every stage works on all rows of the one before and returns the columns of ``documents``, the last one
+ids and digests; other columns, whatever they are called, go. An empty table passes as one.
+
+- quality_rules: null, empty and very short texts fail the rule of fewest words and go, however
+  often a row is repeated.
+- near_duplicates: equal rows, and rows of one group, are reduced to the one with the smallest id;
+  null ids come last, and rows without words stay. Of rows that tie in id and words any one stays.
+- source_mix: a null source is a source of its own. Repeated rows are separate documents. Rows
+  without words have no size and are not taken.
+- bpe: a null text is an empty one, without tokens.
+
+Texts of any length are read whole.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +25,8 @@ from triplewright.llm.queries import BPE_PATTERN, BPE_RANKS
 from triplewright.session import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+# Words of a shingle in the near-duplicate stage.
+STAGE_WORDS = 5
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +37,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that with the smallest id."""
-    return near_dups.keep_one(docs.select(*COLUMNS))
+    return near_dups.keep_one(docs.select(*COLUMNS), size=STAGE_WORDS)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
