@@ -31,8 +31,10 @@ def main() -> None:
     parser.add_argument("--given-exclusions", help="tab-separated (person, given name) pairs to leave out")
     parser.add_argument("--sectors", nargs="+", default=company.SECTORS, help="predicates that name a sector")
     parser.add_argument("--preferred-industry", default=company.PREFERRED_INDUSTRY)
+    parser.add_argument("--changes-only", action="store_true", help="derive only what follows from changed subjects")
     parser.add_argument("--extract", help="table for the graph of exchange-listed companies")
     parser.add_argument("--countries", nargs="+", help="keep listed companies of these mapped countries only")
+    parser.add_argument("--companies", type=int, help="keep exactly so many listed companies, the same ones in each run")
     parser.add_argument("--without-country", action="store_true", help="leave countries out of the extract")
     parser.add_argument("--reports", help="folder for reports of triples per predicate")
     parser.add_argument("--base", help="IRI prefix of the subjects that the reports count")
@@ -44,7 +46,8 @@ def main() -> None:
     paths = pipeline.JobPaths(
         options.dumps, options.mappings, options.triples, options.rejects, options.company, options.person
     )
-    for name, counts in pipeline.ingest(spark, paths, database=options.database).items():
+    bases = [options.base] if options.base else []
+    for name, counts in pipeline.ingest(spark, paths, database=options.database, bases=bases).items():
         print(f"{name}: {counts['lines']} lines, {counts['rejected']} rejected")
     choices = pipeline.Choices(
         _pairs(spark, options.family_exclusions, person.FAMILY_NAME_EXCLUSIONS),
@@ -52,14 +55,16 @@ def main() -> None:
         options.sectors,
         options.preferred_industry,
     )
-    for table in pipeline.derive(spark, paths, options.location, choices):
+    for table in pipeline.derive(spark, paths, options.location, choices, options.changes_only):
         print(f"saved {table}")
     if options.extract:
         with_country = not options.without_country
-        pipeline.save_extract(spark, paths, options.extract, options.countries, with_country, options.location)
+        pipeline.save_extract(
+            spark, paths, options.extract, options.countries, with_country, options.location, options.companies
+        )
         print(f"saved {options.extract}")
     if options.reports:
-        pipeline.report_predicates(spark, paths, options.base, options.reports)
+        pipeline.report_predicates(spark, paths, options.base, options.reports, stored=True)
     spark.stop()
 
 

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from triplewright import session
 from triplewright.plans.etl import run_employee_report
-from triplewright.plans.stats import predicate_stats, predicate_stats_by_dump
-from triplewright.sources import mappings, sinks, triples
+from triplewright.plans.stats import predicate_stats, predicate_stats_by_dump, stored_predicate_stats
+from triplewright.sources import mappings, sinks, triples, versions
 
 LINES = {
     '<a/b> <c#d> "x" .': ("b", "d", '"x"'),
@@ -103,7 +103,7 @@ def test_large_predicate_is_cut_into_several_files(spark, tmp_path):
         triples.ingest_triples(spark, {"quote": source}, str(target))
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    files = {p.name: len(list(p.glob("*.parquet"))) for p in (target / "quote").glob("pred=*")}
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (target / "quote").glob("data/*/lines/kind=triple/pred=*")}
     assert len(files) == 6
     assert files["pred=large"] >= 4
     assert triples.read_triples(spark, f"{target}/quote").count() == 60_000
@@ -172,9 +172,175 @@ def test_predicate_stats(spark, tmp_path):
 
 def test_append_matches_columns_by_name(spark, tmp_path):
     df = spark.createDataFrame([("s", "p", "o")], "sub string, pred string, obj string")
-    sinks.save_table(df, "append_by_name", str(tmp_path / "t"))
+    sinks.append_table(df, "append_by_name", str(tmp_path / "t"))
     sinks.append_table(df.select("obj", "sub", "pred"), "append_by_name", str(tmp_path / "t"))
     assert rows(spark.read.table("append_by_name"), "sub", "pred", "obj") == Counter({("s", "p", "o"): 2})
+    with pytest.raises(ValueError, match="columns"):
+        sinks.append_table(df.drop("obj"), "append_by_name")
+
+
+@pytest.mark.parametrize("value", ["2026-12-01", "it's", "a\\b=c/d", "ü %"])
+def test_a_repeated_run_replaces_its_own_rows_only(spark, tmp_path, value):
+    table = f"runs_{abs(hash(value))}"
+    df = spark.createDataFrame([("s", "p", "o"), ("s", "p", "o")], "sub string, pred string, obj string")
+    for run, rows_ in (("before", df), (value, df), (value, df.limit(1)), (value, df)):
+        sinks.append_table(rows_, table, str(tmp_path / "t"), run)
+    assert rows(spark.read.table(table), "run") == Counter({("before",): 2, (value,): 2})
+    sinks.append_table(df.limit(0), table, str(tmp_path / "t"), value)
+    assert rows(spark.read.table(table), "run") == Counter({("before",): 2})
+
+
+def test_runs_need_a_table_that_is_partitioned_by_them(spark, tmp_path):
+    df = spark.createDataFrame([("s", "p", "o", "x")], "sub string, pred string, obj string, run string")
+    sinks.save_table(df, "not_by_run", str(tmp_path / "t"))
+    with pytest.raises(ValueError, match="not partitioned"):
+        sinks.append_table(df.drop("run"), "not_by_run", run="x")
+
+
+class Killed(Exception):
+    pass
+
+
+def killed_at(monkeypatch, module, name, call=1):
+    """The ``call``-th call of a function ends the run instead."""
+    real, calls = getattr(module, name), []
+
+    def step(*args, **kwargs):
+        calls.append(name)
+        if len(calls) == call:
+            raise Killed(name)
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(module, name, step)
+
+
+# Each step of an ingest after which it may end.
+STEPS = [
+    (triples, "_sorted_out"),
+    (triples, "sketch_predicates"),
+    (triples, "subject_digests"),
+    (versions, "publish"),
+    (versions, "_create"),
+]
+
+
+@pytest.mark.parametrize("module, name", STEPS, ids=[name for _, name in STEPS])
+def test_an_ingest_that_ends_early_leaves_the_old_version(spark, tmp_path, monkeypatch, module, name):
+    dump, target = tmp_path / "dump.nt", str(tmp_path / "t")
+    dump.write_text("<a/b> <c#old> x .\nbad\n")
+    triples.ingest_triples(spark, {"quote": str(dump)}, target, str(tmp_path / "r"))
+    dump.write_text("<a/b> <c#new> x .\nworse\n")
+    with monkeypatch.context() as patch:
+        killed_at(patch, module, name)
+        with pytest.raises(Killed):
+            triples.ingest_triples(spark, {"quote": str(dump)}, target, str(tmp_path / "r"))
+    assert rows(triples.read_triples(spark, f"{target}/quote"), "pred") == Counter([("old",)])
+    assert rows(triples.read_rejects(spark, f"{target}/quote"), "value") == Counter([("bad",)])
+    triples.ingest_triples(spark, {"quote": str(dump)}, target, str(tmp_path / "r"))
+    assert rows(triples.read_triples(spark, f"{target}/quote"), "pred") == Counter([("new",)])
+    assert rows(spark.read.text(str(tmp_path / "r/quote")), "value") == Counter([("worse",)])
+
+
+@pytest.mark.parametrize("module, name", [(triples, "_register"), (triples, "read_rejects"), (versions, "drop_old")])
+def test_an_ingest_that_ends_after_publishing_has_the_new_version(spark, tmp_path, monkeypatch, module, name):
+    dump, target = tmp_path / "dump.nt", str(tmp_path / "t")
+    spark.sql("CREATE DATABASE IF NOT EXISTS kg_late")
+    for text in ("old", "new"):
+        dump.write_text(f"<a/b> <c#{text}> x .\n")
+        with monkeypatch.context() as patch:
+            if text == "new":
+                killed_at(patch, module, name)
+            try:
+                triples.ingest_triples(spark, {"quote": str(dump)}, target, str(tmp_path / "r"), "kg_late")
+            except Killed:
+                pass
+    assert rows(triples.read_triples(spark, f"{target}/quote"), "pred") == Counter([("new",)])
+    assert rows(spark.read.table("kg_late.quote"), "pred") == Counter([("old" if name == "_register" else "new",)])
+    triples.ingest_triples(spark, {"quote": str(dump)}, target, str(tmp_path / "r"), "kg_late")
+    assert rows(spark.read.table("kg_late.quote"), "pred") == Counter([("new",)])
+
+
+def test_rejects_never_appear_as_triples_whatever_predicates_are_called(spark, tmp_path):
+    dump, target = tmp_path / "dump.nt", str(tmp_path / "t")
+    dump.write_text("<a/b> <c#__rejected__> x .\n<a/b> <c#reject> y .\nbad\n<a/b> <c#triple> z .\n")
+    triples.ingest_triples(spark, {"quote": str(dump)}, target)
+    found = rows(triples.read_triples(spark, f"{target}/quote"), "pred", "obj")
+    assert found == Counter([("__rejected__", "x"), ("reject", "y"), ("triple", "z")])
+
+
+def test_nothing_published_is_no_empty_table(spark, tmp_path):
+    (tmp_path / "t/data/unfinished").mkdir(parents=True)
+    with pytest.raises(FileNotFoundError):
+        triples.read_triples(spark, str(tmp_path / "t"))
+
+
+def test_a_dump_of_rejects_only_has_no_triples(spark, tmp_path):
+    dump = tmp_path / "dump.nt"
+    dump.write_text("bad\n")
+    triples.ingest_triples(spark, {"quote": str(dump)}, str(tmp_path / "t"))
+    assert triples.read_triples(spark, str(tmp_path / "t/quote")).columns == ["sub", "pred", "obj"]
+    assert triples.read_triples(spark, str(tmp_path / "t/quote")).isEmpty()
+
+
+def test_versions(spark, tmp_path):
+    root = str(tmp_path / "v")
+    assert versions.current(spark, root) is None and not versions.is_versioned(spark, root)
+    staged = []
+    for n in range(1, 5):
+        staged.append(versions.stage(root))
+        Path(staged[-1]).mkdir(parents=True)
+        assert versions.publish(spark, root, staged[-1], after=n - 1) == (n, staged[-1])
+    with pytest.raises(versions.Outdated):
+        versions.publish(spark, root, versions.stage(root), after=3)
+    (tmp_path / "v/published/000000000005").touch()  # a run that ended while it wrote its pointer
+    assert versions.current(spark, root) == (4, staged[3])
+    left = Path(versions.stage(root))
+    left.mkdir()
+    assert set(versions.drop_old(spark, root, keep=2)) == set(staged[:2])
+    assert [v.number for v in versions.published(spark, root)] == [3, 4] and left.exists()
+    assert versions.drop_old(spark, root, keep=2, abandoned_hours=-1) == [str(left)]
+    assert versions.publish(spark, root, versions.stage(root)).number == 6
+
+
+def test_of_two_runs_on_one_version_only_one_publishes(spark, tmp_path):
+    root = str(tmp_path / "v")
+    versions.publish(spark, root, versions.stage(root))
+    first, second = versions.stage(root), versions.stage(root)
+    versions.publish(spark, root, first, after=1)
+    with pytest.raises(versions.Outdated):
+        versions.publish(spark, root, second, after=1)
+    assert versions.current(spark, root).path == first
+
+
+@pytest.mark.parametrize("name", ["publish", "_create"])
+def test_a_table_is_replaced_all_at_once(spark, tmp_path, monkeypatch, name):
+    df = spark.createDataFrame([("s", "old")], "sub string, obj string")
+    table = f"replaced_{name.strip('_')}"
+    sinks.save_table(df, table, str(tmp_path / "t"))
+    with monkeypatch.context() as patch:
+        killed_at(patch, versions, name)
+        with pytest.raises(Killed):
+            sinks.save_table(df.withColumn("obj", F.lit("new")), table, str(tmp_path / "t"))
+    assert rows(spark.read.table(table), "obj") == Counter([("old",)])
+    # Its own content may be read while it is replaced.
+    sinks.save_table(spark.read.table(table).withColumn("obj", F.upper("obj")), table, str(tmp_path / "t"))
+    assert rows(spark.read.table(table), "obj") == Counter([("OLD",)])
+    sinks.save_table(df.withColumn("more", F.lit(1)), table, str(tmp_path / "t"))
+    assert spark.read.table(table).columns == ["sub", "obj", "more"]
+
+
+def test_stored_counts_equal_counts_of_the_text(spark, tmp_path):
+    path = tmp_path / "a.nt"
+    path.write_text("\n".join([*STAT_LINES, *REJECTED, "<https://kg.example/7>\t<http://h/tab>\t<o>\t."]) + "\n")
+    bases = ["https://kg.example/", "https://kg.example/1", "https://nowhere/"]
+    triples.ingest_triples(spark, {"a": str(path)}, str(tmp_path / "t"), bases=bases)
+    for base in bases:
+        wanted = predicate_stats_by_dump(spark, base, {"a": str(path)})
+        stored = stored_predicate_stats(spark, base, {"a": str(tmp_path / "t/a")})
+        assert rows(stored, "source", "pred", "n") == rows(wanted, "source", "pred", "n")
+    triples.ingest_triples(spark, {"a": str(path)}, str(tmp_path / "t"))
+    with pytest.raises(FileNotFoundError, match="without bases"):
+        stored_predicate_stats(spark, bases[0], {"a": str(tmp_path / "t/a")})
 
 
 def test_employee_report(spark, tmp_path):

@@ -1,4 +1,4 @@
-"""Small building blocks on (sub, pred, obj) frames."""
+"""Small building blocks on (sub, pred, obj) frames, plain or stored."""
 
 from __future__ import annotations
 
@@ -8,21 +8,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triplewright.functions.text import iri_id, literal_value
+from triplewright.operators.stored import StoredTriples, Triples, rows_of
 
 
-def facts(triples: DataFrame, *preds: str) -> DataFrame:
+def facts(triples: Triples, *preds: str) -> DataFrame:
     """Triples of the given predicates: a partition filter on the stored layout."""
+    rows = rows_of(triples)
     if len(preds) == 1:
-        return triples.filter(F.col("pred") == preds[0])
-    return triples.filter(F.col("pred").isin(*preds))
+        return rows.filter(F.col("pred") == preds[0])
+    return rows.filter(F.col("pred").isin(*preds))
 
 
-def literals(triples: DataFrame, pred: str, key: str = "sub", value: str = "obj") -> DataFrame:
+def by_subject(triples: Triples, pred: str) -> tuple[DataFrame, DataFrame | None] | None:
+    """Triples of one predicate that is laid out by subject, and those of its hot subjects; None if it isn't."""
+    return triples.clustered.get(pred) if isinstance(triples, StoredTriples) else None
+
+
+def literals(triples: Triples, pred: str, key: str = "sub", value: str = "obj") -> DataFrame:
     """(key, literal value) of one predicate."""
     return facts(triples, pred).select(F.col("sub").alias(key), literal_value(F.col("obj")).alias(value))
 
 
-def links(triples: DataFrame, preds: Iterable[str], key: str = "sub", target: str = "obj") -> DataFrame:
+def links(triples: Triples, preds: Iterable[str], key: str = "sub", target: str = "obj") -> DataFrame:
     """(key, id of the linked entity) over some predicates."""
     return facts(triples, *preds).select(F.col("sub").alias(key), iri_id(F.col("obj")).alias(target))
 

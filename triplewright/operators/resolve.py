@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from triplewright.operators.skew import existence_join, hot_keys, lookup_join, split_hot
+from triplewright.operators.skew import KeySketch, existence_join, hot_keys, lookup_join, split_hot
 
 
 def count_by_key(df: DataFrame, key: str) -> DataFrame:
@@ -52,41 +52,37 @@ def rank_longest(df: DataFrame, key: str, value: str) -> DataFrame:
         .withColumn("rank", F.coalesce(longer, F.lit(0)) + 1)
         .drop("n")
     )
-    both = lookup_join(hot_rows, ranks, [key, "len"]).unionByName(rest.withColumn("rank", ranked))
+    both = lookup_join(hot_rows, ranks, [key, "len"], copies=True).unionByName(rest.withColumn("rank", ranked))
     return both.select(*df.columns, "rank")
 
 
-def longest_per_key(df: DataFrame, key: str, value: str) -> DataFrame:
+def longest_per_key(df: DataFrame, key: str, value: str, probe: DataFrame | KeySketch | None = None) -> DataFrame:
     """Distinct rows whose value is the longest of its key; all ties stay.
 
     Duplicates do not change a maximum, so they are removed after the filter, on the
-    window's own partitioning: one shuffle. Hot keys get their maximum by partial
-    aggregation and a broadcast of at most a thousand rows.
+    window's own partitioning: one shuffle. Hot keys, looked for in ``probe`` if given, get their
+    maximum by partial aggregation and a broadcast of at most a thousand rows.
     """
-    columns = df.columns
-    (hot,) = hot_keys([df], key)
-    rank = F.rank().over(Window.partitionBy(key).orderBy(F.desc("len")))
-
-    def by_window(rows: DataFrame) -> DataFrame:
-        return (
-            rows.withColumn("len", F.length(value))
-            .withColumn("rank", rank)
-            .filter(F.col("rank") == 1)
-            .select(*columns)
-            .dropDuplicates()
-        )
-
+    (hot,) = hot_keys([df if probe is None else probe], key)
     if not hot:
-        return by_window(df)
+        return longest_by_window(df, key, value)
     hot_rows, rest = split_hot(df, key, hot)
-    longest = F.broadcast(hot_rows.groupBy(key).agg(F.max(F.length(value)).alias("longest")))
-    hot_best = (
-        hot_rows.join(longest, key)
-        .filter(F.length(value) == F.col("longest"))
-        .select(*columns)
-        .dropDuplicates()
+    return longest_of_few(hot_rows, key, value).unionByName(longest_by_window(rest, key, value))
+
+
+def longest_by_window(df: DataFrame, key: str, value: str) -> DataFrame:
+    """:func:`longest_per_key` without hot keys."""
+    ranked = df.withColumn("len", F.length(value)).withColumn(
+        "rank", F.rank().over(Window.partitionBy(key).orderBy(F.desc("len")))
     )
-    return hot_best.unionByName(by_window(rest))
+    return ranked.filter(F.col("rank") == 1).select(*df.columns).dropDuplicates()
+
+
+def longest_of_few(df: DataFrame, key: str, value: str) -> DataFrame:
+    """:func:`longest_per_key` of at most a thousand keys, whatever their number of rows."""
+    longest = F.broadcast(df.groupBy(key).agg(F.max(F.length(value)).alias("longest")))
+    best = df.join(longest, key).filter(F.length(value) == F.col("longest"))
+    return best.select(*df.columns).dropDuplicates()
 
 
 def single_value(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -134,3 +130,46 @@ def prefer_on_conflict(df: DataFrame, key: str, value: str, preferred: str) -> D
 def drop_pairs(df: DataFrame, pairs: DataFrame) -> DataFrame:
     """Rows whose (sub, obj) is not listed."""
     return existence_join(df, pairs, ["sub", "obj"], "left_anti")
+
+
+# Digits of the hash that one step of a cut looks at: 65,536 cells.
+CUT_DIGITS = 4
+# Rows that are sorted at the end of a cut.
+CUT_ROWS = 10_000
+
+
+def smallest_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The ``n`` rows whose ``key`` has the smallest MD5; keys are distinct and not null. All rows if there are fewer.
+
+    Rows are counted by the first digits of their hash, partially aggregated, until the cell is
+    found in which the n-th row lies; within it, by the next digits, until few rows are left to
+    be sorted. ``df`` is scanned once a step, so it should be stored.
+    """
+    if n <= 0:
+        return df.limit(0)
+    digest, inside, taken = F.md5(F.col(key).cast("string")), "", 0
+
+    def cell(digits: int) -> Column:
+        return F.substring(digest, 1, digits)
+
+    while True:
+        digits = len(inside) + CUT_DIGITS
+        within = df.filter(F.startswith(digest, F.lit(inside)))
+        until = F.sum("n").over(Window.orderBy("cell"))
+        row = (
+            within.groupBy(cell(digits).alias("cell"))  # at most 65,536 rows, whatever the input
+            .agg(F.count("*").alias("n"))
+            .withColumn("until", until)
+            .filter(F.col("until") >= n - taken)
+            .orderBy("cell")
+            .first()
+        )
+        if row is None:
+            return df
+        taken, inside = taken + row["until"] - row["n"], row["cell"]
+        if row["n"] <= CUT_ROWS or digits >= 32:
+            break
+    last = df.filter(cell(digits) == inside).orderBy(digest, key).limit(n - taken).select(key)
+    bound = last.agg(F.max(F.struct(digest.alias("digest"), F.col(key).alias("key"))).alias("bound")).first()["bound"]
+    at_most = (digest < bound["digest"]) | ((digest == bound["digest"]) & (F.col(key) <= F.lit(bound["key"])))
+    return df.filter(at_most)

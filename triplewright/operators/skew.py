@@ -1,19 +1,23 @@
 """Joins and per-key windows that stay balanced when one key holds a large share of the rows.
 
 Hot keys are found with one frequent-items sketch per frame (partial aggregation, no shuffle
-of keys). The sketch only decides how the work is split, never what comes out: the hot list is
-collected once and used for both sides, so an estimate that is off costs balance, not rows.
-At most ``1 / HOT_SHARE`` keys can hold ``HOT_SHARE`` of the rows each, which bounds the list.
+of keys), or with sketches that were stored with the rows. The sketch only decides how the work
+is split, never what comes out: the hot list is collected once and used for both sides, so an
+estimate that is off costs balance, not rows. At most ``1 / HOT_SHARE`` keys can hold
+``HOT_SHARE`` of the rows each, which bounds the list.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from triplewright.operators.bloom import bloom_filter, n_blocks, split_by_filter
+
 # A key is hot from this share of its frame on ...
 HOT_SHARE = 1 / 1000
 # ... provided it has this many rows; below, one task copes easily.
@@ -30,44 +34,94 @@ def _columns(on: str | list[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def _key_hash(on: list[str]) -> Column:
+def key_hash(*on: str | Column) -> Column:
     return F.xxhash64(*on)
 
 
-def hot_keys(frames: list[DataFrame], on: str | list[str]) -> list[dict[int, int]]:
-    """For each frame: hash of every hot key -> number of slices its rows deserve. One job."""
-    on = _columns(on)
-    tagged = [df.select(F.lit(i).alias("frame"), _key_hash(on).alias("h")) for i, df in enumerate(frames)]
-    sketches = (
-        reduce(DataFrame.union, tagged)
-        .groupBy("frame", F.pmod(F.spark_partition_id(), F.lit(SKETCH_MERGERS)).alias("merger"))
-        .agg(F.expr(f"approx_top_k_accumulate(h, {SKETCH_ITEMS})").alias("sketch"), F.count("*").alias("n"))
-        .groupBy("frame")
-        .agg(F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"), F.sum("n").alias("n"))
-        .select("frame", "n", F.expr(f"approx_top_k_estimate(sketch, {math.ceil(1 / HOT_SHARE)})").alias("top"))
-        .collect()
+@dataclass(frozen=True)
+class KeySketch:
+    """Stored sketches (n, sketch) of the keys of some rows, as made by :func:`sketch_keys`.
+
+    ``whole`` is false where only a part of the sketched rows is used: shares are then
+    unknown, and every key that is large in itself counts as hot.
+    """
+
+    states: DataFrame
+    whole: bool = True
+
+
+def sketch_keys(hashed: DataFrame, by: list[str]) -> DataFrame:
+    """(*by, n, bytes, sketch): mergeable sketches of the hashes ``h`` in each group, and sums of ``bytes``.
+
+    Two steps, so that no task merges the states of all input tasks.
+    """
+    return (
+        hashed.groupBy(*by, F.pmod(F.spark_partition_id(), F.lit(SKETCH_MERGERS)).alias("merger"))
+        .agg(
+            F.expr(f"approx_top_k_accumulate(h, {SKETCH_ITEMS})").alias("sketch"),
+            F.count("h").alias("n"),
+            F.sum("bytes").alias("bytes"),
+        )
+        .groupBy(*by)
+        .agg(
+            F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"),
+            F.sum("n").alias("n"),
+            F.sum("bytes").alias("bytes"),
+        )
     )
+
+
+def hot_keys(frames: list[DataFrame | KeySketch], on: str | list[str]) -> list[dict[int, int]]:
+    """For each frame: hash of every hot key -> number of slices its rows deserve. One job.
+
+    Frames are scanned for the columns ``on``; of stored sketches only the sketches are read.
+    """
+    on = _columns(on)
+    scanned = [
+        df.select(F.lit(i).alias("frame"), key_hash(*on).alias("h"), F.lit(0).cast("long").alias("bytes"))
+        for i, df in enumerate(frames)
+        if isinstance(df, DataFrame)
+    ]
+    states = [
+        df.states.select(F.lit(i).alias("frame"), "sketch", "n") for i, df in enumerate(frames) if isinstance(df, KeySketch)
+    ]
+    if scanned:
+        states.append(sketch_keys(reduce(DataFrame.union, scanned), ["frame"]).select("frame", "sketch", "n"))
+    combined = reduce(DataFrame.union, states)
+    if len(scanned) < len(frames):  # the stored ones may have several states
+        combine = F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch")
+        combined = combined.groupBy("frame").agg(combine, F.sum("n").alias("n"))
+    sketches = combined.select(
+        "frame", "n", F.expr(f"approx_top_k_estimate(sketch, {math.ceil(1 / HOT_SHARE)})").alias("top")
+    ).collect()
     found: list[dict[int, int]] = [{} for _ in frames]
     for row in sketches:
-        floor = max(row["n"] * HOT_SHARE, HOT_MIN_ROWS)
+        frame = frames[row["frame"]]
+        whole = not isinstance(frame, KeySketch) or frame.whole
+        floor = max(row["n"] * HOT_SHARE, HOT_MIN_ROWS) if whole else HOT_MIN_ROWS
         found[row["frame"]] = {
             item["item"]: math.ceil(item["count"] / floor)
             for item in row["top"]
-            if item["count"] >= floor
+            if item["item"] is not None and item["count"] >= floor
         }
     return found
 
 
+def measure(df: DataFrame) -> tuple[int, int]:
+    """Bytes of all values, with a share for each row's overhead, and rows. One aggregate job."""
+    widths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns]
+    row = df.agg(F.sum(reduce(Column.__add__, widths).cast("long")).alias("bytes"), F.count(F.lit(1)).alias("n")).first()
+    return row["bytes"] or 0, row["n"]
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether all values of ``df`` together stay below the broadcast limit. One aggregate job."""
-    widths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns]
-    total = df.agg(F.sum(reduce(Column.__add__, widths).cast("long")).alias("bytes")).first()["bytes"]
-    return (total or 0) <= BROADCAST_MAX_BYTES
+    return measure(df)[0] <= BROADCAST_MAX_BYTES
 
 
 def split_hot(df: DataFrame, on: str | list[str], hot: dict[int, int]) -> tuple[DataFrame, DataFrame]:
     """Rows of hot keys, and all other rows."""
-    is_hot = _key_hash(_columns(on)).isin(list(hot))
+    is_hot = key_hash(*_columns(on)).isin(list(hot))
     return df.filter(is_hot), df.filter(~is_hot)
 
 
@@ -75,14 +129,16 @@ def skew_join(
     left: DataFrame,
     right: DataFrame,
     on: str | list[str],
-    left_probe: DataFrame | None = None,
-    right_probe: DataFrame | None = None,
+    left_probe: DataFrame | KeySketch | None = None,
+    right_probe: DataFrame | KeySketch | None = None,
+    copies: bool = False,
 ) -> DataFrame:
     """Inner equi-join. Rows of a hot key are cut into slices, the other side's rows of that key
     are repeated once per slice; with both sides hot, every pair still meets exactly once.
 
-    Slices are chosen by a hash of the row, so both inputs should be free of duplicate rows.
-    A probe is a cheaper frame in which to look for hot keys, e.g. the scan below a ``distinct``.
+    Slices are chosen by a hash of the row, so both inputs should be free of duplicate rows; ``copies``
+    says that the left one is not, and tells equal rows apart by their partitions.
+    A probe is a cheaper place to look for hot keys: the scan below a ``distinct``, or stored sketches.
     Without hot keys this is a plain join, left to adaptive execution.
     """
     on = _columns(on)
@@ -99,9 +155,10 @@ def skew_join(
     )
 
     def sliced(df: DataFrame, own: str, other: str) -> DataFrame:
-        row_hash, one = F.xxhash64(*df.columns), F.lit(1).cast("long")
+        apart = [F.spark_partition_id()] if copies and own == "left" else []
+        row_hash, one = F.xxhash64(*df.columns, *apart), F.lit(1).cast("long")
         return (
-            df.withColumn("key_hash", _key_hash(on))
+            df.withColumn("key_hash", key_hash(*on))
             .join(slices, "key_hash", "left")
             .withColumn(f"slice_{own}", F.pmod(row_hash, F.coalesce(f"n_{own}", one)))
             .withColumn(f"slice_{other}", F.explode(F.sequence(one - 1, F.coalesce(f"n_{other}", one) - 1)))
@@ -127,19 +184,39 @@ def absent(left: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
     return flagged.filter(F.col("known").isNull()).drop("known")
 
 
-def existence_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str) -> DataFrame:
+def existence_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: str | list[str],
+    how: str,
+    left_probe: DataFrame | KeySketch | None = None,
+    balanced: bool = False,
+    limit: int | None = None,
+) -> DataFrame:
     """``left_semi`` or ``left_anti`` join against the keys of ``right``; the columns of ``left`` in their order.
 
-    A key list of checked size is broadcast. Beyond it, rows of hot keys meet the few
-    hot keys of ``right`` in a broadcast, so only the rest is shuffled.
+    A key list of checked size is broadcast. Beyond ``limit`` bytes, a Bloom filter of fixed size is broadcast
+    first, so that only rows which may be listed are shuffled. Of these, rows of hot keys meet
+    the few hot keys of ``right`` in a broadcast, too. ``left_probe`` is where to look for them;
+    ``balanced`` says that there are none.
     """
     on = _columns(on)
     keys = right.select(*on)
-    if fits_broadcast(keys):
+    size, n_keys = measure(keys)
+    if size <= (BROADCAST_MAX_BYTES if limit is None else limit):
         return left.join(F.broadcast(keys), on, how).select(*left.columns)
-    keys = keys.distinct()
+    keys, blocks = keys.distinct(), n_blocks(n_keys)
+    (hot,) = [{}] if balanced else hot_keys([left if left_probe is None else left_probe], on)
+    if blocks is None:
+        return _shuffled_existence(left, keys, on, how, hot)
+    possible, unlisted = split_by_filter(left, on, bloom_filter(keys, on, blocks), blocks)
+    listed = _shuffled_existence(possible, keys, on, how, hot)
+    return listed if how == "left_semi" else listed.unionByName(unlisted)
+
+
+def _shuffled_existence(left: DataFrame, keys: DataFrame, on: list[str], how: str, hot: dict[int, int]) -> DataFrame:
+    """The join by a shuffle of both sides, but for rows of hot keys; ``keys`` is distinct."""
     shuffled = {"left_semi": present, "left_anti": absent}[how]
-    (hot,) = hot_keys([left], on)
     if not hot:
         return shuffled(left, keys, on).select(*left.columns)
     hot_rows, rest = split_hot(left, on, hot)
@@ -148,13 +225,22 @@ def existence_join(left: DataFrame, right: DataFrame, on: str | list[str], how:
     return both.select(*left.columns)
 
 
-def lookup_join(facts: DataFrame, lookup: DataFrame, on: str | list[str], distinct: bool = False) -> DataFrame:
+def lookup_join(
+    facts: DataFrame,
+    lookup: DataFrame,
+    on: str | list[str],
+    distinct: bool = False,
+    probe: DataFrame | KeySketch | None = None,
+    copies: bool = False,
+) -> DataFrame:
     """Inner join with a lookup table: broadcast when its checked size allows, else :func:`skew_join`.
 
     Columns in both cases: the key, then the other columns of either side. ``distinct`` says
     that copies of a fact don't matter; they are then removed before a shuffle, in which
-    they would stay in one slice.
+    they would stay in one slice; ``copies`` that they matter and must be spread, too. ``probe`` is
+    where to look for hot keys of the facts.
     """
     if fits_broadcast(lookup):
         return facts.join(F.broadcast(lookup), on)
-    return skew_join(facts.dropDuplicates() if distinct else facts, lookup, on, left_probe=facts)
+    left_probe = facts if probe is None else probe
+    return skew_join(facts.dropDuplicates() if distinct else facts, lookup, on, left_probe=left_probe, copies=copies)

@@ -1,11 +1,16 @@
 """Attribute tables of companies, all (sub, pred, obj[, origin]).
 
-``organization``, ``quote``, ``industry`` and ``person`` are triple frames, mappings are
-lookup frames as read by :mod:`triplewright.sources.mappings`.
+``organization``, ``quote``, ``industry`` and ``person`` are triples: frames, or stored ones whose
+key sketches spare the search for hot keys. Mappings are lookup frames as read by
+:mod:`triplewright.sources.mappings`.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,14 +22,17 @@ from triplewright.functions.text import (
     literal_value,
     url_host,
 )
-from triplewright.operators.facts import as_facts, facts, in_steps, links, literals, with_object
+from triplewright.operators.facts import as_facts, by_subject, facts, in_steps, links, literals, with_object
 from triplewright.operators.resolve import (
     conflicting_values,
+    longest_by_window,
+    longest_of_few,
     longest_per_key,
     prefer_on_conflict,
     single_value,
 )
-from triplewright.operators.skew import absent, existence_join, lookup_join, skew_join
+from triplewright.operators.skew import KeySketch, existence_join, lookup_join, skew_join
+from triplewright.operators.stored import Triples, probe
 from triplewright.session import materialize
 
 # Predicate names of the dumps.
@@ -40,11 +48,15 @@ SECTORS = ["hasPrimaryIndustryGroup", "hasPrimaryBusinessSector", "hasPrimaryEco
 POSITIONS = ["isTenureIn", "isPositionIn"]
 HOLDER = "hasHolder"
 
+# Predicates of the country table.
+COUNTRY = "hasCountry"
+COUNTRY_FROM_ADDRESS = "isDomiciledInFromAddress"
+
 # Fixed value: the industry that wins when a company has several.
 PREFERRED_INDUSTRY = "Real Estate"
 
 
-def company_exchange(organization: DataFrame, quote: DataFrame, exchange_map: DataFrame) -> DataFrame:
+def company_exchange(organization: Triples, quote: Triples, exchange_map: DataFrame) -> DataFrame:
     """``code$ticker`` of each company's primary quotes.
 
     Code and ticker lists are made distinct before they meet, which makes their join
@@ -54,11 +66,20 @@ def company_exchange(organization: DataFrame, quote: DataFrame, exchange_map: Da
     company = links(organization, [PRIMARY_QUOTE], target="q")
     ticker = literals(quote, TICKER, key="q", value="ticker")
     raw_code = literals(quote, EXCHANGE_CODE, key="q", value="origin")
-    code = lookup_join(raw_code, exchange_map, "origin", distinct=True).select("q", F.col("new").alias("ex_code"))
+    code = lookup_join(raw_code, exchange_map, "origin", distinct=True, probe=probe(quote, [EXCHANGE_CODE], "value", "origin"))
     listing = skew_join(
-        code.dropDuplicates(), ticker.dropDuplicates(), "q", left_probe=raw_code, right_probe=ticker
+        code.select("q", F.col("new").alias("ex_code")).dropDuplicates(),
+        ticker.dropDuplicates(),
+        "q",
+        left_probe=probe(quote, [EXCHANGE_CODE], "sub", "q"),
+        right_probe=probe(quote, [TICKER], "sub", "q"),
+    )
+    listed = skew_join(
+        company.dropDuplicates(),
+        materialize(listing, "listings"),
+        "q",
+        left_probe=probe(organization, [PRIMARY_QUOTE], "id", "q"),
     )
-    listed = skew_join(company.dropDuplicates(), materialize(listing, "listings"), "q", left_probe=company)
     return as_facts(listed.select("sub", F.concat_ws("$", "ex_code", "ticker").alias("obj")), "hasExchange")
 
 
@@ -66,12 +87,18 @@ def _with_clean_name(names: DataFrame) -> DataFrame:
     return as_facts(in_steps(names.withColumn("obj", F.col("origin")), "obj", *NAME_STEPS), NAME, "origin")
 
 
-def company_name(organization: DataFrame) -> DataFrame:
+def _raw_names(rows: DataFrame) -> DataFrame:
+    return rows.select("sub", literal_value(F.col("obj")).alias("origin"))
+
+
+def company_name(organization: Triples) -> DataFrame:
     """Companies with exactly one raw name: raw form (origin) and cleaned form (obj)."""
-    return _with_clean_name(single_value(literals(organization, NAME, value="origin"), "sub", "origin"))
+    parts = by_subject(organization, NAME) or (facts(organization, NAME), None)
+    single = [single_value(_raw_names(rows), "sub", "origin") for rows in parts if rows is not None]
+    return _with_clean_name(reduce(DataFrame.unionByName, single))
 
 
-def company_name_conflict(organization: DataFrame, unique: DataFrame | None = None) -> DataFrame:
+def company_name_conflict(organization: Triples, unique: DataFrame | None = None) -> DataFrame:
     """All names of companies with several raw names, even if their cleaned forms agree.
 
     ``unique`` is the table of :func:`company_name`, if it has been saved already.
@@ -80,30 +107,43 @@ def company_name_conflict(organization: DataFrame, unique: DataFrame | None = No
     return _with_clean_name(conflicting_values(names, "sub", "origin", unique))
 
 
-def company_address(organization: DataFrame) -> DataFrame:
+def _longest(organization: Triples, pred: str, clean: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Longest cleaned value per company, ties kept."""
+    laid_out = by_subject(organization, pred)
+    if laid_out is None:
+        sought = probe(organization, [pred], "sub")
+        return as_facts(longest_per_key(clean(facts(organization, pred)), "sub", "obj", sought), pred)
+    rows, hot = laid_out
+    longest = longest_by_window(clean(rows), "sub", "obj")
+    if hot is not None:
+        longest = longest.unionByName(longest_of_few(clean(hot), "sub", "obj"))
+    return as_facts(longest, pred)
+
+
+def company_address(organization: Triples) -> DataFrame:
     """Longest cleaned headquarters address per company, ties kept."""
-    address = with_object(literals(organization, ADDRESS), clean_address, collapse_ws)
-    return as_facts(longest_per_key(address, "sub", "obj"), ADDRESS)
+    return _longest(organization, ADDRESS, lambda rows: with_object(rows, literal_value, clean_address, collapse_ws))
 
 
-def company_url(organization: DataFrame, strict: bool = False) -> DataFrame:
+def company_url(organization: Triples, strict: bool = False) -> DataFrame:
     """Longest web host per company, ties kept."""
-    host = with_object(facts(organization, URL), lambda x: url_host(x, strict))
-    return as_facts(longest_per_key(host, "sub", "obj"), URL)
+    return _longest(organization, URL, lambda rows: with_object(rows, lambda x: url_host(x, strict)))
 
 
-def company_country(organization: DataFrame, country_map: DataFrame) -> DataFrame:
+def company_country(organization: Triples, country_map: DataFrame) -> DataFrame:
     """Mapped countries of domicile and incorporation; a company may have several."""
     region = facts(organization, DOMICILE, INCORPORATION).select("sub", F.col("obj").alias("g"))
-    country = lookup_join(region, country_map, "g", distinct=True).select("sub", F.col("new").alias("obj"), "origin")
-    return as_facts(country.dropDuplicates(), "hasCountry", "origin")
+    mapped = lookup_join(region, country_map, "g", distinct=True, probe=probe(organization, [DOMICILE, INCORPORATION], "value", "g"))
+    country = mapped.select("sub", F.col("new").alias("obj"), "origin")
+    return as_facts(country.dropDuplicates(), COUNTRY, "origin")
 
 
-def company_country_from_address(organization: DataFrame, country_map: DataFrame) -> DataFrame:
+def company_country_from_address(organization: Triples, country_map: DataFrame) -> DataFrame:
     """Countries read off the address of companies without domicile.
 
-    Mapping and deduplication come first and leave at most one row per company and
-    country, so the join with the domiciled companies has no hot key.
+    Mapping and deduplication come first and leave at most one row per company and country. The
+    domiciled companies are broadcast, or a Bloom filter of them that keeps most rows from
+    being shuffled.
     """
     named = literals(organization, ADDRESS).select("sub", address_country(F.col("obj")).alias("origin"))
     country = (
@@ -112,10 +152,10 @@ def company_country_from_address(organization: DataFrame, country_map: DataFrame
         .dropDuplicates()
     )
     domiciled = facts(organization, DOMICILE).select("sub").dropDuplicates()
-    return as_facts(absent(country, domiciled, "sub"), "isDomiciledInFromAddress", "origin")
+    return as_facts(existence_join(country, domiciled, "sub", "left_anti", balanced=True), COUNTRY_FROM_ADDRESS, "origin")
 
 
-def company_country_all(organization: DataFrame, country_map: DataFrame) -> DataFrame:
+def company_country_all(organization: Triples, country_map: DataFrame) -> DataFrame:
     """Registered countries and those read off addresses."""
     return company_country(organization, country_map).unionByName(
         company_country_from_address(organization, country_map)
@@ -123,23 +163,29 @@ def company_country_all(organization: DataFrame, country_map: DataFrame) -> Data
 
 
 def company_industry(
-    organization: DataFrame,
-    industry: DataFrame,
+    organization: Triples,
+    industry: Triples,
     industry_map: DataFrame,
     sectors: list[str] = SECTORS,
     preferred: str = PREFERRED_INDUSTRY,
 ) -> DataFrame:
     """One mapped industry per company: the only one, or the preferred one among several."""
-    labels = lookup_join(literals(industry, "label", key="ind", value="origin"), industry_map, "origin")
+    named = literals(industry, "label", key="ind", value="origin")
+    labels = lookup_join(named, industry_map, "origin", probe=probe(industry, ["label"], "value", "origin"))
     sector = links(organization, sectors, target="ind")
-    mapped = lookup_join(sector, labels.select("ind", "new"), "ind", distinct=True)
+    mapped = lookup_join(sector, labels.select("ind", "new"), "ind", distinct=True, probe=probe(organization, sectors, "id", "ind"))
     return as_facts(
         prefer_on_conflict(mapped.select("sub", F.col("new").alias("obj")), "sub", "obj", preferred), "hasIndustry"
     )
 
 
+def _part_of(whole: DataFrame | KeySketch, rows: DataFrame) -> DataFrame | KeySketch:
+    """Where to look for hot keys of some of the rows."""
+    return replace(whole, whole=False) if isinstance(whole, KeySketch) else rows
+
+
 def company_employee(
-    person: DataFrame, family_name: DataFrame, given_name: DataFrame, companies: DataFrame | None = None
+    person: Triples, family_name: DataFrame, given_name: DataFrame, companies: DataFrame | None = None
 ) -> DataFrame:
     """``family given`` names of the persons with a position or tenure in a company.
 
@@ -149,15 +195,18 @@ def company_employee(
     """
     holder = links(person, [HOLDER], key="h", target="p")
     position = links(person, POSITIONS, key="h", target="company")
+    by_holder, position_probe = probe(person, [HOLDER], "sub", "h"), probe(person, POSITIONS, "sub", "h")
     if companies is not None:
-        position = existence_join(position, companies.select(F.col("sub").alias("company")), "company", "left_semi")
+        own = companies.select(F.col("sub").alias("company"))
+        position = existence_join(position, own, "company", "left_semi", probe(person, POSITIONS, "id", "company"))
+        position_probe = _part_of(position_probe, position)
     pairs = skew_join(
-        position.dropDuplicates(), holder.dropDuplicates(), "h", left_probe=position, right_probe=holder
+        position.dropDuplicates(), holder.dropDuplicates(), "h", left_probe=position_probe, right_probe=by_holder
     ).select("company", "p")
     pairs = materialize(pairs.dropDuplicates(), "positions")
     family = family_name.select(F.col("sub").alias("p"), F.col("obj").alias("family"))
     given = given_name.select(F.col("sub").alias("p"), F.col("obj").alias("given"))
-    raw = [facts(person, pred).select(F.col("sub").alias("p")) for pred in ("family-name", "given-name")]
+    raw = [probe(person, [pred], "sub", "p") for pred in ("family-name", "given-name")]
     names = skew_join(family, given, "p", *raw).select("p", F.concat_ws(" ", "family", "given").alias("obj"))
     names = materialize(in_steps(names, "obj", collapse_ws), "names")
     employee = skew_join(pairs, names, "p")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from triplewright.operators.facts import as_facts, literals
 from triplewright.operators.resolve import drop_pairs
+from triplewright.operators.stored import Triples, rows_of
 
 # Wrong (person, name) pairs of the public dump, left out of the name tables.
 FAMILY_NAME_EXCLUSIONS = [
@@ -21,18 +22,18 @@ GIVEN_NAME_EXCLUSIONS = [
 ]
 
 
-def _names(person: DataFrame, pred: str, excluded: DataFrame | list[tuple[str, str]]) -> DataFrame:
+def _names(person: Triples, pred: str, excluded: DataFrame | list[tuple[str, str]]) -> DataFrame:
     names = as_facts(literals(person, pred).dropDuplicates(), pred)
     if isinstance(excluded, list):
-        excluded = person.sparkSession.createDataFrame(excluded, "sub string, obj string")
+        excluded = rows_of(person).sparkSession.createDataFrame(excluded, "sub string, obj string")
     return drop_pairs(names, excluded)
 
 
-def person_family_name(person: DataFrame, excluded: DataFrame | list = FAMILY_NAME_EXCLUSIONS) -> DataFrame:
+def person_family_name(person: Triples, excluded: DataFrame | list = FAMILY_NAME_EXCLUSIONS) -> DataFrame:
     """Distinct family names without the excluded (sub, obj) pairs: (sub, pred, obj)."""
     return _names(person, "family-name", excluded)
 
 
-def person_given_name(person: DataFrame, excluded: DataFrame | list = GIVEN_NAME_EXCLUSIONS) -> DataFrame:
+def person_given_name(person: Triples, excluded: DataFrame | list = GIVEN_NAME_EXCLUSIONS) -> DataFrame:
     """Distinct given names without the excluded (sub, obj) pairs: (sub, pred, obj)."""
     return _names(person, "given-name", excluded)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triplewright.functions.text import regex_group, triple_pattern, without_ends
-from triplewright.sources.triples import read_lines
+from triplewright.sources.triples import read_lines, read_predicate_counts
 
 
 def _count_predicates(lines: DataFrame, base: str, *by: str) -> DataFrame:
@@ -35,6 +35,18 @@ def predicate_stats_by_dump(spark: SparkSession, base: str, dumps: dict[str, str
     return _count_predicates(reduce(DataFrame.union, lines), base, "source")
 
 
+def stored_predicate_stats(spark: SparkSession, base: str, dumps: dict[str, str]) -> DataFrame:
+    """(source, pred, n) of several stored dumps (name -> path), from the counts made while they were stored for ``base``.
+
+    The same as :func:`predicate_stats_by_dump` over their text, without reading it again.
+    """
+    counts = [
+        read_predicate_counts(spark, path).filter(F.col("base") == base).select(F.lit(name).alias("source"), "pred", "n")
+        for name, path in dumps.items()
+    ]
+    return reduce(DataFrame.union, counts)
+
+
 def predicate_count(triples: DataFrame) -> DataFrame:
     """(pred, n): triples per predicate of a parsed frame."""
     return triples.groupBy("pred").agg(F.count("*").alias("n"))

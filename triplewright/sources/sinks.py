@@ -2,22 +2,88 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from triplewright.sources import versions
 
-def save_table(df: DataFrame, table: str, path: str | None = None) -> None:
-    """Replace a catalog table; with ``path`` its files go there instead of the warehouse."""
-    _writer(df, path).mode("overwrite").saveAsTable(table)
 
+def _default_root(spark: SparkSession, table: str) -> str:
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_versions/{table}"
 
-def append_table(df: DataFrame, table: str, path: str | None = None) -> None:
-    """Append to a catalog table; columns are matched by name."""
-    _writer(df, path).mode("append").saveAsTable(table)
 
+def _described(spark: SparkSession, table: str) -> tuple[list[tuple[str, str]], str] | None:
+    """Columns and kind of a catalog table; None if there is none."""
+    if not spark.catalog.tableExists(table):
+        return None
+    return [(c.name, c.dataType) for c in spark.catalog.listColumns(table)], spark.catalog.getTable(table).tableType
 
-def _writer(df: DataFrame, path: str | None):
-    return df.write.option("path", path) if path else df.write
+
+def save_table(df: DataFrame, table: str, path: str | None = None) -> None:
+    """Replace the content of a catalog table all at once; readers see the old rows until then.
+
+    The rows are written as a new version below ``path`` (or below the warehouse), published,
+    and the table is pointed there. A run that ends early leaves the table as it was. A table
+    whose columns change, or one stored in another way, is created anew.
+    """
+    spark, root = df.sparkSession, path or _default_root(df.sparkSession, table)
+    staged = versions.stage(root)
+    df.write.parquet(staged)
+    versions.publish(spark, root, staged)
+    wanted = [(name, kind) for name, kind in df.dtypes]
+    found = _described(spark, table)
+    if found == (wanted, "EXTERNAL"):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{staged}'")
+    else:
+        if found:
+            spark.sql(f"DROP TABLE {table}")
+        columns = ", ".join(f"`{name}` {kind}" for name, kind in wanted)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{staged}'")
+    spark.catalog.refreshTable(table)
+    versions.drop_old(spark, root)
+
+
+@contextmanager
+def _replacing_partitions(spark: SparkSession) -> Iterator[None]:
+    """Overwriting a table replaces only the partitions that the new rows have."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def append_table(df: DataFrame, table: str, path: str | None = None, run: str | None = None, column: str = "run") -> None:
+    """Add the rows of one run to a catalog table; columns are matched by name.
+
+    The table is partitioned by ``column``, which has the value ``run`` in all these rows. Repeating
+    a run replaces its rows, which may be none by now, and leaves all others alone. Without ``run``
+    each call is a run of its own.
+    """
+    spark, run = df.sparkSession, run or uuid.uuid4().hex
+    seen = Observation()
+    rows = df.withColumn(column, F.lit(run)).observe(seen, F.count(F.lit(1)).alias("n"))
+    if not spark.catalog.tableExists(table):
+        (rows.write.option("path", path) if path else rows.write).partitionBy(column).saveAsTable(table)
+        return
+    stored = spark.read.table(table).columns
+    if [c.name for c in spark.catalog.listColumns(table) if c.isPartition] != [column]:
+        raise ValueError(f"{table} is not partitioned by {column}, so a run could not be repeated")
+    if set(stored) != set(rows.columns):
+        raise ValueError(f"{table} has the columns {stored}, the rows have {rows.columns}")
+    with _replacing_partitions(spark):
+        rows.select(*stored).write.mode("overwrite").insertInto(table)
+    if seen.get["n"] == 0:
+        value = run.replace("\\", "\\\\").replace("'", "\\'")
+        names = [name for name in stored if name != column]
+        nothing = spark.createDataFrame([], df.select(*names).schema)
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (`{column}` = '{value}') SELECT * FROM {{nothing}}", nothing=nothing)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

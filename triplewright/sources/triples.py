@@ -1,12 +1,23 @@
-"""Reading triple dumps and stored triple tables."""
+"""Reading triple dumps, and storing them as versions that appear all at once.
+
+A version of a stored dump has
+
+    lines       (sub, obj[, counted]) by kind (triple or reject) and pred, written in one scan of the dump
+    keys        sketches of the keys of each predicate, see :mod:`triplewright.operators.stored`
+    predicates  (base, pred, n): triples per full predicate IRI, if bases were given
+    subjects    (sub, n, digest): an order-free digest of each subject's triples, see :mod:`triplewright.plans.changes`
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from triplewright.functions.text import local_name, path_end, triple_pattern
-from triplewright.session import remove_folder
+from triplewright.functions.text import local_name, path_end, regex_group, triple_pattern, without_ends
+from triplewright.operators.stored import StoredTriples, sketch_predicates
+from triplewright.sources import versions
 
 
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
@@ -24,10 +35,6 @@ def _has_predicate() -> Column:
     return F.contains(F.col("value"), F.lit(" "))
 
 
-# The partition that keeps unparsable lines while a dump is written.
-_REJECTED = "__rejected__"
-
-
 def _parsed() -> tuple[Column, Column, Column]:
     """Subject, predicate and object of a line."""
     tokens = F.split("value", " ", 3)
@@ -52,15 +59,83 @@ def rejected_lines(lines: DataFrame) -> DataFrame:
     return lines.filter(~_has_predicate())
 
 
-def _with_rejects(lines: DataFrame) -> DataFrame:
-    """Triples, and each rejected line as the object of a reserved predicate."""
+_LINES = "sub string, obj string, counted array<struct<base: string, iri: string>>, kind string, pred string"
+
+
+def _sorted_out(lines: DataFrame, bases: list[str]) -> DataFrame:
+    """Triples, and rejected lines as objects; with the predicate IRI that each line counts for under each base."""
     sub, pred, obj = _parsed()
-    parsed = _has_predicate()
-    return lines.select(
+    parsed, value = _has_predicate(), F.col("value")
+    columns = [
         F.when(parsed, sub).alias("sub"),
-        F.when(parsed, pred).otherwise(_REJECTED).alias("pred"),
-        F.when(parsed, obj).otherwise(F.col("value")).alias("obj"),
+        F.when(parsed, obj).otherwise(value).alias("obj"),
+        F.when(parsed, "triple").otherwise("reject").alias("kind"),
+        F.when(parsed, pred).alias("pred"),
+    ]
+    if not bases:
+        return lines.select(*columns)
+    iris = [
+        F.struct(F.lit(base).alias("base"), F.when(value.contains(f"<{base}"), regex_group(value, triple_pattern(base), 2)).alias("iri"))
+        for base in bases
+    ]
+    counted = F.filter(F.array(*iris), lambda x: F.coalesce(x["iri"], F.lit("")) != "")
+    return lines.select(*columns, counted.alias("counted"))
+
+
+def _stored_lines(spark: SparkSession, version: str) -> DataFrame:
+    return spark.read.schema(_LINES).parquet(f"{version}/lines")
+
+
+def _triples_of(lines: DataFrame) -> DataFrame:
+    """The empty predicate, which partition folders cannot name, is restored."""
+    return lines.select("sub", F.coalesce("pred", F.lit("")).alias("pred"), "obj")
+
+
+def _write_version(spark: SparkSession, path: str, version: str, bases: list[str]) -> dict[str, int]:
+    """Store one dump and what plans need to know of it; returns the counts of its lines."""
+    seen = Observation()
+    lines = read_lines(spark, path).observe(
+        seen,
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(~_has_predicate()).alias("rejected"),
     )
+    _sorted_out(lines, bases).hint("rebalance", "kind", "pred").write.partitionBy("kind", "pred").parquet(f"{version}/lines")
+    stored = _stored_lines(spark, version)
+    triples = _triples_of(stored.filter(F.col("kind") == "triple"))
+    sketch_predicates(triples).write.parquet(f"{version}/keys")
+    subject_digests(triples).write.parquet(f"{version}/subjects")
+    if bases:
+        counts = stored.select(F.inline("counted")).groupBy("base", "iri").agg(F.count("*").alias("n"))
+        counts.select("base", without_ends(F.col("iri")).alias("pred"), "n").write.parquet(f"{version}/predicates")
+    return seen.get
+
+
+def subject_digests(triples: DataFrame) -> DataFrame:
+    """(sub, n, digest): number of triples and the sum of their hashes, whatever their order."""
+    row = F.xxhash64("pred", "obj").cast("decimal(38,0)")
+    return triples.groupBy("sub").agg(F.count("*").alias("n"), F.sum(row).alias("digest"))
+
+
+def _register(spark: SparkSession, version: versions.Version, database: str, name: str) -> None:
+    """The version as a catalog table, and ``database.name`` as a view of its triples: replaced in one step."""
+    stored = f"{database}.{name}__{version.number}"
+    spark.sql(f"DROP TABLE IF EXISTS {stored}")
+    spark.sql(
+        f"CREATE TABLE {stored} (sub STRING, obj STRING, kind STRING, pred STRING) USING parquet "
+        f"PARTITIONED BY (kind, pred) LOCATION '{version.path}/lines'"
+    )
+    spark.sql(f"ALTER TABLE {stored} RECOVER PARTITIONS")
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {database}.{name} AS "
+        f"SELECT sub, coalesce(pred, '') AS pred, obj FROM {stored} WHERE kind = 'triple'"
+    )
+
+
+def _forget_tables(spark: SparkSession, database: str, name: str, kept: set[int]) -> None:
+    for row in spark.sql(f"SHOW TABLES IN {database} LIKE '{name.lower()}__*'").collect():
+        number = row["tableName"].rsplit("__", 1)[1]
+        if number.isdigit() and int(number) not in kept:
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{row['tableName']}")
 
 
 def ingest_triples(
@@ -69,42 +144,74 @@ def ingest_triples(
     target: str,
     rejects: str | None = None,
     database: str | None = None,
+    bases: Iterable[str] = (),
 ) -> dict[str, dict]:
-    """Store each dump (name -> path) as Parquet under ``target/name``, partitioned by predicate.
-
-    With ``database`` each dump also becomes the catalog table ``database.name`` over these files.
+    """Store each dump (name -> path) as the next version of ``target/name``, partitioned by predicate.
 
     Each dump is read once. The rebalance hint groups a predicate's rows into few files and
-    cuts a large predicate into many tasks. Unparsable lines are written as a partition of
-    their own, copied from there to ``rejects/name``, which is replaced by every run, and
-    removed. Returns the counts per dump; work repeated after a lost executor may be counted twice.
+    cuts a large predicate into many tasks. The version is published when it is complete:
+    a run that ends before that leaves the last version as it is, and can simply be repeated.
+    Unparsable lines are kept apart from all triples, whatever their predicates are called, and are
+    also written as text to ``rejects/name``. With ``database``, ``database.name`` becomes a view of
+    the version's triples. ``bases`` are IRI prefixes of subjects whose triples are counted by
+    predicate. Returns the counts per dump; work repeated after a lost executor may be counted twice.
     """
-    counts = {}
+    counts, bases = {}, list(bases)
     for name, path in dumps.items():
-        seen, folder = Observation(), f"{target}/{name}"
-        lines = read_lines(spark, path).observe(
-            seen,
-            F.count(F.lit(1)).alias("lines"),
-            F.count_if(~_has_predicate()).alias("rejected"),
-        )
-        writer = _with_rejects(lines).hint("rebalance", "pred").write.partitionBy("pred").mode("overwrite")
+        root = f"{target}/{name}"
+        staged = versions.stage(root)
+        counts[name] = _write_version(spark, path, staged, bases)
+        version = versions.publish(spark, root, staged)
         if database:
-            writer.option("path", folder).saveAsTable(f"{database}.{name}")
-        else:
-            writer.parquet(folder)
-        counts[name] = seen.get
+            _register(spark, version, database, name)
         if rejects:
-            bad = spark.read.schema("sub string, obj string, pred string").parquet(folder)
-            bad = bad.filter(F.col("pred") == _REJECTED).select(F.col("obj").alias("value"))
-            bad.write.mode("overwrite").text(f"{rejects}/{name}")
-        if counts[name]["rejected"]:
-            if database:
-                spark.sql(f"ALTER TABLE {database}.{name} DROP IF EXISTS PARTITION (pred = '{_REJECTED}')")
-            remove_folder(spark, f"{folder}/pred={_REJECTED}")
+            read_rejects(spark, root).write.mode("overwrite").text(f"{rejects}/{name}")
+        versions.drop_old(spark, root)
+        if database:
+            _forget_tables(spark, database, name, {v.number for v in versions.published(spark, root)})
     return counts
 
 
+def _in_force(spark: SparkSession, path: str) -> str:
+    version = versions.current(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"nothing has been published in {path}")
+    return version.path
+
+
 def read_triples(spark: SparkSession, path: str) -> DataFrame:
-    """A stored triple table. The empty predicate, which partition folders cannot name, is restored."""
-    stored = spark.read.schema("sub string, obj string, pred string").parquet(path)
-    return stored.select("sub", F.coalesce("pred", F.lit("")).alias("pred"), "obj")
+    """The triples of a stored dump in its version in force; or of a plain folder, partitioned by predicate."""
+    if not versions.is_versioned(spark, path):
+        return _triples_of(spark.read.schema("sub string, obj string, pred string").parquet(path))
+    return triples_of_version(spark, _in_force(spark, path))
+
+
+def triples_of_version(spark: SparkSession, version: str) -> DataFrame:
+    """The triples of one version."""
+    if not versions.exists(spark, f"{version}/lines/kind=triple"):
+        return spark.createDataFrame([], "sub string, pred string, obj string")
+    return _triples_of(spark.read.schema("sub string, obj string, pred string").parquet(f"{version}/lines/kind=triple"))
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The unparsable lines of a stored dump: ``value``."""
+    lines = _stored_lines(spark, _in_force(spark, path))
+    return lines.filter(F.col("kind") == "reject").select(F.col("obj").alias("value"))
+
+
+def read_predicate_counts(spark: SparkSession, path: str) -> DataFrame:
+    """(base, pred, n) of a stored dump, for the bases that were given when it was stored."""
+    version = _in_force(spark, path)
+    if not versions.exists(spark, f"{version}/predicates"):
+        raise FileNotFoundError(f"{path} was stored without bases to count for")
+    return spark.read.schema("base string, pred string, n long").parquet(f"{version}/predicates")
+
+
+def open_triples(spark: SparkSession, path: str) -> StoredTriples:
+    """The triples of a stored dump with the sketches of their keys."""
+    return open_version(spark, _in_force(spark, path))
+
+
+def open_version(spark: SparkSession, version: str) -> StoredTriples:
+    """The same for one version."""
+    return StoredTriples(triples_of_version(spark, version), spark.read.parquet(f"{version}/keys"))

@@ -160,6 +160,7 @@ _SELECTS = {
     "scan_parquet": "SELECT * FROM customer",
     "scan_nt_regex": "SELECT line AS value FROM listed_lines WHERE line LIKE '<https://kg.example/1-%'",
     "ingest_triples": "SELECT sub, pred, obj FROM kg_triples",
+    "ingest_new_version": "SELECT sub, pred, obj FROM kg_organization",
     # Sinks
     "sink_table_overwrite": "SELECT sub, pred, obj FROM company_url",
     "sink_table_append": "SELECT sub, pred, obj, origin FROM company_country_all",
@@ -209,6 +210,10 @@ _SELECTS = {
     "ON c.sub=h.sub",
     "join_anti": "SELECT sub, obj FROM kg_organization a WHERE pred='HeadquartersAddress' AND NOT EXISTS "
     "(SELECT 1 FROM kg_organization d WHERE d.pred='isDomiciledIn' AND d.sub=a.sub)",
+    "join_anti_filtered": "SELECT sub, obj FROM kg_organization WHERE pred='HeadquartersAddress' "
+    "AND sub NOT IN (SELECT sub FROM kg_organization WHERE pred='isDomiciledIn')",
+    "join_semi_filtered": f"SELECT sub, {_id('obj')} AS obj FROM kg_person WHERE pred IN ('isTenureIn','isPositionIn') "
+    f"AND {_id('obj')} IN (SELECT sub FROM kg_organization WHERE pred='hasURL')",
     # Aggregation and distinct
     "count_by_key": "SELECT sub, count(*) AS n FROM kg_organization GROUP BY sub",
     "count_distinct_values": "SELECT sub, count(*) AS n FROM (SELECT DISTINCT sub, obj FROM kg_organization) GROUP BY sub",
@@ -241,12 +246,25 @@ _SELECTS = {
     "predicate_stats_by_dump": "SELECT source, 'http://kg.example/ontology/ns#'||pred AS pred, count(*) AS n FROM ("
     "SELECT 'organization' AS source, pred FROM kg_organization UNION ALL SELECT 'quote', pred FROM kg_quote "
     "UNION ALL SELECT 'person', pred FROM kg_person) GROUP BY ALL",
+    "stored_predicate_stats": "SELECT dump AS source, 'http://kg.example/ontology/ns#'||pred AS pred, n FROM ("
+    "SELECT 'person' AS dump, pred, count(*) AS n FROM kg_person GROUP BY pred UNION ALL "
+    "SELECT 'quote', pred, count(*) FROM kg_quote GROUP BY pred UNION ALL "
+    "SELECT 'organization', pred, count(*) FROM kg_organization GROUP BY pred)",
+    **{f"{name}_by_subject": f"SELECT * FROM {name}" for name in ("company_name", "company_address", "company_url")},
     "employee_steps": "SELECT c_custkey AS id, c_mktsegment||' '||c_name AS name, "
     "CAST(c_nationkey AS BIGINT)*21 AS steps_to_desk FROM customer",
     "listed_company_graph": "SELECT * FROM (SELECT * FROM attributes UNION ALL SELECT sub, pred, obj "
     "FROM company_country_all) WHERE sub IN (SELECT sub FROM company_exchange)",
     "listed_company_graph_by_country": "SELECT * FROM attributes WHERE sub IN (SELECT sub FROM company_exchange) "
     f"AND sub IN ({_ALL_COUNTRIES})",
+    "listed_company_graph_by_size": "SELECT sub, pred, obj FROM (SELECT * FROM attributes UNION ALL "
+    "SELECT sub, pred, obj FROM company_country_all) WHERE sub IN (SELECT sub FROM company_exchange "
+    "GROUP BY sub ORDER BY md5(sub), sub LIMIT 40)",
+    "listed_company_graph_stored": "SELECT sub, pred, obj FROM (SELECT * FROM attributes UNION ALL "
+    "SELECT sub, pred, obj FROM company_country_all) WHERE sub IN (SELECT sub FROM company_exchange)",
+    "changed_subjects": "SELECT DISTINCT sub FROM (SELECT sub, pred, CAST(substr(sub,3) AS BIGINT) AS n FROM kg_organization) "
+    "WHERE n%6=0 OR (n%7=0 AND pred='isDomiciledIn') OR (n%10=3 AND pred='HeadquartersAddress')",
+    "company_address_changes": "SELECT sub, pred, obj FROM company_address",
 }
 
 ORACLE = {name: f"WITH {_INPUTS},{_DERIVED}\n{select}" for name, select in _SELECTS.items()}

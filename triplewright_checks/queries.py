@@ -13,15 +13,18 @@ from triplewright.functions import text
 from triplewright.operators import resolve
 from triplewright.operators.facts import as_facts, facts, links, literals, with_object
 from triplewright.operators.skew import existence_join, lookup_join, skew_join
-from triplewright.plans import company, etl, extract, person, stats
+from triplewright.operators.stored import StoredTriples
+from triplewright.plans import changes, company, etl, extract, person, stats
 from triplewright.session import scratch_path
-from triplewright.sources import mappings, sinks, triples
+from triplewright.sources import mappings, sinks, triples, versions
+from triplewright.sources.clustered import cluster_by_subject
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 STEPS_PER_FLOOR = 21
 LISTED_COUNTRIES = ["AMERICA", "EUROPE"]
+LISTED_COMPANIES = 40
 
 
 def query(function: Callable[[Fixtures], DataFrame]) -> Callable[[Fixtures], DataFrame]:
@@ -110,6 +113,27 @@ def ingest_triples(fx):
     return extract.graph(*stored)
 
 
+@query
+def ingest_new_version(fx):
+    """A dump is stored in part, then as a whole: the newer version is read, rejected lines and older rows are not."""
+    root, spark = scratch_path(fx.spark, "triples"), fx.spark
+    whole = triples.read_lines(spark, fx.write_lines(fx.organization()))
+    odd = whole.select(F.when(F.contains("value", F.lit("isDomiciledIn")), F.replace("value", F.lit(" "), F.lit("_"))).otherwise(F.col("value")).alias("value"))
+    for lines in (odd, whole):
+        path = scratch_path(spark, "dump")
+        lines.write.text(path)
+        triples.ingest_triples(spark, {"organization": path}, root)
+    return triples.read_triples(spark, f"{root}/organization")
+
+
+def _stored(fx: Fixtures, *names: str) -> dict[str, StoredTriples]:
+    """Some dumps, ingested and opened with the sketches of their keys."""
+    target = scratch_path(fx.spark, "triples")
+    dumps = {name: fx.write_lines(getattr(fx, name)(), name) for name in names}
+    triples.ingest_triples(fx.spark, dumps, target)
+    return {name: triples.open_triples(fx.spark, f"{target}/{name}") for name in names}
+
+
 # Sinks
 
 
@@ -128,12 +152,14 @@ def sink_table_overwrite(fx):
 
 @query
 def sink_table_append(fx):
+    """Every run is done twice: what it wrote before is replaced."""
     table = _table("country")
     path = scratch_path(fx.spark, table)
-    sinks.save_table(company.company_country(fx.organization(), fx.geo_map()), table, path)
     added = company.company_country_from_address(fx.organization(), fx.geo_map())
-    sinks.append_table(added.select("origin", "obj", "pred", "sub"), table, path)
-    return fx.spark.read.table(table)
+    for _ in range(2):
+        sinks.append_table(company.company_country(fx.organization(), fx.geo_map()), table, path, "registered")
+        sinks.append_table(added.select("origin", "obj", "pred", "sub"), table, path, "from address")
+    return fx.spark.read.table(table).drop("run")
 
 
 @query
@@ -336,6 +362,21 @@ def join_anti(fx):
     return existence_join(address, facts(organization, company.DOMICILE), "sub", "left_anti")
 
 
+@query
+def join_anti_filtered(fx):
+    """The same as for a long list: a Bloom filter, and a shuffle of what passes it."""
+    organization = fx.organization()
+    address = facts(organization, company.ADDRESS).select("sub", "obj")
+    return existence_join(address, facts(organization, company.DOMICILE), "sub", "left_anti", limit=0)
+
+
+@query
+def join_semi_filtered(fx):
+    position = links(fx.person(), company.POSITIONS)
+    urls = facts(fx.organization(), company.URL).select(F.col("sub").alias("obj"))
+    return existence_join(position, urls, "obj", "left_semi", limit=0)
+
+
 # Aggregation and distinct
 
 
@@ -460,6 +501,40 @@ def predicate_stats_by_dump(fx):
     return stats.predicate_stats_by_dump(fx.spark, BASE, paths)
 
 
+@query
+def stored_predicate_stats(fx):
+    """Counts made while the dumps are stored, for two nested bases."""
+    target = scratch_path(fx.spark, "triples")
+    dumps = {"organization": fx.organization(), "quote": fx.quote(), "person": fx.person()}
+    paths = {name: fx.write_lines(df, name) for name, df in dumps.items()}
+    triples.ingest_triples(fx.spark, paths, target, bases=[BASE, BASE + "1-"])
+    return stats.stored_predicate_stats(fx.spark, BASE, {name: f"{target}/{name}" for name in dumps})
+
+
+def _laid_out(fx: Fixtures, pred: str) -> StoredTriples:
+    """Organizations, ingested, with one predicate laid out by subject."""
+    target = scratch_path(fx.spark, "triples")
+    triples.ingest_triples(fx.spark, {"organization": fx.write_lines(fx.organization())}, target)
+    root, database = f"{target}/organization", _table("by_subject")
+    fx.spark.sql(f"CREATE DATABASE {database}")
+    return cluster_by_subject(fx.spark, triples.open_triples(fx.spark, root), [pred], database, root)
+
+
+@query
+def company_name_by_subject(fx):
+    return company.company_name(_laid_out(fx, company.NAME))
+
+
+@query
+def company_address_by_subject(fx):
+    return company.company_address(_laid_out(fx, company.ADDRESS))
+
+
+@query
+def company_url_by_subject(fx):
+    return company.company_url(_laid_out(fx, company.URL))
+
+
 @query
 def employee_steps(fx):
     return etl.employee_steps(fx.employees(), STEPS_PER_FLOOR)
@@ -486,3 +561,52 @@ def listed_company_graph(fx):
 @query
 def listed_company_graph_by_country(fx):
     return _listed_graph(fx, countries=LISTED_COUNTRIES, with_country=False)
+
+
+@query
+def listed_company_graph_by_size(fx):
+    return _listed_graph(fx, n_companies=LISTED_COMPANIES)
+
+
+@query
+def listed_company_graph_stored(fx):
+    """Over stored triples, whose sketches tell the hot keys."""
+    stored = _stored(fx, "organization", "quote", "person")
+    names = [
+        person.person_family_name(stored["person"], fx.blocklist()),
+        person.person_given_name(stored["person"]),
+    ]
+    return extract.listed_company_graph(*stored.values(), *names, fx.exchange_map(), fx.geo_map())
+
+
+# Changes
+
+
+def _two_versions(fx: Fixtures) -> tuple[StoredTriples, StoredTriples, DataFrame]:
+    """Organizations as they were and as they are, and the subjects that differ."""
+    root, spark = scratch_path(fx.spark, "triples"), fx.spark
+    new = fx.organization()
+    number = F.substring("sub", F.lit(3), F.length("sub")).cast("long")
+    # Some companies are missing, some have a triple less, some have other objects.
+    old = new.filter((number % 6 != 0) & ((number % 7 != 0) | (F.col("pred") != company.DOMICILE))).withColumn(
+        "obj", F.when((number % 10 == 3) & (F.col("pred") == company.ADDRESS), F.lit('"elsewhere\\nNATION_3\\n"')).otherwise(F.col("obj"))
+    )
+    for version in (old, new):
+        triples.ingest_triples(spark, {"organization": fx.write_lines(version)}, root)
+    before, after = versions.published(spark, f"{root}/organization")
+    digests = [changes.subject_digests_of(spark, version.path) for version in (before, after)]
+    opened = [triples.open_version(spark, version.path) for version in (before, after)]
+    return *opened, changes.changed_subjects(*digests)
+
+
+@query
+def changed_subjects(fx):
+    return _two_versions(fx)[2]
+
+
+@query
+def company_address_changes(fx):
+    """Addresses of the older version, with those of changed companies derived again."""
+    old, new, changed = _two_versions(fx)
+    kept = existence_join(company.company_address(old), changed, "sub", "left_anti")
+    return kept.unionByName(company.company_address(extract.restrict(new, changed)))
