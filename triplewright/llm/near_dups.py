@@ -11,9 +11,9 @@ registers, and two sets agree in a register about as often as they agree in shin
 3. A pair's similarity is estimated by likelihood from the registers in which one set, the
    other, or neither is ahead, jointly with both set sizes. Pairs far below the threshold go.
 4. The others are confirmed on the full shingle sets; confirmed links form components.
-5. In turns, members of buckets that still hold several components meet other centres, each
-   only those most like it, until a turn brings no new link. A large group of near copies that
-   its first centres did not join comes together here, with as many pairs a turn as members.
+5. In ``TURNS`` turns, members of buckets that still hold several components meet other centres,
+   each only those most like it. A large group of near copies that its first centres did not
+   join comes together here for the most part, with as many pairs a turn as members.
 6. What is left apart is searched by rare shingles. Only pairs that share one, with enough
    shingles left after it, can be similar enough (see ``rare_shingles``), which keeps documents
    with a common passage apart, and most of their registers agree. Those outside the largest
@@ -65,8 +65,10 @@ FREQUENCY_BITS = 20
 MERGERS = 8
 # Parts of the members of one bucket centre.
 N_PARTS = 64
-# Centres that a member of a bucket with several components meets in a turn.
-CENTRES = 2
+# Centres that a member of a bucket with several components meets in a turn, and turns before
+# rare shingles are searched.
+CENTRES = 3
+TURNS = 2
 
 _U = np.uint64
 _SLOPES = mix(np.arange(1, N_REGISTERS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
@@ -468,12 +470,12 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
     tried = materialize(likely_pairs(to_centres, classes), "likely")
     labels = materialize(components(confirmed(tried, texts, size)), "labels")
     # Only pairs that were decided on full sets are left out of later searches.
-    decided, mixed, turn = tried, materialize(mixed_members(members, labels), "mixed"), 0
-    while True:
+    decided, mixed = tried, materialize(mixed_members(members, labels), "mixed")
+    for turn in range(TURNS):
         pairs = centre_pairs(mixed, classes, turn).join(decided, ["a", "b"], "left_anti")
         tried = materialize(likely_pairs(pairs, classes), "likely")
         links = materialize(confirmed(tried, texts, size), "links")
-        decided, turn = decided.union(tried), turn + 1
+        decided = decided.union(tried)
         if links.isEmpty():
             break
         labels = joined_components(labels, links)
