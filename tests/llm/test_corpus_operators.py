@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.compare import SPARK_TYPES, database, differences
@@ -168,6 +169,19 @@ def test_repeated_records_are_drawn_one_by_one(spark):
     assert copies.columns == df.columns and copies.filter("source = 's'").count() * 5 == taken["s"]
 
 
+def test_copies_of_a_hot_record_are_dealt_over_tasks(spark):
+    hot = spark.range(0, 20_000, 1, 8).select(F.lit(1).cast("long").alias("doc_id"), F.lit("a b c").alias("text"), F.lit("s").alias("source"))
+    other = spark.createDataFrame([(2, "x y", "t"), (None, "x", "t"), (None, "x", "t"), (3, None, "s"), (3, None, "s")], hot.schema)
+    df = hot.union(other)
+    wanted = Counter()
+    for row in mixing.pareto_mix(df).collect():
+        wanted[row["doc_id"]] += row["copies"] if row["size"] else 1
+    mixed = mixing.mixed_rows(df)
+    assert mixed.columns == df.columns
+    got = Counter(row["doc_id"] for row in mixed.collect())
+    assert got == +wanted and got[3] == 2 and got[1] > 10_000
+
+
 def lm_brute(rows):
     tokens = [[*brute.words((text or "").translate(brute.LOWER)), None] for _, text in rows]
     out = [zlib.crc32(("" if key is None else str(key)).encode()) % 5 == 1 for key, _ in rows]

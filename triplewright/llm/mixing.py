@@ -40,6 +40,8 @@ N_CLASSES = 32
 CELLS = 4096
 # How often what is left of a target is filled with shorter documents.
 FILLS = 3
+# Parts over which the copies of one record are dealt at most.
+RECORD_PARTS = 4096
 
 
 def word_count(text: Column) -> Column:
@@ -267,12 +269,23 @@ def mixed_rows(df: DataFrame, key: str = "doc_id", text: str = "text", source: s
     taken = taken.select("record", F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).alias("copies"))
     # Equal records are interchangeable: their copies are counted together and dealt evenly.
     per_record = taken.groupBy("record").agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows"))
-    single = df.withColumn("__record", F.xxhash64(F.lit(seed), F.col(key), F.col(text)))
+    single = df.withColumns(
+        {
+            "__record": F.xxhash64(F.lit(seed), F.col(key), F.col(text)),
+            "__part": F.pmod(F.spark_partition_id(), F.lit(RECORD_PARTS)),
+        }
+    )
     joined = single.join(per_record.withColumnRenamed("record", "__record"), "__record")
-    place = F.row_number().over(Window.partitionBy("__record").orderBy(F.lit(0)))
     alone = joined.filter("__rows = 1").withColumn("__own", F.col("__copies"))
-    several = joined.filter("__rows > 1").withColumn("__place", place)
+    # Numbered within (record, part) and shifted by the parts before, so that no task has all copies.
+    # Stored with their parts, as they are read twice.
+    several = materialize(joined.filter("__rows > 1"), "several")
+    group = ["__record", "__part"]
+    before = Window.partitionBy("__record").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = several.groupBy(*group).agg(F.count("*").alias("__n")).withColumn("__shift", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(F.lit(0))) + F.col("__shift")
+    several = several.join(shifts.drop("__n"), group).withColumn("__place", place)
     share = F.floor(F.col("__copies") / F.col("__rows")) + (F.col("__place") <= F.pmod("__copies", F.col("__rows"))).cast("long")
-    several = several.withColumn("__own", share).drop("__place")
-    dealt = alone.unionByName(several).filter("__own > 0")
+    several = several.withColumn("__own", share)
+    dealt = alone.select(*df.columns, "__own").union(several.select(*df.columns, "__own")).filter("__own > 0")
     return dealt.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__own").cast("long")))).select(*df.columns)
