@@ -171,7 +171,8 @@ def test_repeated_records_are_drawn_one_by_one(spark):
 
 def test_copies_of_a_hot_record_are_dealt_over_tasks(spark):
     hot = spark.range(0, 20_000, 1, 8).select(F.lit(1).cast("long").alias("doc_id"), F.lit("a b c").alias("text"), F.lit("s").alias("source"))
-    other = spark.createDataFrame([(2, "x y", "t"), (None, "x", "t"), (None, "x", "t"), (3, None, "s"), (3, None, "s")], hot.schema)
+    fields = "doc_id long, text string, source string"
+    other = spark.createDataFrame([(2, "x y", "t"), (None, "x", "t"), (None, "x", "t"), (3, None, "s"), (3, None, "s")], fields)
     df = hot.union(other)
     wanted = Counter()
     for row in mixing.pareto_mix(df).collect():
