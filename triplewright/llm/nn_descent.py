@@ -44,26 +44,26 @@ from triplewright.session import materialize
 
 # Neighbours of a node in the graph, and those it has in the search and in local joins, in
 # which the nodes it is a neighbour of take part.
-K = 20
-MOST_EDGES = 32
-N_TABLES = 10
+K = 24
+MOST_EDGES = 40
+N_TABLES = 12
 CELL_ROWS = 1024
 # Share of list entries that may be new in the last round of NN-descent, and by how much a new
 # entry must be better: more than rounding.
-SETTLED = 0.001
+SETTLED = 0.002
 MARGIN = 1e-6
 # Candidates that a node sends to another one in a local join.
 SENT = 12
 # Candidates that a task gathers before it keeps the best for each node.
-TASK_CANDIDATES = 1 << 20
+TASK_CANDIDATES = 1 << 18
 # Search: entry points, nodes of a beam, nodes expanded in a round.
 ENTRIES = 512
-BEAM = 64
-EXPANDED = 12
+BEAM = 192
+EXPANDED = 48
 # Queries that are compared with all entry points at once.
 ENTRY_ROWS = 512
 # Best of a beam that are compared exactly.
-EXACT = 40
+EXACT = 32
 _LISTS = "node long, ids array<long>, scores array<float>"
 _GRAPH = f"{_LISTS}, fresh array<boolean>"
 
