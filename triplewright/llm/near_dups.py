@@ -471,17 +471,21 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
     labels = materialize(components(confirmed(tried, texts, size)), "labels")
     # Only pairs that were decided on full sets are left out of later searches.
     decided, mixed = tried, materialize(mixed_members(members, labels), "mixed")
+    # From here on all pairs are among these members, as a rule few.
+    own = mixed.select("class").distinct()
+    classes_left = materialize(classes.join(own, "class"), "classes")
+    texts_left = materialize(texts.join(own, "class"), "texts")
     for turn in range(TURNS):
-        pairs = centre_pairs(mixed, classes, turn).join(decided, ["a", "b"], "left_anti")
-        tried = materialize(likely_pairs(pairs, classes), "likely")
-        links = materialize(confirmed(tried, texts, size), "links")
+        pairs = centre_pairs(mixed, classes_left, turn).join(decided, ["a", "b"], "left_anti")
+        tried = materialize(likely_pairs(pairs, classes_left), "likely")
+        links = materialize(confirmed(tried, texts_left, size), "links")
         decided = decided.union(tried)
         if links.isEmpty():
             break
         labels = joined_components(labels, links)
         mixed = materialize(mixed_members(mixed, labels), "mixed")
-    others = remaining_pairs(mixed, texts, classes, size).join(decided, ["a", "b"], "left_anti")
-    links = materialize(confirmed(likely_pairs(others, classes), texts, size), "links")
+    others = remaining_pairs(mixed, texts_left, classes_left, size).join(decided, ["a", "b"], "left_anti")
+    links = materialize(confirmed(likely_pairs(others, classes_left), texts_left, size), "links")
     if not links.isEmpty():
         labels = joined_components(labels, links)
     named = (
