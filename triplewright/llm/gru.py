@@ -19,8 +19,8 @@ N_CLASSES = 32
 CLASS_WORDS = 64
 N_WORDS = N_CLASSES * CLASS_WORDS
 WINDOW = 32
-SCORE_BATCH = 256
-TRAIN_BATCH = 64
+SCORE_BATCH = 1024
+TRAIN_BATCH = 128
 RATE = 0.2
 _SHAPES = {
     "inputs": (N_WORDS, 3 * N_HIDDEN),

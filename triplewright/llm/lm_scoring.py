@@ -5,7 +5,7 @@
 2. The model's vocabulary are the most frequent words. Gradient steps use every segment of
    ``SEGMENT`` words of all training texts once, dealt by hash over ``ROUNDS`` rounds. Each task
    trains on its texts; the weights of all tasks are averaged, by the words they saw, and the
-   next round starts from the average.
+   next round starts from the average. Weights are added up in a tree of tasks.
 3. Scoring reads every text whole, the state carried across windows. A word outside the
    vocabulary has the model's probability of such a word times its share among all of
    them, smoothed as in the base score, with a place for words never seen.
@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +39,8 @@ from triplewright.session import materialize
 HEAD_WORDS = 1 << 18
 ROUNDS = 2
 SEGMENT = 4 * gru.WINDOW
-# Tasks that add up weights.
-MERGERS = 8
+# Weights that one task adds up, in a tree.
+FAN_IN = 16
 # Steps per doubling of the count histogram.
 BINS = 16
 _END_KEY = -1
@@ -145,7 +146,7 @@ def train_round(training: DataFrame, counts: Counts, weights: gru.Parameters, tu
     known, places = counts.words[in_model], counts.places[in_model]
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer, number = gru.Trainer(weights), 0
+        trainer = gru.Trainer(weights)
         for batch in batches:
             texts = [utf8(text) for text in batch.column("text").to_pylist()]
             for _, hashes, bounds in word_hashes(texts, lower=True):
@@ -155,11 +156,10 @@ def train_round(training: DataFrame, counts: Counts, weights: gru.Parameters, tu
                 for begin, end in zip(bounds[:-1], bounds[1:]):
                     segments += _segments(np.append(words[begin:end], gru.END), hashes[begin:end], turn)
                 if segments:
-                    number = int(hashes[:1].sum() % MERGERS) if len(hashes) else 0
                     trainer.train(segments)
         if trainer.n_targets:
             flat = gru.pack(trainer.w).astype(np.float64) * trainer.n_targets
-            yield _weights_row(number, trainer.n_targets, flat)
+            yield _weights_row(TaskContext.get().partitionId(), trainer.n_targets, flat)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total = 0, None
@@ -168,12 +168,16 @@ def train_round(training: DataFrame, counts: Counts, weights: gru.Parameters, tu
                 n, own = n + seen, np.frombuffer(flat, dtype=np.float64)
                 total = own.copy() if total is None else total + own
         if n:
-            yield _weights_row(0, n, total)
+            yield _weights_row(TaskContext.get().partitionId(), n, total)
 
     schema = "merger int, n long, weights binary"
     trained = materialize(training.select("text").mapInArrow(train, schema), "weights")
-    # At most MERGERS rows reach the driver.
-    merged = trained.repartition(MERGERS, "merger").mapInArrow(merge, schema).collect()
+    n_rows = trained.count()
+    while n_rows > FAN_IN:
+        n_rows = -(-n_rows // FAN_IN)
+        dealt = trained.withColumn("merger", F.pmod("merger", F.lit(n_rows)).cast("int")).repartitionByRange(n_rows, "merger")
+        trained = materialize(dealt.mapInArrow(merge, schema), "weights")
+    merged = trained.collect()  # FAN_IN rows at most
     if not merged:
         return weights
     total = sum(np.frombuffer(row["weights"], dtype=np.float64) for row in merged)
@@ -195,6 +199,7 @@ def _score_batch(counts: Counts, weights: gru.Parameters):
         n = len(texts)
         n_tokens, known = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
         base, scores = np.zeros(n), np.zeros(n)
+        words: list[np.ndarray] = []
         tail_words, tail_times, tail_sizes = [], [], np.zeros(n, dtype=np.int64)
         end_at, end_known = _find(counts.words, np.array([_END_KEY], dtype=np.int64).view(np.uint64))
         end_count = counts.counts[end_at[0]] if end_known[0] else 0
@@ -209,8 +214,8 @@ def _score_batch(counts: Counts, weights: gru.Parameters):
             known[where] = sums(None) + (end_count > 0)
             base[where] = sums(counts.base(count[in_head])) + counts.base(np.array(end_count))
             other = np.where(place[in_head] == gru.OTHER, counts.share(count[in_head]), 0.0)
-            words = [np.append(place[b:e], gru.END) for b, e in zip(bounds[:-1], bounds[1:])]
-            scores[where] = gru.score(weights, words) / math.log(10) + sums(other)
+            words += [np.append(place[b:e], gru.END).astype(np.int16) for b, e in zip(bounds[:-1], bounds[1:])]
+            scores[where] = sums(other)
             word, text = hashes[~in_head], text_of[~in_head]
             order = np.lexsort((word, text))
             word, text = word[order], text[order]
@@ -220,6 +225,8 @@ def _score_batch(counts: Counts, weights: gru.Parameters):
             tail_words.append(word[starts])
             tail_times.append(np.diff(starts, append=len(word)))
             tail_sizes[where] = np.bincount(text[starts], minlength=len(rows))
+        # All texts of a batch at once, so that long ones find others of their length.
+        scores += gru.score(weights, words) / math.log(10)
         items = pa.StructArray.from_arrays(
             [
                 pa.array(np.concatenate([np.empty(0, np.uint64), *tail_words]).view(np.int64)),
