@@ -68,6 +68,15 @@ def test_sketches_and_frames_are_probed_together(spark, stored, hot):
     assert found[0] == found[1] and found[0] and not found[2]
 
 
+def test_few_rows_need_no_look_at_sketches(spark, stored, monkeypatch):
+    kept = stored[1]["quote"]
+    unread = replace(kept, keys=kept.keys.filter("raise_error('read') IS NULL"))
+    assert skew.hot_keys([probe(unread, [company.TICKER], "sub")] * 2, "sub") == [{}, {}]
+    monkeypatch.setattr(skew, "HOT_MIN_ROWS", 1)
+    with pytest.raises(Exception, match="read"):
+        skew.hot_keys([probe(unread, [company.TICKER], "sub")], "sub")
+
+
 def test_sketches_are_mergeable_over_dumps(spark, hot):
     data = [(f"s{i % 7}", f"p{i % 3}", f"<http://h/{i % 11}>" if i % 2 else '"x"') for i in range(900)]
     df = spark.createDataFrame(data, "sub string, pred string, obj string")

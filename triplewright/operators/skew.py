@@ -43,11 +43,16 @@ class KeySketch:
     """Stored sketches (n, sketch) of the keys of some rows, as made by :func:`sketch_keys`.
 
     ``whole`` is false where only a part of the sketched rows is used: shares are then
-    unknown, and every key that is large in itself counts as hot.
+    unknown, and every key that is large in itself counts as hot. ``total`` is the number of
+    rows, if it is known: so few that none can be hot need no look at the sketches.
     """
 
     states: DataFrame
     whole: bool = True
+    total: int | None = None
+
+    def may_have_hot_keys(self) -> bool:
+        return self.total is None or self.total >= HOT_MIN_ROWS
 
 
 def sketch_keys(hashed: DataFrame, by: list[str]) -> DataFrame:
@@ -83,12 +88,17 @@ def hot_keys(frames: list[DataFrame | KeySketch], on: str | list[str]) -> list[d
         if isinstance(df, DataFrame)
     ]
     states = [
-        df.states.select(F.lit(i).alias("frame"), "sketch", "n") for i, df in enumerate(frames) if isinstance(df, KeySketch)
+        df.states.select(F.lit(i).alias("frame"), "sketch", "n")
+        for i, df in enumerate(frames)
+        if isinstance(df, KeySketch) and df.may_have_hot_keys()
     ]
+    several = bool(states)  # of a frame
     if scanned:
         states.append(sketch_keys(reduce(DataFrame.union, scanned), ["frame"]).select("frame", "sketch", "n"))
+    if not states:
+        return [{} for _ in frames]
     combined = reduce(DataFrame.union, states)
-    if len(scanned) < len(frames):  # the stored ones may have several states
+    if several:
         combine = F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch")
         combined = combined.groupBy("frame").agg(combine, F.sum("n").alias("n"))
     sketches = combined.select(

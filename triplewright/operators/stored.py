@@ -30,6 +30,7 @@ class StoredTriples:
     """Rows (sub, pred, obj), and the sketches of their keys.
 
     keys:      (pred, key, n, bytes, sketch), one row for each predicate and key of ``KEYS``
+    totals:    the rows of each predicate and key, as far as they are known
     whole:     whether ``rows`` are all rows that were sketched
     clustered: of predicates that are laid out by subject, see :mod:`triplewright.sources.clustered`: the rows
                laid out so, and those of hot subjects, if there are any
@@ -37,6 +38,7 @@ class StoredTriples:
 
     rows: DataFrame
     keys: DataFrame
+    totals: dict[tuple[str, str], int] | None = None
     whole: bool = True
     clustered: dict[str, tuple[DataFrame, DataFrame | None]] = field(default_factory=dict)
 
@@ -44,9 +46,15 @@ class StoredTriples:
         """The same with fewer rows: sketches then tell which keys may be frequent."""
         return replace(self, rows=rows, whole=False, clustered={})
 
-    def whole_sketch(self, key: str) -> KeySketch:
-        """The sketches of one key over all predicates."""
-        return KeySketch(self.keys.filter(F.col("key") == key).select("n", "sketch"), self.whole)
+    def sketch(self, key: str, preds: list[str] | None = None) -> KeySketch:
+        """The sketches of one key, of some or all predicates."""
+        states = self.keys.filter(F.col("key") == key)
+        if preds is not None:
+            states = states.filter(F.col("pred").isin(*preds))
+        total = None
+        if self.totals is not None:
+            total = sum(n for (pred, name), n in self.totals.items() if name == key and (preds is None or pred in preds))
+        return KeySketch(states.select("n", "sketch"), self.whole, total)
 
 
 Triples = DataFrame | StoredTriples
@@ -68,6 +76,5 @@ def probe(triples: Triples, preds: Iterable[str], key: str, name: str = "sub") -
     """Where to look for the hot keys of some predicates: their stored sketches, or the rows' keys as column ``name``."""
     preds = list(preds)
     if isinstance(triples, StoredTriples):
-        stored = triples.keys.filter(F.col("pred").isin(*preds) & (F.col("key") == key))
-        return KeySketch(stored.select("n", "sketch"), triples.whole)
+        return triples.sketch(key, preds)
     return triples.filter(F.col("pred").isin(*preds)).select(KEYS[key]().alias(name))

@@ -39,7 +39,7 @@ def restrict(triples: Triples, companies: DataFrame) -> Triples:
     input triples gives the same graph as restricting the attribute tables, much cheaper.
     """
     if isinstance(triples, StoredTriples):
-        return triples.restricted_to(existence_join(triples.rows, companies, "sub", "left_semi", triples.whole_sketch("sub")))
+        return triples.restricted_to(existence_join(triples.rows, companies, "sub", "left_semi", triples.sketch("sub")))
     return existence_join(triples, companies, "sub", "left_semi")
 
 

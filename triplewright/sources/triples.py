@@ -214,4 +214,6 @@ def open_triples(spark: SparkSession, path: str) -> StoredTriples:
 
 def open_version(spark: SparkSession, version: str) -> StoredTriples:
     """The same for one version."""
-    return StoredTriples(triples_of_version(spark, version), spark.read.parquet(f"{version}/keys"))
+    keys = spark.read.parquet(f"{version}/keys")
+    totals = {(row["pred"], row["key"]): row["n"] for row in keys.select("pred", "key", "n").collect()}  # a row per predicate and key
+    return StoredTriples(triples_of_version(spark, version), keys, totals)
