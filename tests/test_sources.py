@@ -1,5 +1,6 @@
 """Reading dumps and lookup files, ingest, and writing results."""
 
+import itertools
 import re
 from collections import Counter
 from pathlib import Path
@@ -8,9 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from triplewright import session
+from triplewright.functions import text
 from triplewright.plans.etl import run_employee_report
 from triplewright.plans.stats import predicate_stats, predicate_stats_by_dump, stored_predicate_stats
 from triplewright.sources import mappings, sinks, triples, versions
+from triplewright_checks import fixtures
 
 LINES = {
     '<a/b> <c#d> "x" .': ("b", "d", '"x"'),
@@ -354,3 +357,38 @@ def test_employee_report(spark, tmp_path):
     assert rows(report, "id", "name", "steps_to_desk") == Counter(
         [(1, "Ada Lark", 21), (2, "Bo", 63), (3, "Cole", 0), (4, "Di Marsh", None)]
     )
+
+
+def test_fixture_dumps_are_compressed_in_files_of_bounded_length(spark, monkeypatch):
+    monkeypatch.setattr(fixtures, "LINES_PER_FILE", 1000)
+    fx = fixtures.Fixtures(spark, "/root/testdata/sf0.001")
+    rows = spark.range(0, 2500, 1, 1).select(F.col("id").cast("string").alias("sub"), F.lit("p").alias("pred"), F.lit("<o>").alias("obj"))
+    path = Path(fx.write_lines(rows).removeprefix("file:"))
+    assert [p.suffix for p in path.glob("part-*")] == [".gz"] * 3
+    assert triples.read_lines(spark, str(path)).count() == 2500
+
+
+def test_stored_lines_and_digests_are_packed(spark, dump, tmp_path):
+    triples.ingest_triples(spark, {"organization": dump}, str(tmp_path))
+    for part in ("lines", "subjects"):
+        files = list(tmp_path.glob(f"organization/data/*/{part}/**/*.parquet"))
+        assert files and all(".zstd." in p.name for p in files)
+
+
+def test_patterns_of_lines_agree(spark):
+    """Matches and groups are those of one search with lazy ends, over odd lines."""
+    parts = ["<b/", "> <", ">", "< ", " .", "x", "\u2003"]
+    lines = ["<b/" + "".join(p) for n in range(2, 7) for p in itertools.product(parts, repeat=n)]
+    lines += [f"<b/1> <p> {o} ." for o in ("<o>", '"t> <u> v"', '"x"^^<y>', "<b/2> <q> <o>", '"a . b"', "")]
+    space = r"[\s\x1c-\x1f]"
+    first = rf"(?dU)<\Qb/\E(.+)>{space}(<.*?>){space}.*?{space}\."
+    value, head = F.col("value"), F.col("head")
+    df = spark.createDataFrame([(line,) for line in lines], "value string")
+    df = df.withColumn("head", text.regex_group(value, text.triple_head_pattern("b/"), 1))
+    counted = df.agg(
+        F.count_if(value.rlike(first)).alias("matched"),
+        F.count_if(value.rlike(first) != value.rlike(text.is_triple_pattern("b/"))),
+        *[F.count_if(text.regex_group(value, first, i) != text.regex_group(value, text.triple_pattern("b/"), i)) for i in (1, 2)],
+        *[F.count_if(text.regex_group(value, first, i) != text.regex_group(head, text.HEAD_PARTS, i)) for i in (1, 2)],
+    ).first()
+    assert counted[0] > 100 and counted[1:] == (0, 0, 0, 0, 0)

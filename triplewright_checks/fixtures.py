@@ -15,6 +15,7 @@ from triplewright.session import scratch_path
 
 BASE = "https://kg.example/"
 ONTOLOGY = "http://kg.example/ontology/ns#"
+LINES_PER_FILE = 1_000_000
 STRING_TYPE = "^^<http://www.w3.org/2001/XMLSchema#string>"
 
 
@@ -165,10 +166,19 @@ class Fixtures:
 
     def write_lines(self, triples: DataFrame, name: str = "dump") -> str:
         """Triples as N-Triples text; returns the folder."""
+        lines = triples.select(
+            F.concat(F.lit(f"<{BASE}"), "sub", F.lit(f"> <{ONTOLOGY}"), "pred", F.lit("> "), "obj", F.lit(" .")).alias("value")
+        )
+        return self.write_text(lines, name)
+
+    def write_text(self, lines: DataFrame, name: str = "dump") -> str:
+        """Lines as compressed text, as dumps are published; returns the folder.
+
+        A compressed file is read by one task, so no file takes more than ``LINES_PER_FILE`` lines.
+        """
         path = scratch_path(self.spark, name)
-        triples.select(
-            F.concat(F.lit(f"<{BASE}"), "sub", F.lit(f"> <{ONTOLOGY}"), "pred", F.lit("> "), "obj", F.lit(" ."))
-        ).write.text(path)
+        writer = lines.write.option("maxRecordsPerFile", LINES_PER_FILE).option("zlib.compress.level", "BEST_SPEED")
+        writer.text(path, compression="gzip")
         return path
 
     def write_mapping(self, mapping: DataFrame, name: str = "mapping") -> str:

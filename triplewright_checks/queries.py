@@ -120,9 +120,7 @@ def ingest_new_version(fx):
     whole = triples.read_lines(spark, fx.write_lines(fx.organization()))
     odd = whole.select(F.when(F.contains("value", F.lit("isDomiciledIn")), F.replace("value", F.lit(" "), F.lit("_"))).otherwise(F.col("value")).alias("value"))
     for lines in (odd, whole):
-        path = scratch_path(spark, "dump")
-        lines.write.text(path)
-        triples.ingest_triples(spark, {"organization": path}, root)
+        triples.ingest_triples(spark, {"organization": fx.write_text(lines)}, root)
     return triples.read_triples(spark, f"{root}/organization")
 
 
