@@ -123,14 +123,32 @@ def ascii_fold(x: Column) -> Column:
 NAME_STEPS = (F.trim, clean_name, collapse_ws, strip_apostrophe, exchange_letters, spell_out_letters)
 
 
+# White space in lines of triples, within ``(?U)``.
+_SPACE = r"[\s\x1c-\x1f]"
+
+
 def triple_pattern(base: str) -> str:
     """Regular expression of an N-Triples line with a subject under ``base``.
 
     Group 1 is the rest of the subject, group 2 the bracketed predicate. ``(?d)`` lets
-    ``.`` stop at line feeds only, ``(?U)`` makes ``\\s`` match Unicode white space.
+    ``.`` stop at line feeds only, ``(?U)`` makes ``\\s`` match Unicode white space. The closing `` .``
+    is looked for from the end, where it is as a rule; which one is found changes neither group.
     """
-    space = r"[\s\x1c-\x1f]"
-    return rf"(?dU)<\Q{base}\E(.+)>{space}(<.*?>){space}.*?{space}\."
+    return rf"(?dU)<\Q{base}\E(.+)>{_SPACE}(<.*?>){_SPACE}.*{_SPACE}\."
+
+
+def is_triple_pattern(base: str) -> str:
+    """Matches the lines that :func:`triple_pattern` matches, in fewer steps: it has no groups, so the first subject will do."""
+    return rf"(?dU)<\Q{base}\E.+?>{_SPACE}<.*?>{_SPACE}.*{_SPACE}\."
+
+
+def triple_head_pattern(base: str) -> str:
+    """The same, with both groups of :func:`triple_pattern` and what is between them as group 1."""
+    return rf"(?dU)<\Q{base}\E(.+>{_SPACE}<.*?>){_SPACE}.*{_SPACE}\."
+
+
+# Parts such a head: no longer subject would have matched the line, so it ends where the last predicate begins.
+HEAD_PARTS = rf"(?dU)^(.+)>{_SPACE}(<.*)"
 
 
 def regex_group(line: Column, pattern: str, group: int) -> Column:

@@ -15,7 +15,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from triplewright.functions.text import local_name, path_end, regex_group, triple_pattern, without_ends
+from triplewright.functions.text import is_triple_pattern, local_name, path_end, regex_group, triple_pattern, without_ends
 from triplewright.operators.stored import StoredTriples, sketch_predicates
 from triplewright.sources import versions
 
@@ -28,7 +28,7 @@ def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
 def read_matching_lines(spark: SparkSession, base: str, *paths: str) -> DataFrame:
     """N-Triples lines with a subject under ``base`` and a closing `` .``."""
     line = F.col("value")
-    return read_lines(spark, *paths).filter(line.contains(f"<{base}") & line.rlike(triple_pattern(base)))
+    return read_lines(spark, *paths).filter(line.contains(f"<{base}") & line.rlike(is_triple_pattern(base)))
 
 
 def _has_predicate() -> Column:

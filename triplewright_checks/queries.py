@@ -271,8 +271,10 @@ def multiply_const(fx):
 @query
 def regex_group(fx):
     lines = triples.read_matching_lines(fx.spark, BASE, fx.write_lines(fx.triples()))
-    subject, predicate = (text.regex_group(F.col("value"), text.triple_pattern(BASE), i) for i in (1, 2))
-    return lines.select(subject.alias("subject"), text.without_ends(predicate).alias("pred"))
+    # The whole line is searched once; its head is short.
+    heads = lines.select(text.regex_group(F.col("value"), text.triple_head_pattern(BASE), 1).alias("head"))
+    subject, predicate = (text.regex_group(F.col("head"), text.HEAD_PARTS, i) for i in (1, 2))
+    return heads.select(subject.alias("subject"), text.without_ends(predicate).alias("pred"))
 
 
 # Filters
