@@ -99,11 +99,11 @@ def _write_version(spark: SparkSession, path: str, version: str, bases: list[str
         F.count(F.lit(1)).alias("lines"),
         F.count_if(~_has_predicate()).alias("rejected"),
     )
-    _sorted_out(lines, bases).hint("rebalance", "kind", "pred").write.partitionBy("kind", "pred").parquet(f"{version}/lines")
+    _sorted_out(lines, bases).hint("rebalance", "kind", "pred").write.partitionBy("kind", "pred").parquet(f"{version}/lines", compression="zstd")
     stored = _stored_lines(spark, version)
     triples = _triples_of(stored.filter(F.col("kind") == "triple"))
     sketch_predicates(triples).write.parquet(f"{version}/keys")
-    subject_digests(triples).write.parquet(f"{version}/subjects")
+    subject_digests(triples).write.parquet(f"{version}/subjects", compression="zstd")
     if bases:
         counts = stored.select(F.inline("counted")).groupBy("base", "iri").agg(F.count("*").alias("n"))
         counts.select("base", without_ends(F.col("iri")).alias("pred"), "n").write.parquet(f"{version}/predicates")
