@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -353,3 +354,14 @@ def test_equal_registers_are_counted(spark):
     a, b = near_dups.prints(sketches)
     df = spark.createDataFrame([(a.tolist(), b.tolist())], "a array<long>, b array<long>")
     assert df.select(near_dups.equal_registers("a", "b")).first()[0] == 40
+
+
+def test_texts_are_confirmed_a_bounded_number_at_a_time(monkeypatch):
+    monkeypatch.setattr(near_dups, "TEXTS_AT_ONCE", 2)
+    text = "one two three four five"
+    batch = pa.RecordBatch.from_pydict(
+        {"a": [b"a"] * 5, "b": [None, b"b", b"c", b"d", b"e"], "part": [0] * 5, "text": [text, text, "other words here and there", text, text]},
+        schema=pa.schema([("a", pa.binary()), ("b", pa.binary()), ("part", pa.int64()), ("text", pa.string())]),
+    )
+    found = list(near_dups._confirm(4)(iter([batch])))
+    assert [x.column("b").to_pylist() for x in found] == [[b"b"], [b"d"], [b"e"]]

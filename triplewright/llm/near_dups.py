@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from triplewright.llm.batches import Columns, add_columns
+from triplewright.llm.batches import Columns, add_columns, cut
 from triplewright.llm.components import components
 from triplewright.llm.words import mix, powers, utf8, window_hashes, word_hashes
 from triplewright.session import materialize
@@ -58,6 +58,8 @@ EQUAL_CUT = 58
 # Registers' low bytes per 64-bit number; one byte stays free for carries.
 PRINT_BYTES = 7
 N_PRINTS = -(-N_REGISTERS // PRINT_BYTES)
+# Texts that a task holds as Python strings at once.
+TEXTS_AT_ONCE = 1000
 # Scale of the registers: value k stands for minima around BASE ** -k.
 BASE, RATE, TOP = 1.001, 20.0, 2**16 - 1
 # Bits of a shingle hash by which frequencies are counted, and tasks that add them up.
@@ -179,13 +181,13 @@ def _class_ids(texts: list[str | None]) -> list[bytes | None]:
 
 def with_class(df: DataFrame, text: str = "text", name: str = "class") -> DataFrame:
     """Add 16 bytes that identify the word sequence; null without words."""
-    return add_columns(df, [text], f"{name} binary", lambda texts: {name: _class_ids(texts)})
+    return add_columns(df, [text], f"{name} binary", lambda texts: {name: _class_ids(texts)}, rows_at_once=TEXTS_AT_ONCE)
 
 
 def sketch(df: DataFrame, text: str = "text", size: int = SHINGLE_WORDS) -> DataFrame:
     """Replace the text by ``class``, ``n_shingles``, ``registers`` (two bytes each) and ``prints``."""
     fields = "class binary, n_shingles long, registers binary, prints array<long>"
-    return add_columns(df, [text], fields, lambda texts: _sketch(texts, size), drop=True)
+    return add_columns(df, [text], fields, lambda texts: _sketch(texts, size), drop=True, rows_at_once=TEXTS_AT_ONCE)
 
 
 def _bands() -> Column:
@@ -243,7 +245,7 @@ def _confirm(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centre, own = None, np.empty(0, dtype=_U)
-        for batch in batches:
+        for batch in cut(batches, TEXTS_AT_ONCE):
             a, b, part, texts = (batch.column(name).to_pylist() for name in ("a", "b", "part", "text"))
             linked = []
             for rows, hashes, bounds in word_hashes([utf8(text) for text in texts], lower=True):
@@ -301,7 +303,7 @@ def shingle_frequencies(texts: DataFrame, size: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << FREQUENCY_BITS, dtype=np.int64)
-        for batch in batches:
+        for batch in cut(batches, TEXTS_AT_ONCE):
             for _, keys in _text_shingles(batch.column("text").to_pylist(), size):
                 counts[_cell(keys)] += 1
         if counts.any():
@@ -340,7 +342,7 @@ def rare_shingles(texts: DataFrame, frequencies: np.ndarray, size: int) -> DataF
             found[i] = keys[order[:n]].view(np.int64)
         return {"rare": found}
 
-    found = add_columns(texts, ["text"], "rare array<long>", first, drop=True)
+    found = add_columns(texts, ["text"], "rare array<long>", first, drop=True, rows_at_once=TEXTS_AT_ONCE)
     return found.select("class", "n_shingles", "component", "prints", F.posexplode("rare").alias("place", "band"))
 
 
