@@ -112,6 +112,41 @@ def test_large_predicate_is_cut_into_several_files(spark, tmp_path):
     assert triples.read_triples(spark, f"{target}/quote").count() == 60_000
 
 
+def _stored_files(spark, target, preds_per_task):
+    """Files of each partition of a dump of eight files, with one large predicate, some rare ones and rejected lines."""
+    row = F.col("id")
+    pred = F.when(row % 10 == 0, F.concat(F.lit("p"), (row / 10).cast("int") % preds_per_task)).otherwise("large")
+    text = F.concat(F.lit("<s/"), row, F.lit("> <"), pred, F.lit('> "'), F.sha2(row.cast("string"), 256), F.lit('" .'))
+    lines = spark.range(0, 16_000, 1, 8).select(F.when(row % 4000 == 3999, "bad").otherwise(text).alias("value"))
+    lines.write.text(f"{target}/dump")
+    counts = triples.ingest_triples(spark, {"quote": f"{target}/dump"}, str(target))
+    assert counts == {"quote": {"lines": 16_000, "rejected": 4}}
+    assert triples.read_rejects(spark, f"{target}/quote").count() == 4
+    stored = triples.read_triples(spark, f"{target}/quote")
+    assert stored.count() == 15_996 and stored.filter("pred = 'large'").distinct().count() == 14_396
+    tasks = triples.read_lines(spark, f"{target}/dump").select(F.spark_partition_id().alias("t")).distinct().count()
+    return tasks, {p.name: len(list(p.glob("*.parquet"))) for p in target.glob("quote/data/*/lines/kind=*/pred=*")}
+
+
+def test_large_predicates_are_stored_by_the_tasks_that_read_them(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(triples, "FILE_BYTES", 50_000)
+    tasks, files = _stored_files(spark, tmp_path, 20)
+    assert tasks > 1 and files.pop("pred=large") == tasks
+    assert len(files) == 21 and set(files.values()) == {1}
+
+
+def test_a_dump_of_few_predicates_is_stored_without_a_shuffle(spark, tmp_path):
+    tasks, files = _stored_files(spark, tmp_path, 2)
+    assert files["pred=large"] == files["pred=p1"] == tasks > 1
+
+
+def test_an_empty_dump_is_stored(spark, tmp_path):
+    (tmp_path / "dump.nt").write_text("")
+    counts = triples.ingest_triples(spark, {"quote": str(tmp_path / "dump.nt")}, str(tmp_path / "t"))
+    assert counts == {"quote": {"lines": 0, "rejected": 0}}
+    assert triples.read_triples(spark, str(tmp_path / "t/quote")).count() == 0
+
+
 def test_scratch_path_needs_a_shared_folder_on_a_cluster():
     class Session:
         class conf:

@@ -2,7 +2,7 @@
 
 A version of a stored dump has
 
-    lines       (sub, obj[, counted]) by kind (triple or reject) and pred, written in one scan of the dump
+    lines       (sub, obj[, counted]) by kind (triple or reject) and pred
     keys        sketches of the keys of each predicate, see :mod:`triplewright.operators.stored`
     predicates  (base, pred, n): triples per full predicate IRI, if bases were given
     subjects    (sub, n, digest): an order-free digest of each subject's triples, see :mod:`triplewright.plans.changes`
@@ -12,13 +12,20 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from triplewright.functions.text import is_triple_pattern, local_name, path_end, regex_group, triple_pattern, without_ends
 from triplewright.operators.stored import StoredTriples, sketch_predicates
 from triplewright.sources import versions
 
+# Bytes of text from which a task's lines of one predicate are worth a file of their own.
+FILE_BYTES = 2 << 20
+# Smaller files that a task may leave on average, before they are collected by a shuffle.
+SMALL_FILES = 4
+# Predicates whose lines are told apart as large, while those of others are shuffled.
+MOST_IN_PLACE = 1000
+
 
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
     """Lines of a dump: ``value``."""
@@ -62,16 +69,17 @@ def rejected_lines(lines: DataFrame) -> DataFrame:
 _LINES = "sub string, obj string, counted array<struct<base: string, iri: string>>, kind string, pred string"
 
 
+def _partition() -> list[Column]:
+    """The kind and the predicate of a line."""
+    parsed, (_, pred, _) = _has_predicate(), _parsed()
+    return [F.when(parsed, "triple").otherwise("reject").alias("kind"), F.when(parsed, pred).alias("pred")]
+
+
 def _sorted_out(lines: DataFrame, bases: list[str]) -> DataFrame:
     """Triples, and rejected lines as objects; with the predicate IRI that each line counts for under each base."""
-    sub, pred, obj = _parsed()
+    sub, _, obj = _parsed()
     parsed, value = _has_predicate(), F.col("value")
-    columns = [
-        F.when(parsed, sub).alias("sub"),
-        F.when(parsed, obj).otherwise(value).alias("obj"),
-        F.when(parsed, "triple").otherwise("reject").alias("kind"),
-        F.when(parsed, pred).alias("pred"),
-    ]
+    columns = [F.when(parsed, sub).alias("sub"), F.when(parsed, obj).otherwise(value).alias("obj"), *_partition()]
     if not bases:
         return lines.select(*columns)
     iris = [
@@ -91,15 +99,50 @@ def _triples_of(lines: DataFrame) -> DataFrame:
     return lines.select("sub", F.coalesce("pred", F.lit("")).alias("pred"), "obj")
 
 
+def _layout(lines: DataFrame) -> Row:
+    """What the tasks that read a dump would write: one row of numbers of lines, rejected lines, tasks and small files, and
+    the largest predicates (kind, pred) whose files would not be small."""
+    by_task = (
+        lines.select(*_partition(), F.octet_length("value").cast("long").alias("bytes"), F.spark_partition_id().alias("task"))
+        .groupBy("task", "kind", "pred")
+        .agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    )
+    files = by_task.groupBy("kind", "pred").agg(
+        F.count("*").alias("files"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), (F.max("task") + 1).alias("tasks")
+    )
+    small = F.col("bytes") < F.col("files") * FILE_BYTES
+    large = F.collect_list(F.when(~small, F.struct("bytes", "kind", "pred")))
+    return files.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("lines"),
+        F.coalesce(F.sum(F.when(F.col("kind") == "reject", F.col("n"))), F.lit(0)).alias("rejected"),
+        F.coalesce(F.max("tasks"), F.lit(0)).alias("tasks"),
+        F.coalesce(F.sum(F.when(small, F.col("files"))), F.lit(0)).alias("small_files"),
+        F.slice(F.sort_array(large, asc=False), 1, MOST_IN_PLACE).alias("large"),
+    ).first()
+
+
+def _write_lines(rows: DataFrame, path: str, layout: Row) -> None:
+    """Write each predicate's rows from the tasks that read them, or, where that made many small files, collected by a shuffle."""
+
+    def write(part: DataFrame) -> None:
+        part.write.partitionBy("kind", "pred").mode("append").parquet(path, compression="zstd")
+
+    if layout["small_files"] <= SMALL_FILES * layout["tasks"]:
+        write(rows)
+        return
+    names = [x["pred"] for x in layout["large"] if x["kind"] == "triple"]
+    rejects = [x for x in layout["large"] if x["kind"] == "reject"]
+    in_place = F.when(F.col("kind") == "reject", F.lit(bool(rejects))).otherwise(F.coalesce(F.col("pred").isin(names), F.lit(False)))
+    if layout["large"]:
+        write(rows.filter(in_place))
+    write(rows.filter(~in_place).hint("rebalance", "kind", "pred"))
+
+
 def _write_version(spark: SparkSession, path: str, version: str, bases: list[str]) -> dict[str, int]:
     """Store one dump and what plans need to know of it; returns the counts of its lines."""
-    seen = Observation()
-    lines = read_lines(spark, path).observe(
-        seen,
-        F.count(F.lit(1)).alias("lines"),
-        F.count_if(~_has_predicate()).alias("rejected"),
-    )
-    _sorted_out(lines, bases).hint("rebalance", "kind", "pred").write.partitionBy("kind", "pred").parquet(f"{version}/lines", compression="zstd")
+    lines = read_lines(spark, path)
+    layout = _layout(lines)
+    _write_lines(_sorted_out(lines, bases), f"{version}/lines", layout)
     stored = _stored_lines(spark, version)
     triples = _triples_of(stored.filter(F.col("kind") == "triple"))
     sketch_predicates(triples).write.parquet(f"{version}/keys")
@@ -107,7 +150,7 @@ def _write_version(spark: SparkSession, path: str, version: str, bases: list[str
     if bases:
         counts = stored.select(F.inline("counted")).groupBy("base", "iri").agg(F.count("*").alias("n"))
         counts.select("base", without_ends(F.col("iri")).alias("pred"), "n").write.parquet(f"{version}/predicates")
-    return seen.get
+    return {name: layout[name] for name in ("lines", "rejected")}
 
 
 def subject_digests(triples: DataFrame) -> DataFrame:
@@ -148,13 +191,14 @@ def ingest_triples(
 ) -> dict[str, dict]:
     """Store each dump (name -> path) as the next version of ``target/name``, partitioned by predicate.
 
-    Each dump is read once. The rebalance hint groups a predicate's rows into few files and
-    cuts a large predicate into many tasks. The version is published when it is complete:
+    Each dump is scanned once for the bytes of its predicates. The tasks that read it then write the rows of
+    large predicates without a shuffle; if the others made many small files, they take a scan of
+    their own, and the rebalance hint groups each predicate's rows into few files. The version is published when it is complete:
     a run that ends before that leaves the last version as it is, and can simply be repeated.
     Unparsable lines are kept apart from all triples, whatever their predicates are called, and are
     also written as text to ``rejects/name``. With ``database``, ``database.name`` becomes a view of
     the version's triples. ``bases`` are IRI prefixes of subjects whose triples are counted by
-    predicate. Returns the counts per dump; work repeated after a lost executor may be counted twice.
+    predicate. Returns the counts per dump.
     """
     counts, bases = {}, list(bases)
     for name, path in dumps.items():
