@@ -116,6 +116,16 @@ def test_keep_one_row_of_each_component(odd):
     assert ids == Counter([1, 2, 3, None, 4, 7, 8, 9, 10])
 
 
+def test_texts_of_classes_alone_in_their_buckets_are_not_shuffled(spark):
+    rows = [(i, f"text number {i} of its own" if i % 40 else "one and the same") for i in range(400)] + [(400, None), (401, " ")]
+    source = spark.createDataFrame(rows, "key long, text string")
+    members = near_dups.with_class(source.filter("key IN (0, 1, 2, 40)"))
+    found = near_dups.texts_of(source, members)
+    assert sorted(r["text"] for r in found.collect()) == ["one and the same", "text number 1 of its own", "text number 2 of its own"]
+    # The filter's blocks are looked up below the join.
+    assert "__block" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_similarity_estimates_are_close():
     from triplewright.llm.words import mix
 

@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from triplewright.llm.batches import Columns, add_columns, cut
 from triplewright.llm.components import components
 from triplewright.llm.words import mix, powers, utf8, window_hashes, word_hashes
+from triplewright.operators.skew import existence_join
 from triplewright.session import materialize
 
 SHINGLE_WORDS = 4
@@ -346,6 +347,16 @@ def rare_shingles(texts: DataFrame, frequencies: np.ndarray, size: int) -> DataF
     return found.select("class", "n_shingles", "component", "prints", F.posexplode("rare").alias("place", "band"))
 
 
+def texts_of(source: DataFrame, members: DataFrame) -> DataFrame:
+    """(class, text): a text of each class among the members.
+
+    Only texts that pass a Bloom filter of the members' classes are shuffled, as those of all others are most of the input.
+    """
+    classed = with_class(source).select("class", "text")
+    own = members.select("class").distinct()
+    return existence_join(classed, own, "class", "left_semi", balanced=True, limit=0).dropDuplicates(["class"])
+
+
 def _several_components(rows: DataFrame) -> DataFrame:
     """Bands whose rows have more than one component."""
     ends = rows.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -459,13 +470,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
     buckets = bands.groupBy("band").agg(F.min("class").alias("centre"), F.max("class").alias("last"))
     shared = buckets.filter("centre <> last").drop("last")
     members = materialize(bands.join(shared, "band"), "buckets")
-    texts = materialize(
-        with_class(source)
-        .select("class", "text")
-        .join(members.select("class").distinct(), "class")
-        .dropDuplicates(["class"]),
-        "texts",
-    )
+    texts = materialize(texts_of(source, members), "texts")
     to_centres = materialize(
         members.filter("class <> centre").select(F.col("centre").alias("a"), F.col("class").alias("b")).distinct(), "pairs"
     )
