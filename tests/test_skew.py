@@ -215,3 +215,44 @@ def test_copied_facts_are_spread_over_slices(spark, monkeypatch):
     lookup = spark.createDataFrame([("g", "new")], "g string, new string")
     joined = skew.lookup_join(facts, lookup, "g", distinct=True)
     assert rows(joined, "sub") == Counter([("s",), *((f"s{i}",) for i in range(200))])
+
+
+@pytest.mark.parametrize("distinct", [[], ["left"], ["right"], ["left", "right"]])
+def test_skew_join_drops_copies_of_the_sides_named(spark, maybe_hot, plain_shuffles, distinct):
+    left, right = FACTS[:300] * 2 + [(None, "n")] * 2, [("hot", "w"), ("hot", "w"), ("k1", None), ("k1", None), (None, "n")]
+    a, b = spark.createDataFrame(left, "k string, v string"), spark.createDataFrame(right, "k string, w string")
+    wanted = pairs(set(left) if "left" in distinct else left, set(right) if "right" in distinct else right)
+    got = rows(skew.skew_join(a, b, "k", distinct=distinct), "k", "v", "w")
+    assert got == Counter({row: n for row, n in wanted.items() if row[0] is not None})
+
+
+def test_copies_are_dropped_on_the_partitioning_of_the_join(spark, plain_shuffles, capsys):
+    a, b = spark.createDataFrame(FACTS, "k string, v string"), spark.createDataFrame(FACTS, "k string, w string")
+    skew.skew_join(a, b, "k", distinct=["left", "right"]).explain()
+    assert capsys.readouterr().out.count("Exchange") == 2
+
+
+def test_keys_without_large_cells_are_not_sketched(spark, facts, hot, monkeypatch):
+    sketched = []
+    real = skew.sketch_keys
+    monkeypatch.setattr(skew, "sketch_keys", lambda hashed, by: sketched.append(hashed.count()) or real(hashed, by))
+    cold = spark.range(1000).select(F.col("id").cast("string").alias("sub"))
+    assert skew.hot_keys([cold], "sub") == [{}] and not sketched
+    (found,) = skew.hot_keys([facts], "sub")
+    assert found and sum(1 for k, _ in FACTS if k == "hot") <= sketched[0] < N
+
+
+def test_rows_are_derived_once_for_the_search_and_the_join(spark):
+    derived = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(key):
+        derived.add(1)
+        return key
+
+    df = spark.createDataFrame(FACTS, "k string, v string").select(seen("k").alias("k"), "v")
+    written, probe = skew.scanned_once(df, df, "rows")
+    assert skew.skew_join(written, spark.createDataFrame([("k1", "w")], "k string, w string"), "k", left_probe=probe).count()
+    assert derived.value == N
+    sketch = skew.KeySketch(df)
+    assert skew.scanned_once(df, sketch, "rows") == (df, sketch)

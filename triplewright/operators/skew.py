@@ -1,7 +1,8 @@
 """Joins and per-key windows that stay balanced when one key holds a large share of the rows.
 
-Hot keys are found with one frequent-items sketch per frame (partial aggregation, no shuffle
-of keys), or with sketches that were stored with the rows. The sketch only decides how the work
+Keys are first counted in a fixed number of cells of their hash. Only the keys of cells that are
+large enough to hold a hot one go on to a frequent-items sketch per frame (partial aggregation, no shuffle
+of keys); sketches that were stored with the rows need neither. The sketch only decides how the work
 is split, never what comes out: the hot list is collected once and used for both sides, so an
 estimate that is off costs balance, not rows. At most ``1 / HOT_SHARE`` keys can hold
 ``HOT_SHARE`` of the rows each, which bounds the list.
@@ -10,18 +11,22 @@ estimate that is off costs balance, not rows. At most ``1 / HOT_SHARE`` keys can
 from __future__ import annotations
 
 import math
+from collections.abc import Collection
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from triplewright.operators.bloom import bloom_filter, n_blocks, split_by_filter
+from triplewright.session import materialize
 
 # A key is hot from this share of its frame on ...
 HOT_SHARE = 1 / 1000
 # ... provided it has this many rows; below, one task copes easily.
 HOT_MIN_ROWS = 1_000_000
+# Leading bits of a key's hash by which rows are counted first: cells of a quarter of HOT_SHARE.
+CELL_BITS = 12
 # Counters kept by the sketch; its error is far below HOT_SHARE.
 SKETCH_ITEMS = 10_000
 # Tasks that merge the sketches of all input tasks before the final merge.
@@ -76,16 +81,34 @@ def sketch_keys(hashed: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
+def _cell(h: Column) -> Column:
+    return F.shiftrightunsigned(h, 64 - CELL_BITS)
+
+
+def _large_cells(hashed: dict[int, DataFrame]) -> tuple[dict[int, int], dict[int, list[int]]]:
+    """Rows of each frame (h), and its cells that have as many rows as a hot key. One job, if there are frames."""
+    if not hashed:
+        return {}, {}
+    keyed = reduce(DataFrame.union, [df.select(F.lit(i).alias("frame"), _cell(F.col("h")).alias("cell")) for i, df in hashed.items()])
+    total = F.sum("n").over(Window.partitionBy("frame"))
+    counted = keyed.groupBy("frame", "cell").agg(F.count("*").alias("n")).withColumn("total", total)
+    large = F.col("n") >= F.greatest(F.col("total") * HOT_SHARE, F.lit(HOT_MIN_ROWS))
+    # Fewer than one cell in 1 / HOT_SHARE can be large.
+    found = counted.filter(large).groupBy("frame").agg(F.first("total").alias("total"), F.collect_list("cell").alias("cells")).collect()
+    return {row["frame"]: row["total"] for row in found}, {row["frame"]: row["cells"] for row in found}
+
+
 def hot_keys(frames: list[DataFrame | KeySketch], on: str | list[str]) -> list[dict[int, int]]:
-    """For each frame: hash of every hot key -> number of slices its rows deserve. One job.
+    """For each frame: hash of every hot key -> number of slices its rows deserve. One job, two with large cells.
 
     Frames are scanned for the columns ``on``; of stored sketches only the sketches are read.
     """
     on = _columns(on)
+    hashed = {i: df.select(key_hash(*on).alias("h")) for i, df in enumerate(frames) if isinstance(df, DataFrame)}
+    totals, cells = _large_cells(hashed)
     scanned = [
-        df.select(F.lit(i).alias("frame"), key_hash(*on).alias("h"), F.lit(0).cast("long").alias("bytes"))
-        for i, df in enumerate(frames)
-        if isinstance(df, DataFrame)
+        hashed[i].filter(_cell(F.col("h")).isin(own)).select(F.lit(i).alias("frame"), "h", F.lit(0).cast("long").alias("bytes"))
+        for i, own in cells.items()
     ]
     states = [
         df.states.select(F.lit(i).alias("frame"), "sketch", "n")
@@ -108,7 +131,7 @@ def hot_keys(frames: list[DataFrame | KeySketch], on: str | list[str]) -> list[d
     for row in sketches:
         frame = frames[row["frame"]]
         whole = not isinstance(frame, KeySketch) or frame.whole
-        floor = max(row["n"] * HOT_SHARE, HOT_MIN_ROWS) if whole else HOT_MIN_ROWS
+        floor = max(totals.get(row["frame"], row["n"]) * HOT_SHARE, HOT_MIN_ROWS) if whole else HOT_MIN_ROWS
         found[row["frame"]] = {
             item["item"]: math.ceil(item["count"] / floor)
             for item in row["top"]
@@ -117,6 +140,20 @@ def hot_keys(frames: list[DataFrame | KeySketch], on: str | list[str]) -> list[d
     return found
 
 
+def scanned_once(
+    rows: DataFrame, probe: DataFrame | KeySketch, name: str
+) -> tuple[DataFrame, DataFrame | KeySketch]:
+    """The rows, and where to look for their hot keys.
+
+    With stored sketches both stay. Otherwise the rows are written out, so that the search for hot keys does
+    not derive them a second time.
+    """
+    if isinstance(probe, KeySketch):
+        return rows, probe
+    rows = materialize(rows, name)
+    return rows, rows
+
+
 def measure(df: DataFrame) -> tuple[int, int]:
     """Bytes of all values, with a share for each row's overhead, and rows. One aggregate job."""
     widths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns]
@@ -135,6 +172,16 @@ def split_hot(df: DataFrame, on: str | list[str], hot: dict[int, int]) -> tuple[
     return df.filter(is_hot), df.filter(~is_hot)
 
 
+def _distinct_by(df: DataFrame, on: list[str]) -> DataFrame:
+    """Distinct rows, partitioned by ``on`` and sorted by it first, as a merge join needs them: one shuffle and one sort.
+
+    No key may be hot.
+    """
+    equal = Window.partitionBy(*on, *[c for c in df.columns if c not in on]).orderBy(*on)
+    numbered = df.repartition(*on).withColumn("copy", F.row_number().over(equal))
+    return numbered.filter(F.col("copy") == 1).drop("copy")
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -142,12 +189,14 @@ def skew_join(
     left_probe: DataFrame | KeySketch | None = None,
     right_probe: DataFrame | KeySketch | None = None,
     copies: bool = False,
+    distinct: Collection[str] = (),
 ) -> DataFrame:
     """Inner equi-join. Rows of a hot key are cut into slices, the other side's rows of that key
     are repeated once per slice; with both sides hot, every pair still meets exactly once.
 
     Slices are chosen by a hash of the row, so both inputs should be free of duplicate rows; ``copies``
-    says that the left one is not, and tells equal rows apart by their partitions.
+    says that the left one is not, and tells equal rows apart by their partitions. Sides named in ``distinct``
+    ("left", "right") lose their copies: without hot keys in one shuffle and one sort with the join.
     A probe is a cheaper place to look for hot keys: the scan below a ``distinct``, or stored sketches.
     Without hot keys this is a plain join, left to adaptive execution.
     """
@@ -156,7 +205,9 @@ def skew_join(
     hot_left, hot_right = hot_keys(probes, on)
     hot = hot_left.keys() | hot_right.keys()
     if not hot:
+        left, right = (_distinct_by(df, on) if side in distinct else df for side, df in (("left", left), ("right", right)))
         return left.join(right, on)
+    left, right = (df.dropDuplicates() if side in distinct else df for side, df in (("left", left), ("right", right)))
     slices = F.broadcast(
         left.sparkSession.createDataFrame(
             [(h, hot_left.get(h, 1), hot_right.get(h, 1)) for h in sorted(hot)],
@@ -253,4 +304,4 @@ def lookup_join(
     if fits_broadcast(lookup):
         return facts.join(F.broadcast(lookup), on)
     left_probe = facts if probe is None else probe
-    return skew_join(facts.dropDuplicates() if distinct else facts, lookup, on, left_probe=left_probe, copies=copies)
+    return skew_join(facts, lookup, on, left_probe=left_probe, copies=copies, distinct=["left"] if distinct else [])

@@ -99,6 +99,9 @@ class Fixtures:
         person = F.concat(F.lit("1-3"), "c_custkey")
         holder = F.concat(F.lit("2-"), "l_orderkey", F.lit("-"), "l_linenumber")
         held = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
+        # Tenures and positions together, in one scan.
+        kind = F.when(F.col("l_returnflag") == "R", "isTenureIn").otherwise("isPositionIn")
+        company = F.concat(F.lit(f"<{BASE}1-"), "l_suppkey", F.lit(">"))
         return _union(
             _triples(customer, person, "family-name", F.concat(F.lit('"'), "c_mktsegment", F.lit('"'))),
             _triples(customer.filter("c_custkey % 50 = 0"), person, "family-name", F.lit('"Alt"')),
@@ -109,12 +112,7 @@ class Fixtures:
                 F.concat(F.lit('"'), F.replace("c_name", F.lit("#"), F.lit(" # ")), F.lit('"')),
             ),
             _triples(held, holder, "hasHolder", F.concat(F.lit(f"<{BASE}1-3"), "o_custkey", F.lit(">"))),
-            *[
-                _triples(
-                    lineitem.filter(kind), holder, pred, F.concat(F.lit(f"<{BASE}1-"), "l_suppkey", F.lit(">"))
-                )
-                for pred, kind in (("isTenureIn", "l_returnflag = 'R'"), ("isPositionIn", "l_returnflag <> 'R'"))
-            ],
+            _triples(lineitem.filter("l_returnflag IS NOT NULL"), holder, kind, company),
         )
 
     def triples(self) -> DataFrame:
@@ -188,7 +186,7 @@ class Fixtures:
         return path
 
 
-def _triples(df: DataFrame, sub: Column, pred: str, obj: Column) -> DataFrame:
+def _triples(df: DataFrame, sub: Column, pred: str | Column, obj: Column) -> DataFrame:
     return df.select(sub.alias("sub"), F.lit(pred).alias("pred"), obj.alias("obj"))
 
 
