@@ -2,7 +2,7 @@
 
 import math
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -375,3 +375,29 @@ def test_texts_are_confirmed_a_bounded_number_at_a_time(monkeypatch):
     )
     found = list(near_dups._confirm(4)(iter([batch])))
     assert [x.column("b").to_pylist() for x in found] == [[b"b"], [b"d"], [b"e"]]
+
+
+def test_bucket_members_are_those_of_shared_bands(spark, monkeypatch):
+    """Only their rows are shuffled with their classes, all others as bare bands."""
+    rng = np.random.default_rng(7)
+    sketches = rng.integers(0, 2**16, size=(300, near_dups.N_REGISTERS)).astype(">u2")
+    sketches[1, :40] = sketches[0, :40]  # ten bands
+    sketches[2, 20:60] = sketches[0, 20:60]  # ten, five of them with the first two
+    rows = [(bytes([i // 256, i % 256]), i + 4, sketches[i].tobytes()) for i in range(300)]
+    classes = spark.createDataFrame(rows, "class binary, n_shingles long, registers binary")
+    searched = []
+    real = near_dups.existence_join
+
+    def spying(left, right, *args, **options):
+        searched.append((left.count(), right.count()))
+        return real(left, right, *args, **options)
+
+    monkeypatch.setattr(near_dups, "existence_join", spying)
+    found = near_dups.bucket_members(classes).collect()
+    by_band = defaultdict(list)
+    for row in found:
+        by_band[row["band"]].append((bytes(row["class"]), bytes(row["centre"]), row["n_shingles"]))
+    assert searched == [(300 * near_dups.N_BANDS, 15)]
+    wanted = [{0, 1}] * 5 + [{0, 1, 2}] * 5 + [{0, 2}] * 5
+    assert sorted(sorted(n - 4 for _, _, n in bucket) for bucket in by_band.values()) == sorted(map(sorted, wanted))
+    assert all(centre == rows[0][0] and own == rows[n - 4][0] for bucket in by_band.values() for own, centre, n in bucket)

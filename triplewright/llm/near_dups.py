@@ -352,9 +352,25 @@ def texts_of(source: DataFrame, members: DataFrame) -> DataFrame:
 
     Only texts that pass a Bloom filter of the members' classes are shuffled, as those of all others are most of the input.
     """
-    classed = with_class(source).select("class", "text")
-    own = members.select("class").distinct()
-    return existence_join(classed, own, "class", "left_semi", balanced=True, limit=0).dropDuplicates(["class"])
+    return of_members(with_class(source).select("class", "text"), members).dropDuplicates(["class"])
+
+
+def of_members(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """The rows whose class is among the members. Only those that pass a Bloom filter of their classes are shuffled."""
+    return existence_join(rows, members.select("class").distinct(), "class", "left_semi", balanced=True, limit=0)
+
+
+def bucket_members(classes: DataFrame) -> DataFrame:
+    """(band, class, n_shingles, centre): the classes of each bucket that has several, and its smallest.
+
+    Most bands belong to a single class. Bare bands are counted first; of the rows with their
+    classes only those that pass a Bloom filter of the shared bands are shuffled.
+    """
+    bands = classes.select("class", "n_shingles", F.explode(_bands()).alias("band"))
+    shared = materialize(bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band"), "shared_bands")
+    rows = existence_join(bands, shared, "band", "left_semi", balanced=True, limit=0)
+    buckets = rows.groupBy("band").agg(F.min("class").alias("centre"), F.max("class").alias("last"))
+    return rows.join(buckets.filter("centre <> last").drop("last"), "band")
 
 
 def _several_components(rows: DataFrame) -> DataFrame:
@@ -422,15 +438,17 @@ def remaining_pairs(mixed: DataFrame, texts: DataFrame, classes: DataFrame, size
     rows = materialize(mixed.select("class", "n_shingles", "component").distinct().join(texts, "class").join(classes.select("class", "prints"), "class"), "mixed_texts")
     if rows.isEmpty():
         return rows.select(F.col("class").alias("a"), F.col("class").alias("b"))
-    shared = materialize(rare_shingles(rows, shingle_frequencies(rows, size), size), "rare_shingles")
-    shared = materialize(shared.join(_several_components(shared), "band"), "shared_shingles")
+    rare = materialize(rare_shingles(rows, shingle_frequencies(rows, size), size), "rare_shingles")
+    # Shingles of several components, and the largest of these, in one table: the rows are shuffled once, with their join.
     largest = (
-        shared.groupBy("band", "component")
+        rare.groupBy("band", "component")
         .agg(F.count("*").alias("n"))
         .groupBy("band")
-        .agg(F.max(F.struct("n", "component"))["component"].alias("largest"))
+        .agg(F.max(F.struct("n", "component"))["component"].alias("largest"), F.count("*").alias("components"))
+        .filter("components > 1")
+        .drop("components")
     )
-    shared = shared.join(largest, "band")
+    shared = rare.join(largest, "band")
     outside = shared.filter("component <> largest").select(
         "band",
         F.col("class").alias("x"),
@@ -466,22 +484,20 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
         .agg(F.min("key").alias("key"), *[F.first(name).alias(name) for name in ("n_shingles", "registers", "prints")]),
         "classes",
     )
-    bands = classes.select("class", "n_shingles", F.explode(_bands()).alias("band"))
-    buckets = bands.groupBy("band").agg(F.min("class").alias("centre"), F.max("class").alias("last"))
-    shared = buckets.filter("centre <> last").drop("last")
-    members = materialize(bands.join(shared, "band"), "buckets")
+    members = materialize(bucket_members(classes), "buckets")
     texts = materialize(texts_of(source, members), "texts")
+    # All pairs are among these members: the registers of other classes are not shuffled again.
+    classes_met = materialize(of_members(classes, members), "classes")
     to_centres = materialize(
         members.filter("class <> centre").select(F.col("centre").alias("a"), F.col("class").alias("b")).distinct(), "pairs"
     )
-    tried = materialize(likely_pairs(to_centres, classes), "likely")
+    tried = materialize(likely_pairs(to_centres, classes_met), "likely")
     labels = materialize(components(confirmed(tried, texts, size)), "labels")
     # Only pairs that were decided on full sets are left out of later searches.
     decided, mixed = tried, materialize(mixed_members(members, labels), "mixed")
     # From here on all pairs are among these members, as a rule few.
-    own = mixed.select("class").distinct()
-    classes_left = materialize(classes.join(own, "class"), "classes")
-    texts_left = materialize(texts.join(own, "class"), "texts")
+    classes_left = materialize(of_members(classes_met, mixed), "classes")
+    texts_left = materialize(of_members(texts, mixed), "texts")
     for turn in range(TURNS):
         pairs = centre_pairs(mixed, classes_left, turn).join(decided, ["a", "b"], "left_anti")
         tried = materialize(likely_pairs(pairs, classes_left), "likely")
