@@ -1,6 +1,7 @@
 """Operators over whole tables, against brute force."""
 
 import math
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -13,6 +14,7 @@ import corpus_pipeline
 from tests.compare import SPARK_TYPES, database, differences
 from tests.llm import brute
 from tests.llm.conftest import ODD, SF_DIR
+from triplewright import session
 from triplewright.llm import components, lm_scoring, mixing, near_dups, nn_descent, queries, warc
 from triplewright.llm.oracle import ORACLE
 
@@ -126,6 +128,45 @@ def test_texts_of_classes_alone_in_their_buckets_are_not_shuffled(spark):
     assert "__block" in found._jdf.queryExecution().optimizedPlan().toString()
 
 
+def shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    names = disk.getAllBlocks().mkString(" ").split()
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def left_over(spark, before):
+    """Shuffle files that are new and stay; executors delete theirs a moment after a query's end."""
+    deadline = time.time() + 10
+    while (found := shuffle_files(spark) - before) and time.time() < deadline:
+        time.sleep(0.2)
+    return found
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    rows = spark.range(1000, numPartitions=6).withColumn("k", F.col("id") % 7)
+    plain = rows.groupBy("k").count().join(rows, "k")
+    before, setting = shuffle_files(spark), spark.conf.get(key, None)
+    written = session.materialize(plain, "plain")
+    assert left_over(spark, before) == set()
+    # Frames may be used again, and the session is as it was.
+    assert session.materialize(plain, "plain").count() == written.count() == plain.count() == 1000
+    assert spark.conf.get(key, None) == setting
+
+
+def test_search_for_near_duplicates_leaves_what_its_result_reads(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path / "scratch"))
+    texts = [(i, " ".join(f"w{j}" for j in range(40)) + f" own{i % 20}") for i in range(60)] + [(60, None)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    before = shuffle_files(spark)
+    found = near_dups.near_duplicates(df)
+    assert left_over(spark, before) == set()
+    left = [p.name.rsplit("-", 1)[0] for p in (tmp_path / "scratch").iterdir()]
+    assert sorted(left) == ["classes", "labels", "sketches"]
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found.collect())
+    assert got == Counter(brute.near_duplicates(texts))
+
+
 def test_similarity_estimates_are_close():
     from triplewright.llm.words import mix
 

@@ -44,7 +44,7 @@ from triplewright.llm.batches import Columns, add_columns, cut
 from triplewright.llm.components import components
 from triplewright.llm.words import mix, powers, utf8, window_hashes, word_hashes
 from triplewright.operators.skew import existence_join
-from triplewright.session import materialize
+from triplewright.session import materialize, run_folder, scratch_path, shuffles_deleted
 
 SHINGLE_WORDS = 4
 N_BANDS = 24
@@ -473,17 +473,8 @@ def remaining_pairs(mixed: DataFrame, texts: DataFrame, classes: DataFrame, size
     )
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS) -> DataFrame:
-    """Per row, for shingles of ``size`` words: ``key``, n_shingles, ``class`` (null for an empty set), component_id (smallest
-    key of its component) and ``component`` (the component's smallest class)."""
-    source = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    rows = materialize(sketch(source, size=size), "sketches")
-    classes = materialize(
-        rows.filter("n_shingles > 0")
-        .groupBy("class")
-        .agg(F.min("key").alias("key"), *[F.first(name).alias(name) for name in ("n_shingles", "registers", "prints")]),
-        "classes",
-    )
+def linked_classes(source: DataFrame, classes: DataFrame, size: int) -> DataFrame:
+    """(node, component) of all classes with a link, found in steps 2 to 6."""
     members = materialize(bucket_members(classes), "buckets")
     texts = materialize(texts_of(source, members), "texts")
     # All pairs are among these members: the registers of other classes are not shuffled again.
@@ -509,8 +500,25 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
         mixed = materialize(mixed_members(mixed, labels), "mixed")
     others = remaining_pairs(mixed, texts_left, classes_left, size).join(decided, ["a", "b"], "left_anti")
     links = materialize(confirmed(likely_pairs(others, classes_left), texts_left, size), "links")
-    if not links.isEmpty():
-        labels = joined_components(labels, links)
+    return labels if links.isEmpty() else joined_components(labels, links)
+
+
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS) -> DataFrame:
+    """Per row, for shingles of ``size`` words: ``key``, n_shingles, ``class`` (null for an empty set), component_id (smallest
+    key of its component) and ``component`` (the component's smallest class)."""
+    source = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = materialize(sketch(source, size=size), "sketches")
+    classes = materialize(
+        rows.filter("n_shingles > 0")
+        .groupBy("class")
+        .agg(F.min("key").alias("key"), *[F.first(name).alias(name) for name in ("n_shingles", "registers", "prints")]),
+        "classes",
+    )
+    # The result reads sketches, classes and labels; the files of the search go with its end.
+    spark = df.sparkSession
+    to = scratch_path(spark, "labels")
+    with run_folder(spark), shuffles_deleted(spark):
+        labels = materialize(linked_classes(source, classes, size), "labels", to)
     named = (
         classes.select("class", "key")
         .join(labels.withColumnRenamed("node", "class"), "class", "left")

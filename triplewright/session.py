@@ -9,6 +9,9 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Spark deletes a query's shuffle files at its end.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors share for intermediate files.
@@ -44,14 +47,34 @@ def run_folder(spark: SparkSession) -> Iterator[str]:
         remove_folder(spark, path)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back.
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Queries that begin meanwhile delete their shuffle files at their end.
+
+    By default these stay until the driver happens to collect its garbage, so that a chain of
+    written tables holds the shuffles of all of them on disk.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder, or to ``path``, and read it back.
 
-    Cuts the lineage, survives lost executors, and gives Catalyst real sizes.
+    Cuts the lineage, survives lost executors, and gives Catalyst real sizes. Shuffle files of
+    the query are deleted, as what they led to is written.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
+    path = path or scratch_path(spark, name)
+    with shuffles_deleted(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
