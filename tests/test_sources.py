@@ -381,6 +381,43 @@ def test_stored_counts_equal_counts_of_the_text(spark, tmp_path):
         stored_predicate_stats(spark, bases[0], {"a": str(tmp_path / "t/a")})
 
 
+def test_plain_lines_are_counted_without_a_search(spark, tmp_path, monkeypatch):
+    path = tmp_path / "a.nt"
+    path.write_text('<http://b/1-1> <http://n#p> <http://b/1-2> .\n<http://b/2-1> <http://n#q> "some  text"^^<http://t> .\n<http://c/1> <http://n#q> "x" .\n')
+    monkeypatch.setattr(triples, "regex_group", lambda *_: F.raise_error(F.lit("searched")).cast("string"))
+    bases = ["http://b/", "http://b/1-"]
+    triples.ingest_triples(spark, {"a": str(path)}, str(tmp_path / "t"), bases=bases)
+    counts = rows(triples.read_predicate_counts(spark, str(tmp_path / "t/a")), "base", "pred", "n")
+    assert counts == Counter([("http://b/", "http://n#p", 1), ("http://b/", "http://n#q", 1), ("http://b/1-", "http://n#p", 1)])
+
+
+def test_lines_count_for_what_the_pattern_finds(spark):
+    """Plain lines are told without a search, by rules that hold for odd lines, too."""
+    parts = ["<b/", "1", "> <", ">", "<", " ", ' "t" ', " .", "\u2003"]
+    lines = ["<b/" + "".join(p) + end for n in range(1, 5) for p in itertools.product(parts, repeat=n) for end in (" .", "> .")]
+    lines += [f"{s} {p} {o}" for s in ("<b/1>", "<b/>", "<c/1>", "<b/<b/1>", "<c/<b/>", "<b/1") for p in ("<p>", "<>", "p", "<p>\t<q>", "<p\tq>", "<b/1>")
+              for o in ("<o> .", "<b/1> .", '"<b/1> <p> <o>" .', '"a > b" .', '"a < b"^^<t> .', ".", " .", "", "<o> . ", '"x"\t.', '"x"\t. .')]
+    bases = ["b/", "b/1"]
+    df = triples._lines_by_task(spark.createDataFrame([(line,) for line in lines], "value string"), bases)
+    told = rows(triples._predicate_counts(df, bases), "base", "pred", "n")
+    value = F.col("value")
+    searched = Counter()
+    for base in bases:
+        iri = text.without_ends(text.regex_group(value, text.triple_pattern(base), 2))
+        found = spark.createDataFrame([(line,) for line in lines], "value string").filter(value.rlike(text.triple_pattern(base)))
+        searched += rows(found.select(F.lit(base).alias("base"), iri.alias("pred")).groupBy("base", "pred").count(), "base", "pred", "count")
+    assert told == searched and len(told) > 10
+    tokens = triples._with_tokens(spark.createDataFrame([(line,) for line in lines], "value string"))
+    assert tokens.filter(text.is_plain_triple(F.col("first"), F.col("second"), F.col("rest"))).count() > 50
+
+
+def test_sums_of_halves_are_sums_of_hashes(spark):
+    df = spark.range(0, 3000).select((F.col("id") % 7).cast("string").alias("sub"), F.lit("p").alias("pred"), F.col("id").cast("string").alias("obj"))
+    whole = df.groupBy("sub").agg(F.count("*").alias("n"), F.sum(F.xxhash64("pred", "obj").cast("decimal(38,0)")).alias("digest"))
+    halves = triples.subject_digests(df)
+    assert halves.dtypes == whole.dtypes and rows(halves, "sub", "n", "digest") == rows(whole, "sub", "n", "digest")
+
+
 def test_employee_report(spark, tmp_path):
     staff = [(1, "Ada", "Lark", 1), (2, "Bo", None, 3), (3, None, "Cole", 0), (4, "Di", "Marsh", None)]
     source, target = str(tmp_path / "employees"), str(tmp_path / "report")

@@ -154,3 +154,17 @@ HEAD_PARTS = rf"(?dU)^(.+)>{_SPACE}(<.*)"
 def regex_group(line: Column, pattern: str, group: int) -> Column:
     """Capture group of the first match, empty when there is none."""
     return F.regexp_extract(line, pattern, group)
+
+
+def is_plain_triple(first: Column, second: Column, rest: Column) -> Column:
+    """Whether group 2 of :func:`triple_pattern` can only be the second token of a line, for any base.
+
+    The tokens are those between single spaces, ``rest`` is all behind the second one. That is bracketed,
+    with no other bracket that closes, and the rest has none either but before a final `` .``: so the
+    predicate that the pattern looks for can begin and end nowhere else.
+    """
+    inner = F.substring(second, F.lit(1), F.greatest(F.length(second) - 1, F.lit(0)))
+    bracketed = F.startswith(second, F.lit("<")) & F.endswith(second, F.lit(">")) & ~F.contains(inner, F.lit(">"))
+    closed = F.contains(F.left(rest, F.greatest(F.length(rest) - len("> ."), F.lit(0))), F.lit(">"))
+    return F.endswith(first, F.lit(">")) & bracketed & F.endswith(rest, F.lit(" .")) & ~closed
+

@@ -65,19 +65,30 @@ def sketch_keys(hashed: DataFrame, by: list[str]) -> DataFrame:
 
     Two steps, so that no task merges the states of all input tasks.
     """
-    return (
-        hashed.groupBy(*by, F.pmod(F.spark_partition_id(), F.lit(SKETCH_MERGERS)).alias("merger"))
-        .agg(
-            F.expr(f"approx_top_k_accumulate(h, {SKETCH_ITEMS})").alias("sketch"),
-            F.count("h").alias("n"),
-            F.sum("bytes").alias("bytes"),
-        )
-        .groupBy(*by)
-        .agg(
-            F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"),
-            F.sum("n").alias("n"),
-            F.sum("bytes").alias("bytes"),
-        )
+    return combine_sketches(hashed.groupBy(*by, merger()).agg(*accumulated("h")), by)
+
+
+def merger() -> Column:
+    """The number of the first merge that a task's states go to."""
+    return F.pmod(F.spark_partition_id(), F.lit(SKETCH_MERGERS)).alias("merger")
+
+
+def accumulated(h: str, prefix: str = "") -> list[Column]:
+    """The sketch of a column's hashes, their number, and the sum of their ``bytes``; rows without a hash are left out."""
+    held = f"FILTER (WHERE {h} IS NOT NULL)"
+    return [
+        F.expr(f"approx_top_k_accumulate({h}, {SKETCH_ITEMS}) {held}").alias(f"{prefix}sketch"),
+        F.count(h).alias(f"{prefix}n"),
+        F.expr(f"sum(bytes) {held}").alias(f"{prefix}bytes"),
+    ]
+
+
+def combine_sketches(states: DataFrame, by: list[str]) -> DataFrame:
+    """One row for each group of states (*by, n, bytes, sketch)."""
+    return states.groupBy(*by).agg(
+        F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"),
+        F.sum("n").alias("n"),
+        F.sum("bytes").alias("bytes"),
     )
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triplewright.functions.text import iri_id, literal_value
-from triplewright.operators.skew import KeySketch, key_hash, sketch_keys
+from triplewright.operators.skew import KeySketch, accumulated, combine_sketches, key_hash, merger
 
 # What joins on triples use as keys, by name. Ids are taken of IRIs only.
 KEYS: dict[str, Callable[[], Column]] = {
@@ -66,10 +66,13 @@ def rows_of(triples: Triples) -> DataFrame:
 
 def sketch_predicates(triples: DataFrame) -> DataFrame:
     """(pred, key, n, bytes, sketch) of a frame (sub, pred, obj). ``bytes`` are those of subject and object."""
-    hashes = F.array(*[F.struct(F.lit(name).alias("key"), F.when(key().isNotNull(), key_hash(key())).alias("h")) for name, key in KEYS.items()])
     width = (F.octet_length("sub") + F.octet_length("obj")).cast("long")
-    keyed = triples.select("pred", F.coalesce(width, F.lit(0)).alias("bytes"), F.explode(hashes).alias("k"))
-    return sketch_keys(keyed.filter("k.h IS NOT NULL").select("pred", "k.key", "bytes", "k.h"), ["pred", "key"])
+    keyed = triples.select("pred", F.coalesce(width, F.lit(0).cast("long")).alias("bytes"), *[key().alias(name) for name, key in KEYS.items()])
+    hashed = keyed.select("pred", "bytes", *[F.when(F.col(name).isNotNull(), key_hash(name)).alias(name) for name in KEYS])
+    # One group a predicate takes the hashes of all its keys.
+    states = hashed.groupBy("pred", merger()).agg(*[state for name in KEYS for state in accumulated(name, f"{name}_")])
+    by_key = F.array(*[F.struct(F.lit(name).alias("key"), *[F.col(f"{name}_{part}").alias(part) for part in ("sketch", "n", "bytes")]) for name in KEYS])
+    return combine_sketches(states.select("pred", F.inline(by_key)).filter("n > 0"), ["pred", "key"])
 
 
 def probe(triples: Triples, preds: Iterable[str], key: str, name: str = "sub") -> DataFrame | KeySketch:

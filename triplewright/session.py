@@ -47,6 +47,20 @@ def run_folder(spark: SparkSession) -> Iterator[str]:
         remove_folder(spark, path)
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """Queries that begin meanwhile run with another value of a setting."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 @contextmanager
 def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
     """Queries that begin meanwhile delete their shuffle files at their end.
@@ -54,15 +68,8 @@ def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
     By default these stay until the driver happens to collect its garbage, so that a chain of
     written tables holds the shuffles of all of them on disk.
     """
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
-    try:
+    with setting(spark, SHUFFLE_CLEANUP, "true"):
         yield
-    finally:
-        if before is None:
-            spark.conf.unset(SHUFFLE_CLEANUP)
-        else:
-            spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
 def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:

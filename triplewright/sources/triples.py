@@ -2,7 +2,7 @@
 
 A version of a stored dump has
 
-    lines       (sub, obj[, counted]) by kind (triple or reject) and pred
+    lines       (sub, obj) by kind (triple or reject) and pred
     keys        sketches of the keys of each predicate, see :mod:`triplewright.operators.stored`
     predicates  (base, pred, n): triples per full predicate IRI, if bases were given
     subjects    (sub, n, digest): an order-free digest of each subject's triples, see :mod:`triplewright.plans.changes`
@@ -15,8 +15,17 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from triplewright.functions.text import is_triple_pattern, local_name, path_end, regex_group, triple_pattern, without_ends
+from triplewright.functions.text import (
+    is_plain_triple,
+    is_triple_pattern,
+    local_name,
+    path_end,
+    regex_group,
+    triple_pattern,
+    without_ends,
+)
 from triplewright.operators.stored import StoredTriples, sketch_predicates
+from triplewright.session import materialize, remove_folder, setting, shuffles_deleted
 from triplewright.sources import versions
 
 # Bytes of text from which a task's lines of one predicate are worth a file of their own.
@@ -25,6 +34,8 @@ FILE_BYTES = 2 << 20
 SMALL_FILES = 4
 # Predicates whose lines are told apart as large, while those of others are shuffled.
 MOST_IN_PLACE = 1000
+# Files that a task keeps open, one a predicate, before it sorts its rows instead; and the most bytes that each holds in memory.
+OPEN_FILES, OPEN_FILE_BYTES = 16, 32 << 20
 
 
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
@@ -42,13 +53,20 @@ def _has_predicate() -> Column:
     return F.contains(F.col("value"), F.lit(" "))
 
 
-def _parsed() -> tuple[Column, Column, Column]:
-    """Subject, predicate and object of a line."""
-    tokens = F.split("value", " ", 3)
-    rest = F.coalesce(F.get(tokens, 2), F.lit(""))
-    last = F.substring_index(rest, " ", -1)
-    obj = F.left(rest, F.greatest(F.length(rest) - F.length(last) - 1, F.lit(0)))
-    return path_end(F.get(tokens, 0)), local_name(F.get(tokens, 1)), obj
+def _with_tokens(lines: DataFrame, *more: Column) -> DataFrame:
+    """Lines, their first two tokens (null where there is none), and the rest behind them."""
+    tokens = F.split("value", " ", 3).alias("tokens")
+    # A projection of its own, so that lines are split once.
+    split = lines.select("value", tokens, *more)
+    first, second, rest = (F.get("tokens", i) for i in range(3))
+    rest = F.coalesce(rest, F.lit("")).alias("rest")
+    return split.select("value", first.alias("first"), second.alias("second"), rest, *split.columns[2:])
+
+
+def _object() -> Column:
+    """The rest up to its last space."""
+    last = F.substring_index("rest", " ", -1)
+    return F.left("rest", F.greatest(F.length("rest") - F.length(last) - 1, F.lit(0)))
 
 
 def parse_triples(lines: DataFrame) -> DataFrame:
@@ -57,8 +75,8 @@ def parse_triples(lines: DataFrame) -> DataFrame:
     Subject and predicate keep their local names only. The object is all text between the
     second and the last space, in its raw form.
     """
-    sub, pred, obj = _parsed()
-    return lines.filter(_has_predicate()).select(sub.alias("sub"), pred.alias("pred"), obj.alias("obj"))
+    tokens = _with_tokens(lines.filter(_has_predicate()))
+    return tokens.select(path_end(F.col("first")).alias("sub"), local_name(F.col("second")).alias("pred"), _object().alias("obj"))
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
@@ -66,28 +84,20 @@ def rejected_lines(lines: DataFrame) -> DataFrame:
     return lines.filter(~_has_predicate())
 
 
-_LINES = "sub string, obj string, counted array<struct<base: string, iri: string>>, kind string, pred string"
+_LINES = "sub string, obj string, kind string, pred string"
 
 
 def _partition() -> list[Column]:
-    """The kind and the predicate of a line."""
-    parsed, (_, pred, _) = _has_predicate(), _parsed()
-    return [F.when(parsed, "triple").otherwise("reject").alias("kind"), F.when(parsed, pred).alias("pred")]
-
-
-def _sorted_out(lines: DataFrame, bases: list[str]) -> DataFrame:
-    """Triples, and rejected lines as objects; with the predicate IRI that each line counts for under each base."""
-    sub, _, obj = _parsed()
-    parsed, value = _has_predicate(), F.col("value")
-    columns = [F.when(parsed, sub).alias("sub"), F.when(parsed, obj).otherwise(value).alias("obj"), *_partition()]
-    if not bases:
-        return lines.select(*columns)
-    iris = [
-        F.struct(F.lit(base).alias("base"), F.when(value.contains(f"<{base}"), regex_group(value, triple_pattern(base), 2)).alias("iri"))
-        for base in bases
-    ]
-    counted = F.filter(F.array(*iris), lambda x: F.coalesce(x["iri"], F.lit("")) != "")
-    return lines.select(*columns, counted.alias("counted"))
+    """The kind and the predicate of a line by its second token."""
+    second = F.col("second")
+    return [F.when(second.isNotNull(), "triple").otherwise("reject").alias("kind"), local_name(second).alias("pred")]
+
+
+def _sorted_out(lines: DataFrame) -> DataFrame:
+    """Triples, and rejected lines as objects."""
+    parsed = F.col("second").isNotNull()
+    sub, obj = F.when(parsed, path_end(F.col("first"))), F.when(parsed, _object()).otherwise(F.col("value"))
+    return _with_tokens(lines).select(sub.alias("sub"), obj.alias("obj"), *_partition())
 
 
 def _stored_lines(spark: SparkSession, version: str) -> DataFrame:
@@ -99,14 +109,37 @@ def _triples_of(lines: DataFrame) -> DataFrame:
     return lines.select("sub", F.coalesce("pred", F.lit("")).alias("pred"), "obj")
 
 
-def _layout(lines: DataFrame) -> Row:
+def _counted_iri(base: str) -> Column:
+    """The bracketed predicate IRI that a line counts for under a base, empty or null where there is none."""
+    value, first, second = F.col("value"), F.col("first"), F.col("second")
+    searched = F.when(value.contains(f"<{base}"), regex_group(value, triple_pattern(base), 2))
+    # A subject has a character of its own between base and bracket.
+    bare = F.endswith(first, F.lit(f"<{base}>")) | F.endswith(first, F.lit(f"<{base}"))
+    return F.when(F.col("plain") & ~bare, F.when(first.contains(f"<{base}"), second)).otherwise(searched)
+
+
+def _lines_by_task(lines: DataFrame, bases: list[str]) -> DataFrame:
+    """(task, kind, pred, iris, n, bytes): numbers of lines by the task that reads them, and by the predicate IRI under each base."""
+    tokens = _with_tokens(lines, F.octet_length("value").cast("long").alias("bytes"), F.spark_partition_id().alias("task"))
+    if bases:
+        tokens = tokens.withColumn("plain", is_plain_triple(F.col("first"), F.col("second"), F.col("rest")))
+    iris = {f"iri_{i}": _counted_iri(base) for i, base in enumerate(bases)}
+    by_iri = tokens.select("task", "second", "bytes", *[iri.alias(name) for name, iri in iris.items()])
+    counts = by_iri.groupBy("task", "second", *iris).agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    return counts.select("task", *_partition(), F.array(*iris).cast("array<string>").alias("iris"), "n", "bytes")
+
+
+def _predicate_counts(by_task: DataFrame, bases: list[str]) -> DataFrame:
+    """(base, pred, n): triples per full predicate IRI under each base."""
+    pairs = F.explode(F.arrays_zip(F.array(*map(F.lit, bases)).alias("base"), F.col("iris").alias("iri"))).alias("counted")
+    counts = by_task.select(pairs, "n").select("counted.*", "n").filter("iri <> ''").groupBy("base", "iri").agg(F.sum("n").alias("n"))
+    return counts.select("base", without_ends(F.col("iri")).alias("pred"), "n")
+
+
+def _layout(by_task: DataFrame) -> Row:
     """What the tasks that read a dump would write: one row of numbers of lines, rejected lines, tasks and small files, and
     the largest predicates (kind, pred) whose files would not be small."""
-    by_task = (
-        lines.select(*_partition(), F.octet_length("value").cast("long").alias("bytes"), F.spark_partition_id().alias("task"))
-        .groupBy("task", "kind", "pred")
-        .agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
-    )
+    by_task = by_task.groupBy("task", "kind", "pred").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
     files = by_task.groupBy("kind", "pred").agg(
         F.count("*").alias("files"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), (F.max("task") + 1).alias("tasks")
     )
@@ -124,39 +157,53 @@ def _layout(lines: DataFrame) -> Row:
 def _write_lines(rows: DataFrame, path: str, layout: Row) -> None:
     """Write each predicate's rows from the tasks that read them, or, where that made many small files, collected by a shuffle."""
 
-    def write(part: DataFrame) -> None:
-        part.write.partitionBy("kind", "pred").mode("append").parquet(path, compression="zstd")
+    def write(part: DataFrame, **options) -> None:
+        part.write.partitionBy("kind", "pred").mode("append").options(**options).parquet(path, compression="zstd")
+
+    def write_in_place(part: DataFrame) -> None:
+        """Tasks write to a file of each predicate at once; they would sort their rows otherwise."""
+        with setting(rows.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES)):
+            write(part, **{"parquet.block.size": str(OPEN_FILE_BYTES)})
 
     if layout["small_files"] <= SMALL_FILES * layout["tasks"]:
-        write(rows)
+        write_in_place(rows)
         return
     names = [x["pred"] for x in layout["large"] if x["kind"] == "triple"]
     rejects = [x for x in layout["large"] if x["kind"] == "reject"]
     in_place = F.when(F.col("kind") == "reject", F.lit(bool(rejects))).otherwise(F.coalesce(F.col("pred").isin(names), F.lit(False)))
     if layout["large"]:
-        write(rows.filter(in_place))
+        write_in_place(rows.filter(in_place))
     write(rows.filter(~in_place).hint("rebalance", "kind", "pred"))
 
 
 def _write_version(spark: SparkSession, path: str, version: str, bases: list[str]) -> dict[str, int]:
     """Store one dump and what plans need to know of it; returns the counts of its lines."""
     lines = read_lines(spark, path)
-    layout = _layout(lines)
-    _write_lines(_sorted_out(lines, bases), f"{version}/lines", layout)
-    stored = _stored_lines(spark, version)
-    triples = _triples_of(stored.filter(F.col("kind") == "triple"))
-    sketch_predicates(triples).write.parquet(f"{version}/keys")
-    subject_digests(triples).write.parquet(f"{version}/subjects", compression="zstd")
+    by_task = _lines_by_task(lines, bases)
     if bases:
-        counts = stored.select(F.inline("counted")).groupBy("base", "iri").agg(F.count("*").alias("n"))
-        counts.select("base", without_ends(F.col("iri")).alias("pred"), "n").write.parquet(f"{version}/predicates")
+        by_task = materialize(by_task, "by_task", f"{version}/by_task")
+        _predicate_counts(by_task, bases).write.parquet(f"{version}/predicates")
+    with shuffles_deleted(spark):
+        layout = _layout(by_task)
+        if bases:
+            remove_folder(spark, f"{version}/by_task")
+        _write_lines(_sorted_out(lines), f"{version}/lines", layout)
+        triples = _triples_of(_stored_lines(spark, version).filter(F.col("kind") == "triple"))
+        sketch_predicates(triples).write.parquet(f"{version}/keys")
+        subject_digests(triples).write.parquet(f"{version}/subjects", compression="zstd")
     return {name: layout[name] for name in ("lines", "rejected")}
 
 
 def subject_digests(triples: DataFrame) -> DataFrame:
-    """(sub, n, digest): number of triples and the sum of their hashes, whatever their order."""
-    row = F.xxhash64("pred", "obj").cast("decimal(38,0)")
-    return triples.groupBy("sub").agg(F.count("*").alias("n"), F.sum(row).alias("digest"))
+    """(sub, n, digest): number of triples and the sum of their hashes, whatever their order.
+
+    Upper and lower halves are added up on their own, as long integers: their sums have room for 2^31 triples of a subject.
+    """
+    halves = triples.select("sub", F.xxhash64("pred", "obj").alias("h"))
+    upper, lower = F.sum(F.shiftright("h", 32)), F.sum(F.col("h").bitwiseAND(F.lit(0xFFFFFFFF)))
+    sums = halves.groupBy("sub").agg(F.count("*").alias("n"), upper.alias("upper"), lower.alias("lower"))
+    upper, lower = (F.col(half).cast("decimal(38,0)") for half in ("upper", "lower"))
+    return sums.select("sub", "n", (upper * F.lit(2**32) + lower).cast("decimal(38,0)").alias("digest"))
 
 
 def _register(spark: SparkSession, version: versions.Version, database: str, name: str) -> None:
