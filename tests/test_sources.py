@@ -14,6 +14,7 @@ from triplewright.plans.etl import run_employee_report
 from triplewright.plans.stats import predicate_stats, predicate_stats_by_dump, stored_predicate_stats
 from triplewright.sources import mappings, sinks, triples, versions
 from triplewright_checks import fixtures
+from triplewright_checks.queries import QUERIES
 
 LINES = {
     '<a/b> <c#d> "x" .': ("b", "d", '"x"'),
@@ -418,6 +419,15 @@ def test_sums_of_halves_are_sums_of_hashes(spark):
     assert halves.dtypes == whole.dtypes and rows(halves, "sub", "n", "digest") == rows(whole, "sub", "n", "digest")
 
 
+def test_a_new_version_is_stored_from_two_texts_of_its_dump(spark, monkeypatch):
+    """The whole dump is written once and ingested as it is; what is stored is no longer kept as text."""
+    written, real = [], fixtures.Fixtures.write_text
+    monkeypatch.setattr(fixtures.Fixtures, "write_text", lambda *args: written.append(real(*args)) or written[-1])
+    found = QUERIES["ingest_new_version"](spark, "/root/testdata/sf0.001")
+    assert len(written) == 2 and not any(versions.exists(spark, path) for path in written)
+    assert found.count() == fixtures.Fixtures(spark, "/root/testdata/sf0.001").organization().count()
+
+
 def test_employee_report(spark, tmp_path):
     staff = [(1, "Ada", "Lark", 1), (2, "Bo", None, 3), (3, None, "Cole", 0), (4, "Di", "Marsh", None)]
     source, target = str(tmp_path / "employees"), str(tmp_path / "report")

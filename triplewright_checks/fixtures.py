@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from triplewright.session import scratch_path
+from triplewright.session import scratch_path, shuffles_deleted
 
 BASE = "https://kg.example/"
 ONTOLOGY = "http://kg.example/ontology/ns#"
@@ -176,7 +176,8 @@ class Fixtures:
         """
         path = scratch_path(self.spark, name)
         writer = lines.write.option("maxRecordsPerFile", LINES_PER_FILE).option("zlib.compress.level", "BEST_SPEED")
-        writer.text(path, compression="gzip")
+        with shuffles_deleted(self.spark):
+            writer.text(path, compression="gzip")
         return path
 
     def write_mapping(self, mapping: DataFrame, name: str = "mapping") -> str:

@@ -15,7 +15,7 @@ from triplewright.operators.facts import as_facts, facts, links, literals, with_
 from triplewright.operators.skew import existence_join, lookup_join, skew_join
 from triplewright.operators.stored import StoredTriples
 from triplewright.plans import changes, company, etl, extract, person, stats
-from triplewright.session import scratch_path
+from triplewright.session import remove_folder, scratch_path
 from triplewright.sources import mappings, sinks, triples, versions
 from triplewright.sources.clustered import cluster_by_subject
 
@@ -117,10 +117,12 @@ def ingest_triples(fx):
 def ingest_new_version(fx):
     """A dump is stored in part, then as a whole: the newer version is read, rejected lines and older rows are not."""
     root, spark = scratch_path(fx.spark, "triples"), fx.spark
-    whole = triples.read_lines(spark, fx.write_lines(fx.organization()))
+    dump = fx.write_lines(fx.organization())
+    whole = triples.read_lines(spark, dump)
     odd = whole.select(F.when(F.contains("value", F.lit("isDomiciledIn")), F.replace("value", F.lit(" "), F.lit("_"))).otherwise(F.col("value")).alias("value"))
-    for lines in (odd, whole):
-        triples.ingest_triples(spark, {"organization": fx.write_text(lines)}, root)
+    for path in (fx.write_text(odd), dump):
+        triples.ingest_triples(spark, {"organization": path}, root)
+        remove_folder(spark, path)
     return triples.read_triples(spark, f"{root}/organization")
 
 
